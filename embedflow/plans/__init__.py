@@ -1,6 +1,6 @@
 """Registered queries (name → fn(spark, sf_dir)) and their oracle SQL."""
 
-from . import knn_queries  # noqa: F401  (registers on import)
+from . import knn_queries, record_queries  # noqa: F401  (register on import)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
