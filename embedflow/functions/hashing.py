@@ -43,9 +43,9 @@ def hash_uniform_vector(seed: Column, key: Column, dim) -> Column:
 
 
 def unit(v: Column, eps: float = EPS) -> Column:
-    """v / (|v| + eps) in double precision."""
+    """v / (|v| + eps) in double precision (norm evaluated once per row)."""
     n = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(v, lambda x: x / (n + F.lit(eps)))
+    return F.zip_with(v, F.array_repeat(F.lit(1.0) / (n + F.lit(eps)), F.size(v)), lambda x, k: x * k)
 
 
 def hash_unit_vector(seed, key, dim) -> Column:

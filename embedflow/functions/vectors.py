@@ -55,10 +55,25 @@ def l2_distance(a, b) -> Column:
     return F.sqrt(F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
+def scale(v, c) -> Column:
+    """v * c for a per-row scalar c.
+
+    The scalar is spread with array_repeat and zipped in, so it is
+    evaluated once per row: a lambda that captured ``c`` directly would
+    re-evaluate it for every element (O(dim²) for a norm).
+    """
+    arr = as_double(v)
+    return F.zip_with(arr, F.array_repeat(c, F.size(arr)), lambda x, k: x * k)
+
+
+def axpy(a, x, y) -> Column:
+    """a * x + y for a per-row scalar a (same evaluation rule as ``scale``)."""
+    return F.zip_with(scale(x, a), as_double(y), lambda p, q: p + q)
+
+
 def l2_normalise(v, eps: float = EPS) -> Column:
     """v / (|v| + eps), kept as float32 like the stored vectors."""
-    n = norm(v)
-    return F.transform(as_double(v), lambda x: x / (n + F.lit(eps))).cast("array<float>")
+    return scale(v, F.lit(1.0) / (norm(v) + F.lit(eps))).cast("array<float>")
 
 
 def score(metric: str, q, v) -> Column:

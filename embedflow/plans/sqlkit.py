@@ -68,3 +68,55 @@ def topk(name: str, table: str, k: int, metric: str = "cosine", probes: str = "p
         f"{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY probe_id "
         f"ORDER BY round(score, 9) DESC, id) AS rank FROM {name}_s) WHERE rank <= {k})"
     )
+
+
+# ── digests, marks, rotation (functions.digest / hashing / operators.rotate) ──
+
+IPAD_WORD = 0x36363636
+OPAD_WORD = 0x5C5C5C5C
+
+
+def xor_pad(key_hex: str, word: int) -> str:
+    return (
+        f"array_to_string(list_transform(range(16), lambda i: lpad(lower(hex(xor(('0x' || "
+        f"substr(rpad(lower({key_hex}), 128, '0'), i * 8 + 1, 8))::BIGINT, {word}))), 8, '0')), '')"
+    )
+
+
+def hmac_hex(key_hex: str, msg: str) -> str:
+    inner = f"sha256(unhex({xor_pad(key_hex, IPAD_WORD)}) || encode({msg}))"
+    return f"sha256(unhex({xor_pad(key_hex, OPAD_WORD)}) || unhex({inner}))"
+
+
+def row_digest(id_: str = "id", v: str = "vector") -> str:
+    return (
+        f"sha256({id_} || ':' || array_to_string(list_transform({v}, lambda x: CAST(round(CAST(x AS DOUBLE) * 1e6) AS BIGINT)), ','))"
+    )
+
+
+def batch_digest_ctes(batched: str = "batched", seed: str = "embedflow") -> str:
+    """CTEs rd, bd, dg(batch_id, cnt, dim, digest) over ``batched(batch_id, id, vector)``."""
+    return (
+        f"rd AS (SELECT batch_id, id, len(vector) AS d, {row_digest()} AS rdg FROM {batched}), "
+        "bd AS (SELECT batch_id, count(*) AS cnt, max(d) AS dim, string_agg(rdg, ',' ORDER BY id, rdg) AS digests FROM rd GROUP BY batch_id), "
+        f"dg AS (SELECT batch_id, cnt, dim, {hmac_hex(f'sha256({chr(39)}{seed}:{chr(39)} || batch_id)', "batch_id || '|' || cnt || '|' || dim || '|' || digests")} AS digest FROM bd)"
+    )
+
+
+def byte_mark(seq: str, dim: str, seed: str = "3735928559") -> str:
+    raw = (
+        f"list_transform(range({dim}), lambda j: CAST(('0x' || substr(sha256('{seed}:' || {seq}), (j % 32) * 2 + 1, 2))::BIGINT AS DOUBLE)"
+        " / 255.0 - 0.5)"
+    )
+    return f"list_transform({raw}, lambda x: x / (sqrt(list_dot_product({raw}, {raw})) + 1e-9))"
+
+
+def hash_uniform(seed: str, key: str, dim: str) -> str:
+    return (
+        f"list_transform(range({dim}), lambda j: CAST(('0x' || substr(sha256('{seed}:{key}:' || (j // 8)), (j % 8) * 8 + 1, 8))::BIGINT AS DOUBLE)"
+        " / 4294967296.0 - 0.5)"
+    )
+
+
+def reflect(v: str, u: str) -> str:
+    return f"list_transform(list_zip({v}, {u}), lambda p: p[1] - 2.0 * list_dot_product({v}, {u}) / list_dot_product({u}, {u}) * p[2])"

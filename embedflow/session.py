@@ -30,6 +30,7 @@ def get_spark(cores: int | str = "*", app: str = "embedflow", shuffle_partitions
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
