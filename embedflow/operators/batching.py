@@ -1,22 +1,23 @@
 """Fixed-size batches in key order without a global single-partition window.
 
-Plan:
-  1. keys only:  repartitionByRange(n, order) → count rows per partition
-     (shuffles the order keys, not the vectors; result has n rows).
-  2. full rows:  the same range partitioning + sortWithinPartitions(order);
-     the per-partition row index comes from monotonically_increasing_id
-     (its low 33 bits are the index inside the partition, in sorted order).
-  3. global row = partition offset (a broadcast literal map with n entries)
-     + index; batch_id = row div batch_size.
-
-Range boundaries come from a deterministic sample of the same keys, so both
-passes agree; ``order`` must be a total order (add tie-breakers) for the
-numbering to be reproducible across retries.  ``pin=True`` additionally
-checkpoints the ranged rows to the shared checkpoint folder.
+Plan (``number_rows``):
+  1. keys only: repartitionByRange(n, order) + sortWithinPartitions; the
+     partition id and the index inside the partition (low 33 bits of
+     monotonically_increasing_id) are attached and pinned with a reliable
+     ``checkpoint()`` in the shared checkpoint folder.  Spark's range
+     sample is seeded by RDD id, so without pinning a second pass could
+     draw other boundaries; the checkpoint also survives executor loss.
+  2. rows per partition (n rows) → offsets, a literal map with n entries.
+  3. rn = offset[pid] + index, joined back to the full rows on the key
+     (one shuffle of the rows by key hash; the key must be unique).
+
+Only the order keys are range-partitioned and written; vectors move once.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,39 +30,58 @@ def _n_ranges(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def number_rows(df: DataFrame, order: list[str], n_ranges: int | None = None, pin: bool = False) -> DataFrame:
-    """Add ``rn`` (0-based BIGINT) = position of the row in ``order``."""
+def number_keys(df: DataFrame, order: list[str], n_ranges: int | None = None) -> DataFrame:
+    """The distinct rows of ``df.select(order)`` with ``rn`` (0-based BIGINT) in that order."""
     n = _n_ranges(df, n_ranges)
     keys = [F.col(c) for c in order]
-    counts = (
+    pid = F.spark_partition_id()
+    ranged = (
         df.select(*keys)
         .repartitionByRange(n, *keys)
-        .groupBy(F.spark_partition_id().alias("pid"))
-        .count()
-        .collect()
+        .sortWithinPartitions(*keys)
+        .withColumn("_pid", pid)
+        .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33))
     )
-    offsets, run = {}, 0
-    for r in sorted(counts, key=lambda r: r["pid"]):
-        offsets[r["pid"]] = run
+    ensure_checkpoint_dir(df.sparkSession)
+    pinned = ranged.checkpoint(eager=True)
+    counts = pinned.groupBy("_pid").count().collect()
+    pairs, run = [], 0
+    for r in sorted(counts, key=lambda r: r["_pid"]):
+        pairs += [F.lit(r["_pid"]), F.lit(run).cast("bigint")]
         run += r["count"]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    if pin:
-        ensure_checkpoint_dir(df.sparkSession)
-        ranged = ranged.checkpoint(eager=True)
-    pairs = []
-    for pid, off in offsets.items():
-        pairs += [F.lit(pid), F.lit(off).cast("bigint")]
     offset_map = F.create_map(*pairs) if pairs else F.create_map().cast("map<int,bigint>")
-    pid = F.spark_partition_id()
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    return ranged.withColumn("rn", F.coalesce(F.element_at(offset_map, pid), F.lit(0).cast("bigint")) + local)
+    return pinned.select(*order, (F.coalesce(F.element_at(offset_map, F.col("_pid")), F.lit(0).cast("bigint")) + F.col("_local")).alias("rn"))
+
+
+def number_rows(df: DataFrame, order: list[str], n_ranges: int | None = None) -> DataFrame:
+    """Add ``rn`` (0-based BIGINT) = position of the row in ``order`` (a unique key)."""
+    numbered = number_keys(df, order, n_ranges)
+    cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(numbered[c]) for c in order])
+    return df.join(numbered, cond).select(*[df[c] for c in df.columns], numbered["rn"])
+
 
+def assign_batches(
+    df: DataFrame,
+    batch_size: int,
+    order: list[str] | None = None,
+    n_ranges: int | None = None,
+    group: str | None = None,
+) -> DataFrame:
+    """Add ``batch_id`` and ``pos`` (position inside the batch) in ``order`` (default id).
 
-def assign_batches(df: DataFrame, batch_size: int, order: list[str] | None = None, n_ranges: int | None = None, pin: bool = False) -> DataFrame:
-    """Add ``batch_id`` and ``pos`` (position inside the batch) in ``order`` (default id)."""
+    With ``group``, batches restart in every group (e.g. one job per
+    namespace): rows are numbered in (group, order) and each group's first
+    row number (one row per group) is subtracted.
+    """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    numbered = number_rows(df, order or ["id"], n_ranges, pin)
+    order = order or ["id"]
+    if group is None:
+        numbered = number_rows(df, order, n_ranges)
+    else:
+        numbered = number_rows(df, [group] + order, n_ranges)
+        starts = numbered.groupBy(group).agg(F.min("rn").alias("_start"))
+        numbered = numbered.join(starts, group).withColumn("rn", F.col("rn") - F.col("_start")).drop("_start")
     return (
         numbered.withColumn("batch_id", F.floor(F.col("rn") / F.lit(batch_size)).cast("bigint"))
         .withColumn("pos", (F.col("rn") % F.lit(batch_size)).cast("bigint"))

@@ -1,6 +1,6 @@
 """Registered queries (name → fn(spark, sf_dir)) and their oracle SQL."""
 
-from . import knn_queries, record_queries, transport_queries  # noqa: F401  (register on import)
+from . import knn_queries, ledger_queries, record_queries, transport_queries  # noqa: F401  (register on import)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
