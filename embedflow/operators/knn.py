@@ -39,15 +39,13 @@ ORDER_DIGITS = 9
 
 
 def detect_dim(data: DataFrame, vector_col: str = "vector") -> int | None:
-    """Modal vector length (ties → smaller length); None for an empty table."""
-    row = (
-        data.groupBy(F.size(vector_col).alias("dim"))
-        .count()
-        .where(F.col("dim") > 0)
-        .orderBy(F.desc("count"), F.asc("dim"))
-        .first()
-    )
-    return None if row is None else int(row["dim"])
+    """Length of the first non-empty vector (reads one split, not the table); None if there is none.
+
+    Rows of any other length are not scored; ``operators.guards`` profiles
+    the whole table when raggedness matters.
+    """
+    rows = data.where(F.size(vector_col) > 0).select(F.size(vector_col).alias("dim")).limit(1).collect()
+    return int(rows[0]["dim"]) if rows else None
 
 
 def make_probes(spark: SparkSession, n_probes: int, dim: int, seed: str = PROBE_SEED) -> DataFrame:
@@ -57,15 +55,19 @@ def make_probes(spark: SparkSession, n_probes: int, dim: int, seed: str = PROBE_
     )
 
 
+MAX_PROBES = 1_000_000
+
+
 def _collect_probes(probes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    n = probes.count()
-    d = probes.select(F.max(F.size("probe"))).first()[0] or 0
-    if n * d > MAX_PROBE_CELLS:
+    """One bounded collect: at most MAX_PROBES rows and MAX_PROBE_CELLS values, else an error."""
+    rows = probes.select("probe_id", "probe").limit(MAX_PROBES + 1).collect()
+    d = max((len(r["probe"]) for r in rows), default=0)
+    if len(rows) > MAX_PROBES or len(rows) * d > MAX_PROBE_CELLS:
         raise ValueError(
-            f"probe matrix {n}x{d} exceeds the broadcast bound of {MAX_PROBE_CELLS} cells; "
+            f"probe matrix {len(rows)}x{d} exceeds the broadcast bound of {MAX_PROBE_CELLS} cells; "
             "use fewer probes or split them into several runs"
         )
-    rows = probes.orderBy("probe_id").collect()
+    rows.sort(key=lambda r: r["probe_id"])
     ids = np.array([r["probe_id"] for r in rows], dtype=np.int64)
     Q = np.array([r["probe"] for r in rows], dtype=np.float64).reshape(len(rows), d)
     return ids, Q
@@ -192,10 +194,43 @@ def positional_cosine(src_top: DataFrame, tgt_top: DataFrame) -> DataFrame:
 
 
 def probe_scores(probes: DataFrame, src_top: DataFrame, tgt_top: DataFrame) -> DataFrame:
-    """probe_id, overlap, cosine (NULL when either side found nothing)."""
-    return neighbour_overlap(probes, src_top, tgt_top).join(
-        positional_cosine(src_top, tgt_top), "probe_id", "left"
-    ).select("probe_id", "overlap", "cosine")
+    """probe_id, n_common, overlap, cosine (NULL when either side found nothing).
+
+    One shuffle: both top-k sets are unioned and grouped by probe (at most
+    2k rows per group); overlap and positional cosine are array functions
+    over the group, so each side is scanned and scored once.
+    """
+    hit = lambda df, side: df.select("probe_id", F.lit(side).alias("side"), "rank", "id", "vector")
+    g = (
+        hit(src_top, 0)
+        .unionByName(hit(tgt_top, 1))
+        .groupBy("probe_id")
+        .agg(F.array_sort(F.collect_list(F.struct("side", "rank", "id", "vector"))).alias("hits"))
+    )
+    s = F.filter("hits", lambda h: h["side"] == 0)
+    t = F.filter("hits", lambda h: h["side"] == 1)
+    s_ids = F.array_distinct(F.transform(s, lambda h: h["id"]))
+    t_ids = F.array_distinct(F.transform(t, lambda h: h["id"]))
+    pairs = F.filter(
+        F.zip_with(s, t, lambda a, b: F.when(a.isNotNull() & b.isNotNull(), V.cosine(a["vector"], b["vector"]))),
+        lambda c: c.isNotNull(),
+    )
+    per_probe = g.select(
+        "probe_id",
+        F.size(s_ids).alias("n_source"),
+        F.size(F.array_intersect(s_ids, t_ids)).alias("n_common"),
+        F.when(F.size(pairs) > 0, F.aggregate(pairs, F.lit(0.0), lambda acc, c: acc + c) / F.size(pairs)).alias("cosine"),
+    )
+    return (
+        probes.select("probe_id")
+        .join(per_probe, "probe_id", "left")
+        .select(
+            "probe_id",
+            F.coalesce("n_common", F.lit(0)).cast("bigint").alias("n_common"),
+            (F.coalesce("n_common", F.lit(0)) / F.greatest(F.coalesce("n_source", F.lit(0)), F.lit(1))).alias("overlap"),
+            "cosine",
+        )
+    )
 
 
 def semantic_summary(scores: DataFrame, top_k: int, threshold: float = 0.95) -> DataFrame:

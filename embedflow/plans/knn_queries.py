@@ -55,14 +55,8 @@ def knn_bruteforce(spark, sf_dir):
 )
 def neighbour_overlap(spark, sf_dir):
     probes, s, t = _both_sides(spark, sf_dir)
-    ov = knn.neighbour_overlap(probes, s, t)
-    pc = knn.positional_cosine(s, t)
-    return ov.join(pc, "probe_id", "left").select(
-        "probe_id",
-        "n_common",
-        F.round("overlap", 6).alias("overlap"),
-        F.round("cosine", 6).alias("cosine"),
-    )
+    sc = knn.probe_scores(probes, s, t)
+    return sc.select("probe_id", "n_common", F.round("overlap", 6).alias("overlap"), F.round("cosine", 6).alias("cosine"))
 
 
 @query(
