@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import batch_key_hex, hmac_sha256_hex
-from .vectors import fixed_point
+from .vectors import FP_LIMIT, FP_NAN, FP_NEG, FP_POS, fixed_point
 
 # Default session seed for batch keys.
 DIGEST_SEED = "embedflow"
@@ -58,12 +58,17 @@ def batch_digests(batched: DataFrame, seed: str = DIGEST_SEED, batch_col: str =
 
 
 def fixed_point_np(v: np.ndarray, scale: float = 1e6) -> np.ndarray:
-    """round(x * scale) half away from zero on the exact double value (as Spark's round)."""
+    """round(x * scale) half away from zero on the exact double value (as Spark's round); FP_* codes otherwise."""
     y = np.asarray(v, dtype=np.float64) * scale
-    a = np.abs(y)
+    ok = np.isfinite(y) & (np.abs(y) < FP_LIMIT)
+    a = np.abs(np.where(ok, y, 0.0))
     r = np.floor(a)
     r = r + (a - r >= 0.5)
-    return (np.sign(y) * r).astype(np.int64)
+    out = (np.sign(np.where(ok, y, 0.0)) * r).astype(np.int64)
+    out[np.isnan(y)] = FP_NAN
+    out[~np.isnan(y) & (y >= FP_LIMIT)] = FP_POS
+    out[~np.isnan(y) & (y <= -FP_LIMIT)] = FP_NEG
+    return out
 
 
 def row_digest_py(rid: str, v: np.ndarray) -> str:

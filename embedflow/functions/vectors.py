@@ -102,9 +102,29 @@ def metric_normalise_col(col) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), low), low)
 
 
+# Fixed-point codes for values that have no BIGINT form (NaN, ±inf, |x·scale| ≥ 9e18).
+FP_NAN = -(2**63)
+FP_POS = 2**63 - 1
+FP_NEG = -(2**63) + 1
+FP_LIMIT = 9e18
+
+
 def fixed_point(v, scale: float = 1e6) -> Column:
-    """Each element as round(x * scale) BIGINT: an engine-independent text form."""
-    return F.transform(as_double(v), lambda x: F.round(x * F.lit(scale)).cast("bigint"))
+    """Each element as round(x * scale) BIGINT: an engine-independent text form.
+
+    Non-finite or out-of-range values get the FP_* codes instead of failing.
+    """
+
+    def code(x):
+        y = x * F.lit(scale)
+        return (
+            F.when(F.isnan(y), F.lit(FP_NAN))
+            .when(y >= F.lit(FP_LIMIT), F.lit(FP_POS))
+            .when(y <= F.lit(-FP_LIMIT), F.lit(FP_NEG))
+            .otherwise(F.round(y).cast("bigint"))
+        )
+
+    return F.transform(as_double(v), code)
 
 
 def fingerprint(v) -> Column:

@@ -24,6 +24,14 @@ def test_fixed_point_matches_spark_round(spark):
     assert list(D.fixed_point_np(np.array(vals))) == spark_fp
 
 
+def test_non_finite_values_have_codes(spark):
+    vals = [float("nan"), float("inf"), float("-inf"), 1e300, -1e300, 1.0]
+    df = spark.createDataFrame([(vals,)], "v array<double>")
+    from embedflow.functions.vectors import fixed_point
+
+    assert df.select(fixed_point("v")).first()[0] == list(D.fixed_point_np(np.array(vals)))
+
+
 def test_batch_digest_python_equals_spark(spark):
     df, vecs = make_records(spark, 40, 8, 2)
     b = batching.assign_batches(df, 16)
