@@ -107,9 +107,11 @@ def normalisation_verdict(profiles: DataFrame) -> Column:
 def dimension_order_check(source: DataFrame, target: DataFrame, vector_col: str = "vector") -> DataFrame:
     """Per dimension over ids on both sides: max |source - target|, rows differing there, and
     ``n_permuted``: rows whose sorted values agree while the vectors differ (shuffled order)."""
-    j = source.select("id", F.col(vector_col).alias("sv")).join(
-        target.select("id", F.col(vector_col).alias("tv")), "id"
-    ).where(F.size("sv") == F.size("tv"))
+    from .reconcile import one_row_per_id
+
+    s = one_row_per_id(source.select("id", F.col(vector_col).alias("sv"))).drop("n_rows")
+    t = one_row_per_id(target.select("id", F.col(vector_col).alias("tv"))).drop("n_rows")
+    j = s.join(t, "id").where(F.size("sv") == F.size("tv"))
     j = j.withColumn("permuted", (F.array_sort("sv") == F.array_sort("tv")) & (F.col("sv") != F.col("tv")))
     diffs = j.select(
         "permuted",

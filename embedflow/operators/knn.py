@@ -84,6 +84,34 @@ def _candidate_schema(keep_vectors: bool) -> T.StructType:
     return T.StructType(fields)
 
 
+def _batch_candidates(S: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, probe) pairs that can still reach the global top-k, per probe column of S.
+
+    Keeps rows scoring at least the k-th best minus TIE_MARGIN (float noise
+    between engines can never drop a true neighbour), and among rows with a
+    bit-identical score only the k smallest ids: the final order breaks such
+    ties by id, so no other row of that score can be selected.  A hot group
+    of duplicated vectors therefore contributes k rows, not all of them.
+    """
+    n = S.shape[0]
+    if n <= k:
+        return np.nonzero(np.ones_like(S, dtype=bool))
+    kth = np.partition(S, n - k, axis=0)[n - k]
+    keep_r, keep_p = [], []
+    for p in range(S.shape[1]):
+        cand = np.nonzero(S[:, p] >= kth[p] - TIE_MARGIN)[0]
+        if len(cand) > k:
+            sc = S[cand, p]
+            order = np.lexsort((ids[cand], -sc))
+            cand, sc = cand[order], sc[order]
+            starts = np.r_[0, np.nonzero(sc[1:] != sc[:-1])[0] + 1]
+            run_start = np.repeat(starts, np.diff(np.r_[starts, len(sc)]))
+            cand = cand[np.arange(len(sc)) - run_start < k]
+        keep_r.append(cand)
+        keep_p.append(np.full(len(cand), p))
+    return np.concatenate(keep_r), np.concatenate(keep_p)
+
+
 def _block_scorer(probe_ids: np.ndarray, Q: np.ndarray, k: int, metric: str, keep_vectors: bool):
     d = Q.shape[1]
     q_norm = np.linalg.norm(Q, axis=1)
@@ -109,12 +137,7 @@ def _block_scorer(probe_ids: np.ndarray, Q: np.ndarray, k: int, metric: str, kee
             else:  # l2: larger score = nearer
                 x_sq = np.einsum("ij,ij->i", X, X)
                 S = -np.sqrt(np.maximum(x_sq[:, None] + q_sq[None, :] - 2.0 * dots, 0.0))
-            n = S.shape[0]
-            if n > k:
-                kth = np.partition(S, n - k, axis=0)[n - k]
-                rows, pcols = np.nonzero(S >= (kth - TIE_MARGIN)[None, :])
-            else:
-                rows, pcols = np.nonzero(np.ones_like(S, dtype=bool))
+            rows, pcols = _batch_candidates(S, ids, k)
             out = {"probe_id": probe_ids[pcols], "id": ids[rows], "score": S[rows, pcols]}
             if keep_vectors:
                 out["vector"] = list(X32[rows])

@@ -9,7 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STATUSES = ("missing", "extra", "vector_differs", "metadata_differs", "match")
+STATUSES = ("missing", "extra", "duplicate", "vector_differs", "metadata_differs", "match")
+
+
+def one_row_per_id(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row per id plus ``n_rows`` (how many the id had).
+
+    The kept row is the one with the smallest content hash, so the choice is
+    deterministic.  It is a partial aggregate: a duplicated hot id is reduced
+    map-side, and a later join on id is 1:1 (never all pairs of duplicates).
+    """
+    cols = [c for c in df.columns if c != id_col]
+    key = F.xxhash64(*[F.to_json(c) if dict(df.dtypes)[c].startswith("map") else F.col(c) for c in cols])
+    g = df.groupBy(id_col).agg(F.count("*").alias("n_rows"), F.min_by(F.struct(*cols), key).alias("_r"))
+    return g.select(id_col, *[F.col(f"_r.{c}").alias(c) for c in cols], "n_rows")
 
 
 def vectors_close(a, b, atol: float = 0.05, rtol: float = 1e-5) -> Column:
@@ -22,9 +35,12 @@ def vectors_close(a, b, atol: float = 0.05, rtol: float = 1e-5) -> Column:
 
 
 def reconcile(source: DataFrame, target: DataFrame, atol: float = 0.05, rtol: float = 1e-5) -> DataFrame:
-    """id, status: missing (source only) | extra (target only) | vector_differs | metadata_differs | match."""
-    s = source.select("id", F.col("vector").alias("sv"), F.col("metadata").alias("sm"), F.lit(True).alias("_s"))
-    t = target.select("id", F.col("vector").alias("tv"), F.col("metadata").alias("tm"), F.lit(True).alias("_t"))
+    """id, status: missing (source only) | extra (target only) | duplicate (id repeated on a side) |
+    vector_differs | metadata_differs | match."""
+    src = one_row_per_id(source.select("id", "vector", "metadata"))
+    tgt = one_row_per_id(target.select("id", "vector", "metadata"))
+    s = src.select("id", F.col("vector").alias("sv"), F.col("metadata").alias("sm"), F.col("n_rows").alias("_s"))
+    t = tgt.select("id", F.col("vector").alias("tv"), F.col("metadata").alias("tm"), F.col("n_rows").alias("_t"))
     j = s.join(t, "id", "full_outer")
     meta_same = F.coalesce(F.array_sort(F.map_entries("sm")) == F.array_sort(F.map_entries("tm")), F.lit(False)) | (
         F.col("sm").isNull() & F.col("tm").isNull()
@@ -32,6 +48,7 @@ def reconcile(source: DataFrame, target: DataFrame, atol: float = 0.05, rtol: fl
     status = (
         F.when(F.col("_t").isNull(), "missing")
         .when(F.col("_s").isNull(), "extra")
+        .when((F.col("_s") > 1) | (F.col("_t") > 1), "duplicate")
         .when(~vectors_close("sv", "tv", atol, rtol), "vector_differs")
         .when(~meta_same, "metadata_differs")
         .otherwise("match")

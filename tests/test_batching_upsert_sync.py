@@ -82,6 +82,18 @@ def test_reconcile_statuses(spark):
     }
 
 
+def test_duplicated_hot_id_is_reduced_not_paired(spark):
+    a, _ = make_records(spark, 5, 4, 0)
+    hot = a.where(F.col("id") == "v0001")
+    dup = a
+    for _ in range(11):
+        dup = dup.unionByName(hot)  # v0001 appears 12 times
+    out = R.reconcile(dup, dup).collect()
+    assert len(out) == 5
+    assert {r["id"]: r["status"] for r in out}["v0001"] == "duplicate"
+    assert U.upsert_replace(a, dup).count() == 5
+
+
 def _changes(spark, rows):
     return spark.createDataFrame(rows, "id string, seq bigint, updated_at timestamp, value double")
 

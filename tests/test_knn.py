@@ -45,6 +45,19 @@ def test_ties_are_broken_by_id(spark):
         assert ids[0].startswith("a") and ids[1] == ids[0][1:]
 
 
+def test_hot_duplicate_group_stays_small_and_exact():
+    import numpy as np
+
+    from embedflow.operators.knn import _batch_candidates
+
+    rng = np.random.default_rng(0)
+    S = np.vstack([np.full((5000, 3), 0.9), rng.uniform(-1, 0.8, (100, 3))])  # 5000 rows tie at the top
+    ids = np.array([f"h{i:05d}" for i in range(5000)] + [f"o{i:03d}" for i in range(100)], dtype=object)
+    r, p = _batch_candidates(S, ids, 4)
+    assert len(r) == 12  # k per probe, not 5000
+    assert sorted(ids[r[p == 0]]) == ["h00000", "h00001", "h00002", "h00003"]
+
+
 def test_identical_stores_pass(spark):
     df, _ = make_records(spark, 100, 32, 0)
     scores, summary = knn.semantic_validate(df, df, n_probes=20, top_k=5)
