@@ -37,6 +37,13 @@ def row_digest(id_col="id", vector_col="vector") -> Column:
     return F.sha2(text, 256)
 
 
+def digest_of(batch_id: Column, count: Column, dim: Column, pairs: Column, seed: str = DIGEST_SEED) -> Column:
+    """Keyed digest from an array of struct(id, rd) row digests (any order)."""
+    digests = F.array_join(F.transform(F.array_sort(pairs), lambda s: s["rd"]), ",")
+    msg = F.concat_ws("|", batch_id.cast("string"), count.cast("string"), dim.cast("string"), digests)
+    return hmac_sha256_hex(batch_key_hex(seed, batch_id), msg)
+
+
 def batch_digests(batched: DataFrame, seed: str = DIGEST_SEED, batch_col: str = "batch_id") -> DataFrame:
     """batch_id, count, dim, digest for rows carrying (batch_id, id, vector)."""
     rows = batched.select(F.col(batch_col).alias("batch_id"), "id", F.size("vector").alias("d"), row_digest().alias("rd"))

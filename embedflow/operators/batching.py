@@ -30,8 +30,11 @@ def _n_ranges(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def number_keys(df: DataFrame, order: list[str], n_ranges: int | None = None) -> DataFrame:
-    """The distinct rows of ``df.select(order)`` with ``rn`` (0-based BIGINT) in that order."""
+def number_keys(df: DataFrame, order: list[str], n_ranges: int | None = None, stats: dict | None = None) -> DataFrame:
+    """The rows of ``df.select(order)`` with ``rn`` (0-based BIGINT) in that order.
+
+    ``stats``, if given, receives {"rows": total, "ranges": n}.
+    """
     n = _n_ranges(df, n_ranges)
     keys = [F.col(c) for c in order]
     pid = F.spark_partition_id()
@@ -49,13 +52,15 @@ def number_keys(df: DataFrame, order: list[str], n_ranges: int | None = None) ->
     for r in sorted(counts, key=lambda r: r["_pid"]):
         pairs += [F.lit(r["_pid"]), F.lit(run).cast("bigint")]
         run += r["count"]
+    if stats is not None:
+        stats.update(rows=run, ranges=n)
     offset_map = F.create_map(*pairs) if pairs else F.create_map().cast("map<int,bigint>")
     return pinned.select(*order, (F.coalesce(F.element_at(offset_map, F.col("_pid")), F.lit(0).cast("bigint")) + F.col("_local")).alias("rn"))
 
 
-def number_rows(df: DataFrame, order: list[str], n_ranges: int | None = None) -> DataFrame:
+def number_rows(df: DataFrame, order: list[str], n_ranges: int | None = None, stats: dict | None = None) -> DataFrame:
     """Add ``rn`` (0-based BIGINT) = position of the row in ``order`` (a unique key)."""
-    numbered = number_keys(df, order, n_ranges)
+    numbered = number_keys(df, order, n_ranges, stats)
     cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(numbered[c]) for c in order])
     return df.join(numbered, cond).select(*[df[c] for c in df.columns], numbered["rn"])
 
@@ -66,6 +71,7 @@ def assign_batches(
     order: list[str] | None = None,
     n_ranges: int | None = None,
     group: str | None = None,
+    stats: dict | None = None,
 ) -> DataFrame:
     """Add ``batch_id`` and ``pos`` (position inside the batch) in ``order`` (default id).
 
@@ -77,9 +83,9 @@ def assign_batches(
         raise ValueError("batch_size must be positive")
     order = order or ["id"]
     if group is None:
-        numbered = number_rows(df, order, n_ranges)
+        numbered = number_rows(df, order, n_ranges, stats)
     else:
-        numbered = number_rows(df, [group] + order, n_ranges)
+        numbered = number_rows(df, [group] + order, n_ranges, stats)
         starts = numbered.groupBy(group).agg(F.min("rn").alias("_start"))
         numbered = numbered.join(starts, group).withColumn("rn", F.col("rn") - F.col("_start")).drop("_start")
     return (

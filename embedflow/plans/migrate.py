@@ -3,12 +3,15 @@
     result = migrate(source_df, "/shared/targets/docs", JobSpec(job_id="docs"))
 
 Target layout under ``target_root``:
-    data/      canonical rows + ``batch_id`` lineage, partitioned by namespace,
-               appended once per run (each run commits atomically)
+    data/      canonical rows + ``batch_id`` and ``row_digest`` lineage, partitioned
+               by namespace, appended once per run (each run commits atomically)
     _batches/  append-only batch statistics (the job ledger)
 
-Verification re-reads the target and compares every batch's keyed digest
-with the source's; only 64-hex row digests are shuffled for it.
+The source is scanned once: each row's digest is computed as it is
+written.  Verification re-reads the target once and compares, per batch,
+the keyed digest of the stored source digests (with the expected row
+count) against the keyed digest recomputed from the stored vectors; only
+64-hex row digests are grouped for it.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from dataclasses import asdict, dataclass, fields
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.digest import DIGEST_SEED, batch_digests
+from ..functions.digest import DIGEST_SEED, digest_of, row_digest
 from ..operators import batching, frames, guards, knn
 
 DATA = "data"
@@ -99,35 +102,47 @@ def migrate(source: DataFrame, target_root: str, spec: JobSpec | None = None) ->
         todo = source.join(existing.select("id"), "id", "left_anti")  # J5: what is still to copy
 
     run = uuid.uuid4().hex[:12]
-    batched = batching.assign_batches(todo, spec.batch_size).withColumn(
-        "batch_id", F.concat_ws("-", F.lit(run), F.col("batch_id").cast("string"))
-    ).drop("rn")
-    batched.select("id", "vector", "metadata", "namespace", "batch_id").write.mode("append").partitionBy("namespace").parquet(data_path)
+    numbering: dict = {}
+    batched = batching.assign_batches(todo, spec.batch_size, stats=numbering)
+    n_todo = int(numbering.get("rows", 0))
+    # Each row's digest is computed from the source row in the task that writes it.
+    rows = batched.select(
+        "id",
+        "vector",
+        "metadata",
+        "namespace",
+        F.concat_ws("-", F.lit(run), F.col("batch_id").cast("string")).alias("batch_id"),
+        row_digest().alias("row_digest"),
+    )
+    rows.write.mode("append").partitionBy("namespace").parquet(data_path)
 
-    # Verify: digests of the rows as re-read from the target against the source's.
+    # Verify from one re-read of what was written: the stored source digests against
+    # digests recomputed from the stored vectors, and the count against the numbering.
     target = spark.read.parquet(data_path).where(F.col("batch_id").startswith(run + "-"))
-    src_d = batch_digests(batched, spec.seed).select("batch_id", F.col("count").alias("sent"), F.col("digest").alias("src_digest"))
-    tgt_d = batch_digests(target, spec.seed).select("batch_id", F.col("count").alias("received"), F.col("digest").alias("tgt_digest"))
-    sizes = batched.groupBy("batch_id").agg(
+    g = target.groupBy("batch_id").agg(
+        F.count("*").alias("received"),
+        F.max(F.size("vector")).alias("dim"),
+        F.collect_list(F.struct(F.col("id"), F.col("row_digest").alias("rd"))).alias("src_rd"),
+        F.collect_list(F.struct(F.col("id"), row_digest().alias("rd"))).alias("tgt_rd"),
         (4 * F.sum(F.size("vector"))).cast("bigint").alias("raw_bytes"),
         (F.lit(frames.SEALED_HEADER) + F.sum(frames.sealed_record_bytes())).cast("bigint").alias("wire_bytes"),
         F.max("id").alias("last_id"),
     )
-    ok = F.col("src_digest") == F.col("tgt_digest")
-    stats = (
-        src_d.join(tgt_d, "batch_id", "left")
-        .join(sizes, "batch_id")
-        .select(
-            F.lit(spec.job_id).alias("job_id"),
-            "batch_id",
-            F.col("sent").cast("bigint").alias("sent"),
-            F.coalesce("received", F.lit(0)).cast("bigint").alias("received"),
-            F.when(ok, F.col("received")).otherwise(F.lit(0)).cast("bigint").alias("verified"),
-            F.when(ok, F.lit(0)).otherwise(F.coalesce("received", F.lit(0))).cast("bigint").alias("failed"),
-            "wire_bytes",
-            "raw_bytes",
-            "last_id",
-        )
+    seq = F.split("batch_id", "-").getItem(1).cast("bigint")
+    sent = F.least(F.lit(spec.batch_size).cast("bigint"), F.lit(n_todo) - seq * spec.batch_size)
+    src_digest = digest_of(F.col("batch_id"), sent, F.col("dim"), F.col("src_rd"), spec.seed)
+    tgt_digest = digest_of(F.col("batch_id"), F.col("received"), F.col("dim"), F.col("tgt_rd"), spec.seed)
+    ok = src_digest == tgt_digest
+    stats = g.select(
+        F.lit(spec.job_id).alias("job_id"),
+        "batch_id",
+        sent.alias("sent"),
+        F.col("received").cast("bigint").alias("received"),
+        F.when(ok, F.col("received")).otherwise(F.lit(0)).cast("bigint").alias("verified"),
+        F.when(ok, F.lit(0)).otherwise(F.col("received")).cast("bigint").alias("failed"),
+        "wire_bytes",
+        "raw_bytes",
+        "last_id",
     )
     stats_path = os.path.join(target_root, BATCHES)
     stats.write.mode("append").parquet(stats_path)

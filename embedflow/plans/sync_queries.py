@@ -60,11 +60,12 @@ def sync_latest_per_id(spark, sf_dir):
 
 @query("sync_incremental", LATEST_SQL)
 def sync_incremental(spark, sf_dir):
-    """Initial load up to T0, then one catch-up pass from the stored high-water mark."""
+    """Initial load up to T0, one catch-up pass from the stored high-water mark, then compaction."""
     target = sync.SyncTarget(scratch_path(spark, "sync-incremental"), "id", "updated_at", "seq")
     f = feed(spark, sf_dir)
     sync.sync_once(spark, target, f.where(F.col("updated_at") <= F.lit(T0).cast("timestamp")))
     sync.sync_once(spark, target, f)
+    sync.compact(spark, target)
     return _out(target.current(spark))
 
 
@@ -72,7 +73,7 @@ def _run_stream(spark, sf_dir, trigger, name):
     files = write_feed_files(spark, sf_dir)
     target = sync.SyncTarget(scratch_path(spark, name), "id", "updated_at", "seq")
     stream = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", 2).parquet(files)
-    q = sync.start_sync_stream(stream, target, os.path.join(target.root, "_checkpoint"), trigger)
+    q = sync.start_sync_stream(stream, target, os.path.join(target.root, "_checkpoint"), trigger, compact_every=2)
     if "availableNow" in trigger:
         q.awaitTermination()
     else:
@@ -96,7 +97,7 @@ def sync_live(spark, sf_dir):
 )
 def sync_batch_ledger(spark, sf_dir):
     target = _run_stream(spark, sf_dir, {"availableNow": True}, "sync-ledger")
-    led = target.ledger(spark)
+    led = target.ledger(spark).where(F.col("kind") == "delta")
     final = target.current(spark)
     n_ids = final.count()
     return led.agg(

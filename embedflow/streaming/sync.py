@@ -1,18 +1,21 @@
-"""Incremental and continuous sync of a change feed into a versioned target (ST1-ST5).
+"""Incremental and continuous sync of a change feed into a merge-on-read target (ST1-ST5).
 
 Target layout (all under one root in shared storage):
 
-    root/v-<epoch>/      one immutable Parquet version per committed epoch
-    root/_ledger/        append-only Parquet: epoch, version, n_changes,
-                         hw_ts, hw_seq, committed_at
-
-* Each micro-batch (``foreachBatch``) keeps the last change per id
-  (max_by over (updated_at, seq): a partial aggregate), upserts it into the
-  previous committed version only where it is newer, writes the result to
-  ``v-<epoch>`` and then appends the ledger row.  A retried epoch rewrites
-  its own folder and is committed once: the ledger is checked by epoch.
-* The current version is the newest committed epoch; nothing reads a
-  folder that is being written.
+    root/delta/epoch=<n>/   the epoch's changes, one (latest) row per key
+    root/base/epoch=<n>/    a compacted snapshot covering every delta <= n
+    root/_ledger/           append-only Parquet: epoch, kind ('delta' | 'base'),
+                            path, n_changes, hw_ts, hw_seq, committed_at
+
+* An epoch (``foreachBatch``) costs O(its changes): last change per key
+  (max_by over (updated_at, seq), a partial aggregate), written to its own
+  folder, then one ledger row.  A retried epoch rewrites its own folder and
+  is committed once (the ledger is checked by epoch), so retries are
+  idempotent and no folder that readers use is ever overwritten.
+* The current table is the last row per key over the newest base and the
+  committed deltas after it (one aggregation; hot keys combine map-side).
+  ``compact`` folds the deltas into a new base; streams can compact every
+  N epochs.
 * High-water marks are (updated_at, seq) pairs, so rows sharing a
   timestamp are not lost; late rows are the streaming dedup's job (ST4).
 """
@@ -27,12 +30,12 @@ from pyspark.sql import functions as F
 
 from ..operators.progress import latest
 
-LEDGER_SCHEMA = "epoch bigint, version string, n_changes bigint, hw_ts timestamp, hw_seq bigint, committed_at timestamp"
+LEDGER_SCHEMA = "epoch bigint, kind string, path string, n_changes bigint, hw_ts timestamp, hw_seq bigint, committed_at timestamp"
 
 
 @dataclass
 class SyncTarget:
-    """A versioned table at ``root`` keyed by ``key``; rows ordered by (ts_col, seq_col)."""
+    """A merge-on-read table at ``root`` keyed by ``key``; rows ordered by (ts_col, seq_col)."""
 
     root: str
     key: str = "id"
@@ -49,20 +52,37 @@ class SyncTarget:
         except Exception:  # noqa: BLE001  (no ledger yet)
             return None
 
-    def last_commit(self, spark: SparkSession, before_epoch: int | None = None):
+    def committed(self, spark: SparkSession, epoch: int, kind: str) -> bool:
+        led = self.ledger(spark)
+        return led is not None and led.where((F.col("epoch") == epoch) & (F.col("kind") == kind)).limit(1).count() > 0
+
+    def high_water(self, spark: SparkSession):
+        """(hw_ts, hw_seq, last_epoch) over all committed deltas, or None."""
         led = self.ledger(spark)
         if led is None:
             return None
-        if before_epoch is not None:
-            led = led.where(F.col("epoch") < before_epoch)
-        return led.orderBy(F.desc("epoch")).select("epoch", "version", "hw_ts", "hw_seq").first()
+        row = led.where(F.col("kind") == "delta").agg(
+            F.max(F.struct("hw_ts", "hw_seq")).alias("hw"), F.max("epoch").alias("epoch")
+        ).first()
+        return None if row["epoch"] is None else (row["hw"]["hw_ts"], row["hw"]["hw_seq"], int(row["epoch"]))
 
-    def current(self, spark: SparkSession, schema=None, before_epoch: int | None = None) -> DataFrame | None:
-        last = self.last_commit(spark, before_epoch)
-        if last is None:
+    def _paths(self, spark: SparkSession) -> list[str]:
+        led = self.ledger(spark)
+        if led is None:
+            return []
+        rows = led.select("epoch", "kind", "path").collect()  # one row per commit
+        bases = [r for r in rows if r["kind"] == "base"]
+        start = max((r["epoch"] for r in bases), default=-1)
+        paths = [r["path"] for r in bases if r["epoch"] == start]
+        paths += sorted(r["path"] for r in rows if r["kind"] == "delta" and r["epoch"] > start)
+        return paths
+
+    def current(self, spark: SparkSession, schema=None) -> DataFrame | None:
+        paths = self._paths(spark)
+        if not paths:
             return None
         reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(os.path.join(self.root, last["version"]))
+        return latest_per_key(reader.parquet(*paths), self.key, self.ts_col, self.seq_col)
 
 
 def latest_per_key(changes: DataFrame, key: str, ts_col: str, seq_col: str) -> DataFrame:
@@ -70,45 +90,53 @@ def latest_per_key(changes: DataFrame, key: str, ts_col: str, seq_col: str) -> D
     return latest(changes, key, [ts_col, seq_col])
 
 
-def upsert_newer(current: DataFrame | None, changes: DataFrame, key: str, ts_col: str, seq_col: str) -> DataFrame:
-    """Replace rows whose change is newer; add new keys; keep everything else."""
-    if current is None:
-        return changes
-    cols = current.columns
-    cur = current.select(key, F.struct(ts_col, seq_col).alias("_cur"))
-    ch = changes.join(cur, key, "left").where(F.col("_cur").isNull() | (F.struct(ts_col, seq_col) > F.col("_cur"))).select(*cols)
-    kept = current.join(ch.select(key), key, "left_anti").select(*cols)
-    return kept.unionByName(ch)
+def _commit(spark: SparkSession, target: SyncTarget, epoch: int, kind: str, path: str, n: int, hw) -> None:
+    row = spark.createDataFrame(
+        [(epoch, kind, path, n, hw[0] if hw else None, hw[1] if hw else None)],
+        "epoch bigint, kind string, path string, n_changes bigint, hw_ts timestamp, hw_seq bigint",
+    )
+    row.withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(target.ledger_path)
 
 
 def apply_changes(spark: SparkSession, target: SyncTarget, batch: DataFrame, epoch: int) -> int:
-    """Commit one epoch of changes (idempotent per epoch). Returns rows in the change set."""
-    led = target.ledger(spark)
-    if led is not None and led.where(F.col("epoch") == epoch).limit(1).count() > 0:
-        return 0  # this epoch was already committed
+    """Commit one epoch of changes (idempotent per epoch). Returns keys changed."""
+    if target.committed(spark, epoch, "delta"):
+        return 0
     changes = latest_per_key(batch, target.key, target.ts_col, target.seq_col)
-    stats = changes.agg(F.count("*").alias("n"), F.max(F.struct(target.ts_col, target.seq_col)).alias("hw")).first()
+    path = os.path.join(target.root, "delta", f"epoch={epoch}")
+    changes.write.mode("overwrite").parquet(path)
+    written = spark.read.parquet(path)
+    stats = written.agg(F.count("*").alias("n"), F.max(F.struct(target.ts_col, target.seq_col)).alias("hw")).first()
     n = int(stats["n"])
     if n == 0:
         return 0
-    prev = target.current(spark, schema=changes.schema, before_epoch=epoch)
-    version = f"v-{epoch:010d}"
-    upsert_newer(prev, changes, target.key, target.ts_col, target.seq_col).write.mode("overwrite").parquet(
-        os.path.join(target.root, version)
-    )
-    hw = stats["hw"]
-    row = spark.createDataFrame([(epoch, version, n, hw[0], hw[1])], "epoch bigint, version string, n_changes bigint, hw_ts timestamp, hw_seq bigint")
-    row.withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(target.ledger_path)
+    _commit(spark, target, epoch, "delta", path, n, (stats["hw"][0], stats["hw"][1]))
     return n
 
 
+def compact(spark: SparkSession, target: SyncTarget) -> str | None:
+    """Fold the base and its deltas into a new base at the last committed epoch."""
+    hw = target.high_water(spark)
+    if hw is None:
+        return None
+    epoch = hw[2]
+    if target.committed(spark, epoch, "base"):
+        return None
+    cur = target.current(spark)
+    path = os.path.join(target.root, "base", f"epoch={epoch}")
+    cur.write.mode("overwrite").parquet(path)
+    n = spark.read.parquet(path).count()
+    _commit(spark, target, epoch, "base", path, n, (hw[0], hw[1]))
+    return path
+
+
 def sync_once(spark: SparkSession, target: SyncTarget, changes: DataFrame) -> int:
     """ST1: one catch-up pass from the stored high-water mark (batch form)."""
-    last = target.last_commit(spark)
-    if last is not None:
-        hw = F.struct(F.lit(last["hw_ts"]).cast("timestamp"), F.lit(last["hw_seq"]).cast("bigint"))
-        changes = changes.where(F.struct(target.ts_col, target.seq_col) > hw)
-    epoch = 0 if last is None else int(last["epoch"]) + 1
+    hw = target.high_water(spark)
+    if hw is not None:
+        mark = F.struct(F.lit(hw[0]).cast("timestamp"), F.lit(hw[1]).cast("bigint"))
+        changes = changes.where(F.struct(target.ts_col, target.seq_col) > mark)
+    epoch = 0 if hw is None else hw[2] + 1
     return apply_changes(spark, target, changes, epoch)
 
 
@@ -118,12 +146,15 @@ def start_sync_stream(
     checkpoint_location: str,
     trigger: dict | None = None,
     query_name: str | None = None,
+    compact_every: int | None = None,
 ):
-    """ST2/ST5: readStream → foreachBatch(upsert + ledger).  Offsets live in ``checkpoint_location``."""
+    """ST2/ST5: readStream → foreachBatch(delta + ledger).  Offsets live in ``checkpoint_location``."""
     spark = stream.sparkSession
 
     def each(batch_df: DataFrame, epoch_id: int):
         apply_changes(spark, target, batch_df, int(epoch_id))
+        if compact_every and (int(epoch_id) + 1) % compact_every == 0:
+            compact(spark, target)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     if query_name:

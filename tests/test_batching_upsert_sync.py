@@ -112,6 +112,10 @@ def test_sync_epoch_is_idempotent_and_keeps_equal_timestamps(spark):
     cur = {r["id"]: r["value"] for r in target.current(spark).collect()}
     assert cur == {"a": 3.0, "b": 2.0}
     assert target.ledger(spark).count() == 2
+    sync.compact(spark, target)
+    assert {r["id"]: r["value"] for r in target.current(spark).collect()} == cur
+    sync.apply_changes(spark, target, _changes(spark, [("c", 9, t, 5.0)]), 2)
+    assert {r["id"]: r["value"] for r in target.current(spark).collect()} == {**cur, "c": 5.0}
 
 
 def test_sync_once_uses_high_water_mark(spark):
