@@ -18,8 +18,10 @@ import hashlib
 import hmac
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .hashing import batch_key_hex, hmac_sha256_hex
 from .vectors import FP_LIMIT, FP_NAN, FP_NEG, FP_POS, fixed_point
@@ -37,6 +39,50 @@ def row_digest(id_col="id", vector_col="vector") -> Column:
     return F.sha2(text, 256)
 
 
+def _row_digests_np(ids, vectors) -> list[str]:
+    """Row digests for one Arrow batch: fixed point on the whole matrix when dims agree."""
+    vecs = [np.asarray(v, dtype=np.float32) for v in vectors]
+    out = [None] * len(vecs)
+    if vecs and len({len(v) for v in vecs}) == 1:
+        mat = fixed_point_np(np.stack(vecs)) if len(vecs[0]) else np.zeros((len(vecs), 0), np.int64)
+        rows = mat.tolist()
+    else:
+        rows = [fixed_point_np(v).tolist() for v in vecs]
+    sha = hashlib.sha256
+    for i, (rid, r) in enumerate(zip(ids, rows)):
+        out[i] = sha((rid + ":" + ",".join(map(str, r))).encode("utf-8")).hexdigest()
+    return out
+
+
+def row_digest_fast(id_col="id", vector_col="vector") -> Column:
+    """Same value as ``row_digest`` via an Arrow-batched pandas UDF (≈10× cheaper per element
+    than interpreted lambdas); tests check both agree."""
+    @F.pandas_udf("string")
+    def _rd(ids: pd.Series, vecs: pd.Series) -> pd.Series:
+        return pd.Series(_row_digests_np(ids.tolist(), vecs.tolist()))
+
+    return _rd(F.col(id_col) if isinstance(id_col, str) else id_col, F.col(vector_col) if isinstance(vector_col, str) else vector_col)
+
+
+def with_row_digests(df: DataFrame, keep: list[str], id_col: str = "id", vector_col: str = "vector", out: str = "rd") -> DataFrame:
+    """``keep`` columns plus the row digest ``out``, computed in Arrow batches (same value as row_digest)."""
+    import pyarrow as pa
+
+    from .arrowvec import fixed_point_texts
+
+    schema = T.StructType([f for f in df.select(*keep).schema.fields] + [T.StructField(out, T.StringType())])
+    cols = list(dict.fromkeys(keep + [id_col, vector_col]))
+
+    def run(batches):
+        sha = hashlib.sha256
+        for b in batches:
+            texts = fixed_point_texts(b.column(id_col), b.column(vector_col), fixed_point_np)
+            rd = pa.array([sha(t.encode("utf-8")).hexdigest() if t is not None else None for t in texts], type=pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [rd], names=keep + [out])
+
+    return df.select(*cols).mapInArrow(run, schema)
+
+
 def digest_of(batch_id: Column, count: Column, dim: Column, pairs: Column, seed: str = DIGEST_SEED) -> Column:
     """Keyed digest from an array of struct(id, rd) row digests (any order)."""
     digests = F.array_join(F.transform(F.array_sort(pairs), lambda s: s["rd"]), ",")
@@ -46,7 +92,8 @@ def digest_of(batch_id: Column, count: Column, dim: Column, pairs: Column, seed:
 
 def batch_digests(batched: DataFrame, seed: str = DIGEST_SEED, batch_col: str = "batch_id") -> DataFrame:
     """batch_id, count, dim, digest for rows carrying (batch_id, id, vector)."""
-    rows = batched.select(F.col(batch_col).alias("batch_id"), "id", F.size("vector").alias("d"), row_digest().alias("rd"))
+    base = batched.select(F.col(batch_col).alias("batch_id"), "id", "vector", F.size("vector").alias("d"))
+    rows = with_row_digests(base, ["batch_id", "id", "d"])
     g = rows.groupBy("batch_id").agg(
         F.count("*").alias("count"),
         F.max("d").alias("dim"),
@@ -78,6 +125,27 @@ def fixed_point_np(v: np.ndarray, scale: float = 1e6) -> np.ndarray:
     return out
 
 
+def row_digests_matrix(ids: list[str], vectors: list[np.ndarray]) -> list[str]:
+    """Row digests of decoded vectors (any lengths), with vectorised Arrow string kernels."""
+    import pyarrow as pa
+
+    from .arrowvec import fixed_point_texts
+
+    lens = np.array([len(v) for v in vectors], dtype=np.int32)
+    offsets = pa.array(np.r_[0, np.cumsum(lens)].astype(np.int32))
+    flat = pa.array(np.concatenate(vectors).astype(np.float32) if len(vectors) else np.zeros(0, np.float32))
+    arr = pa.ListArray.from_arrays(offsets, flat)
+    texts = fixed_point_texts(pa.array(ids, type=pa.string()), arr, fixed_point_np)
+    return [hashlib.sha256(t.encode("utf-8")).hexdigest() for t in texts]
+
+
+def batch_digest_from_rows(batch_id, ids: list[str], row_digests: list[str], dim: int, seed: str = DIGEST_SEED) -> str:
+    pairs = sorted(zip(ids, row_digests))
+    msg = f"{batch_id}|{len(pairs)}|{dim}|" + ",".join(d for _, d in pairs)
+    key = hashlib.sha256(f"{seed}:{batch_id}".encode("utf-8")).digest()
+    return hmac.new(key, msg.encode("utf-8"), hashlib.sha256).hexdigest()
+
+
 def row_digest_py(rid: str, v: np.ndarray) -> str:
     text = rid + ":" + ",".join(str(int(x)) for x in fixed_point_np(v))
     return hashlib.sha256(text.encode("utf-8")).hexdigest()

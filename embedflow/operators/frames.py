@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.digest import DIGEST_SEED, batch_digest_py
+from ..functions.digest import DIGEST_SEED, batch_digest_from_rows, row_digests_matrix, with_row_digests
 
 # Sealed-frame magic and header sizes.
 MAGIC = b"EMBF"
@@ -72,7 +72,8 @@ def unpack_binary(data: bytes):
     return ids, vecs
 
 
-def pack_sealed(batch_id: int, ids, vectors, metas, seed: str = DIGEST_SEED) -> bytes:
+def pack_sealed(batch_id: int, ids, vectors, metas, seed: str = DIGEST_SEED, row_digests=None) -> bytes:
+    """``row_digests`` (from Spark) saves recomputing them here; they must match the vectors."""
     vecs = _vectors(vectors)
     if not vecs:
         return b""
@@ -80,7 +81,8 @@ def pack_sealed(batch_id: int, ids, vectors, metas, seed: str = DIGEST_SEED) ->
     for rid, v in zip(ids, vecs):
         if len(v) != dim:
             raise FrameError(f"ragged batch: record {rid!r} has {len(v)} dims, batch has {dim}")
-    digest = bytes.fromhex(batch_digest_py(batch_id, list(ids), vecs, seed))
+    rds = list(row_digests) if row_digests is not None else row_digests_matrix(list(ids), vecs)
+    digest = bytes.fromhex(batch_digest_from_rows(batch_id, list(ids), rds, dim, seed))
     parts = [MAGIC, struct.pack(">IIQ", len(vecs), dim, batch_id), digest]
     for rid, v, m in zip(ids, vecs, metas):
         ib, mb = rid.encode("utf-8"), (m or "{}").encode("utf-8")
@@ -111,7 +113,7 @@ def unpack_sealed(data: bytes, seed: str = DIGEST_SEED):
             off += ml
     except (struct.error, ValueError) as e:
         raise FrameError(f"truncated frame: {e}") from e
-    verified = off == len(data) and batch_digest_py(batch_id, ids, vecs, seed) == stored
+    verified = off == len(data) and batch_digest_from_rows(batch_id, ids, row_digests_matrix(ids, vecs), dim, seed) == stored
     return batch_id, ids, vecs, metas, verified
 
 
@@ -139,7 +141,7 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
         pdf = _order(pdf)
         bid = int(pdf["batch_id"].iloc[0])
         ids, vecs = pdf["id"].tolist(), pdf["vector"].tolist()
-        frame = pack_sealed(bid, ids, vecs, pdf["meta_json"].tolist(), seed)
+        frame = pack_sealed(bid, ids, vecs, pdf["meta_json"].tolist(), seed, pdf["rd"].tolist())
         return pd.DataFrame(
             {
                 "batch_id": [bid],
@@ -151,6 +153,7 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
         )
 
     rows = batched.select("batch_id", "pos", "id", "vector", F.to_json("metadata").alias("meta_json"))
+    rows = with_row_digests(rows, ["batch_id", "pos", "id", "vector", "meta_json"])
     return rows.groupBy("batch_id").applyInPandas(pack, FRAME_SCHEMA)
 
 

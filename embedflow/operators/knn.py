@@ -113,22 +113,33 @@ def _batch_candidates(S: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarra
 
 
 def _block_scorer(probe_ids: np.ndarray, Q: np.ndarray, k: int, metric: str, keep_vectors: bool):
+    """mapInArrow function: each Arrow batch is one (n × dim) matrix product with the probes.
+
+    The list column is read as a flat float32 buffer (zero copy when every
+    row has the probe dimension); rows of another length are skipped.
+    """
+    import pyarrow as pa
+
+    from ..functions.arrowvec import as_matrix, list_lengths
+
     d = Q.shape[1]
     q_norm = np.linalg.norm(Q, axis=1)
     q_sq = q_norm**2
-    cols = ["probe_id", "id", "score"] + (["vector"] if keep_vectors else [])
+    schema = _candidate_schema(keep_vectors)
+    names = [f.name for f in schema.fields]
+    vec_type = pa.list_(pa.float32())
 
     def score_batches(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
+        for b in batches:
+            if b.num_rows == 0:
                 continue
-            vecs = pdf["vector"].to_numpy()
-            ok = np.fromiter((v is not None and len(v) == d for v in vecs), bool, len(vecs))
-            if not ok.any():
+            varr = b.column("vector")
+            ok = np.nonzero(list_lengths(varr) == d)[0]
+            if len(ok) == 0:
                 continue
-            X32 = np.stack([np.asarray(v, dtype=np.float32) for v in vecs[ok]])
+            X32 = as_matrix(varr, ok, d, np.float32)
             X = X32.astype(np.float64)
-            ids = pdf["id"].to_numpy()[ok]
+            ids = np.asarray(b.column("id").to_pylist(), dtype=object)[ok]
             dots = X @ Q.T
             if metric == "cosine":
                 S = dots / (np.linalg.norm(X, axis=1)[:, None] * q_norm[None, :] + V.EPS)
@@ -138,10 +149,16 @@ def _block_scorer(probe_ids: np.ndarray, Q: np.ndarray, k: int, metric: str, kee
                 x_sq = np.einsum("ij,ij->i", X, X)
                 S = -np.sqrt(np.maximum(x_sq[:, None] + q_sq[None, :] - 2.0 * dots, 0.0))
             rows, pcols = _batch_candidates(S, ids, k)
-            out = {"probe_id": probe_ids[pcols], "id": ids[rows], "score": S[rows, pcols]}
+            cols = [
+                pa.array(probe_ids[pcols], pa.int64()),
+                pa.array(ids[rows].tolist(), pa.string()),
+                pa.array(S[rows, pcols], pa.float64()),
+            ]
             if keep_vectors:
-                out["vector"] = list(X32[rows])
-            yield pd.DataFrame(out, columns=cols)
+                sel = X32[rows]
+                offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * d)
+                cols.append(pa.ListArray.from_arrays(offsets, pa.array(sel.reshape(-1), pa.float32())).cast(vec_type))
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return score_batches
 
@@ -175,7 +192,7 @@ def knn_topk(
     probe_ids, Q = _collect_probes(probes)
     base = data.select(F.col("id").cast("string").alias("id"), F.col("vector"))
     if method == "block":
-        cands = base.mapInPandas(_block_scorer(probe_ids, Q, k, metric, keep_vectors), _candidate_schema(keep_vectors))
+        cands = base.mapInArrow(_block_scorer(probe_ids, Q, k, metric, keep_vectors), _candidate_schema(keep_vectors))
     elif method == "expr":
         cands = _expr_candidates(base, probe_ids, Q, metric, keep_vectors)
     else:

@@ -24,7 +24,7 @@ from dataclasses import asdict, dataclass, fields
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.digest import DIGEST_SEED, digest_of, row_digest
+from ..functions.digest import DIGEST_SEED, digest_of, with_row_digests
 from ..operators import batching, frames, guards, knn
 
 DATA = "data"
@@ -106,24 +106,24 @@ def migrate(source: DataFrame, target_root: str, spec: JobSpec | None = None) ->
     batched = batching.assign_batches(todo, spec.batch_size, stats=numbering)
     n_todo = int(numbering.get("rows", 0))
     # Each row's digest is computed from the source row in the task that writes it.
-    rows = batched.select(
-        "id",
-        "vector",
-        "metadata",
-        "namespace",
-        F.concat_ws("-", F.lit(run), F.col("batch_id").cast("string")).alias("batch_id"),
-        row_digest().alias("row_digest"),
+    rows = with_row_digests(
+        batched.select(
+            "id", "vector", "metadata", "namespace", F.concat_ws("-", F.lit(run), F.col("batch_id").cast("string")).alias("batch_id")
+        ),
+        ["id", "vector", "metadata", "namespace", "batch_id"],
+        out="row_digest",
     )
     rows.write.mode("append").partitionBy("namespace").parquet(data_path)
 
     # Verify from one re-read of what was written: the stored source digests against
     # digests recomputed from the stored vectors, and the count against the numbering.
     target = spark.read.parquet(data_path).where(F.col("batch_id").startswith(run + "-"))
+    target = with_row_digests(target, ["batch_id", "id", "vector", "metadata", "row_digest"], out="rd_now")
     g = target.groupBy("batch_id").agg(
         F.count("*").alias("received"),
         F.max(F.size("vector")).alias("dim"),
         F.collect_list(F.struct(F.col("id"), F.col("row_digest").alias("rd"))).alias("src_rd"),
-        F.collect_list(F.struct(F.col("id"), row_digest().alias("rd"))).alias("tgt_rd"),
+        F.collect_list(F.struct(F.col("id"), F.col("rd_now").alias("rd"))).alias("tgt_rd"),
         (4 * F.sum(F.size("vector"))).cast("bigint").alias("raw_bytes"),
         (F.lit(frames.SEALED_HEADER) + F.sum(frames.sealed_record_bytes())).cast("bigint").alias("wire_bytes"),
         F.max("id").alias("last_id"),
