@@ -1,3 +1,31 @@
 """embedflow: moving, syncing and checking embedding tables on Spark."""
 
+from .operators.guards import DimensionMismatchError, MetricMismatchError, validate_dimensions, validate_metrics
+from .operators.knn import knn_topk, make_probes, semantic_validate
+from .operators.reconcile import reconcile
+from .operators.upsert import upsert_replace, upsert_vector_only
+from .plans.migrate import JobSpec, MigrationResult, migrate
+from .sources import reader
+from .streaming.sync import SyncTarget, start_sync_stream, sync_once
+
 __version__ = "0.1.0"
+
+__all__ = [
+    "DimensionMismatchError",
+    "JobSpec",
+    "MetricMismatchError",
+    "MigrationResult",
+    "SyncTarget",
+    "knn_topk",
+    "make_probes",
+    "migrate",
+    "reader",
+    "reconcile",
+    "semantic_validate",
+    "start_sync_stream",
+    "sync_once",
+    "upsert_replace",
+    "upsert_vector_only",
+    "validate_dimensions",
+    "validate_metrics",
+]

@@ -304,15 +304,21 @@ def semantic_validate(
     metric: str = "cosine",
     seed: str = PROBE_SEED,
     method: str = "block",
+    knn_fn=None,
 ):
-    """Probe both sides with the same probes; return (probe_scores, summary)."""
+    """Probe both sides with the same probes; return (probe_scores, summary).
+
+    ``knn_fn(data, probes, k, metric)`` may replace the exact search (e.g. a
+    store's own index); it must return probe_id, rank, id, score, vector.
+    """
     spark = source.sparkSession
     dim = detect_dim(source)
     if dim is None:
         empty = spark.createDataFrame([], "probe_id bigint, overlap double, cosine double")
         return empty, semantic_summary(empty, top_k)
     probes = make_probes(spark, n_probes, dim, seed)
-    s = knn_topk(source, probes, top_k, metric, method, keep_vectors=True)
-    t = knn_topk(target, probes, top_k, metric, method, keep_vectors=True)
+    search = knn_fn or (lambda d, p, k, m: knn_topk(d, p, k, m, method, keep_vectors=True))
+    s = search(source, probes, top_k, metric)
+    t = search(target, probes, top_k, metric)
     scores = probe_scores(probes, s, t)
     return scores, semantic_summary(scores, top_k)

@@ -19,9 +19,10 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.digest import DIGEST_SEED, digest_of, with_row_digests
@@ -85,7 +86,19 @@ def _read_or_none(spark, path):
         return None
 
 
-def migrate(source: DataFrame, target_root: str, spec: JobSpec | None = None) -> MigrationResult:
+def migrate(
+    source: DataFrame,
+    target_root: str,
+    spec: JobSpec | None = None,
+    on_progress: Callable[[dict], None] | None = None,
+    on_batch: Callable[[DataFrame], None] | None = None,
+) -> MigrationResult:
+    """Copy ``source`` into ``target_root``; see the module docstring.
+
+    ``on_progress(metrics)`` is called once the write commits, with counters
+    observed while writing (no extra pass); ``on_batch(batch_stats)`` with
+    the verified per-batch statistics.
+    """
     spec = spec or JobSpec()
     spark = source.sparkSession
     if spec.mode != "full":
@@ -113,7 +126,16 @@ def migrate(source: DataFrame, target_root: str, spec: JobSpec | None = None) ->
         ["id", "vector", "metadata", "namespace", "batch_id"],
         out="row_digest",
     )
+    obs = Observation(f"migrate-{run}")
+    rows = rows.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows_written"),
+        F.coalesce(F.sum(4 * F.size("vector")), F.lit(0)).cast("bigint").alias("raw_bytes"),
+    )
     rows.write.mode("append").partitionBy("namespace").parquet(data_path)
+    if on_progress is not None:
+        n_batches = -(-n_todo // spec.batch_size)
+        on_progress({**obs.get, "total": n_todo, "batches": n_batches, "job_id": spec.job_id, "run": run})
 
     # Verify from one re-read of what was written: the stored source digests against
     # digests recomputed from the stored vectors, and the count against the numbering.
@@ -161,6 +183,8 @@ def migrate(source: DataFrame, target_root: str, spec: JobSpec | None = None) ->
         F.when(t > 0, F.round(F.sum("verified") / t * 100, 4)).otherwise(F.lit(0.0)).alias("verification_rate_pct"),
         F.when(F.sum("wire_bytes") > 0, F.round(F.sum("raw_bytes") / F.sum("wire_bytes"), 2)).otherwise(F.lit(0.0)).alias("raw_over_wire"),
     )
+    if on_batch is not None:
+        on_batch(stats)
     result = MigrationResult(target_root, stats, integrity)
     if spec.semantic_verify:
         full_target = spark.read.parquet(data_path)

@@ -163,6 +163,37 @@ def start_sync_stream(
     return w.start()
 
 
+class ProgressListener:
+    """Forward streaming progress to a callback: ``callback(query_name, batch_id, rows, progress_json)``.
+
+    Replaces a polling loop: register with ``spark.streams.addListener(ProgressListener(cb).listener())``.
+    """
+
+    def __init__(self, callback):
+        self.callback = callback
+
+    def listener(self):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        cb = self.callback
+
+        class _L(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                cb(p.name, p.batchId, p.numInputRows, p.json)
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        return _L()
+
+
 def dedup_late(stream: DataFrame, keys: list[str], ts_col: str, delay: str) -> DataFrame:
     """ST4: drop re-delivered rows (same keys) seen within the watermark delay; rows older than the watermark are dropped as late."""
     return stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)

@@ -49,3 +49,39 @@ def test_entry_and_registry(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"watermark_inject", "json_gzip_sizes"}
+
+
+def test_reader_registry():
+    from embedflow.sources import reader
+
+    assert reader("Points").__name__ == "from_points"
+    with pytest.raises(ValueError, match="available"):
+        reader("nope")
+
+
+def test_progress_and_batch_callbacks(spark):
+    src, _ = make_records(spark, 40, 8, 0)
+    seen = {}
+    res = migrate(
+        src,
+        scratch_path(spark, "m"),
+        JobSpec(batch_size=16, semantic_verify=False),
+        on_progress=lambda m: seen.update(m),
+        on_batch=lambda df: seen.update(batches_seen=df.count()),
+    )
+    assert seen["rows_written"] == 40 and seen["total"] == 40 and seen["batches"] == 3 and seen["batches_seen"] == 3
+    assert res.integrity.first()["verified"] == 40
+
+
+def test_pluggable_knn(spark):
+    from embedflow.operators import knn
+
+    a, _ = make_records(spark, 30, 8, 1)
+    calls = []
+
+    def my_knn(d, p, k, m):
+        calls.append(m)
+        return knn.knn_topk(d, p, k, m, "expr", keep_vectors=True)
+
+    _, summary = knn.semantic_validate(a, a, n_probes=5, top_k=3, knn_fn=my_knn)
+    assert summary.first()["passed"] and calls == ["cosine", "cosine"]
