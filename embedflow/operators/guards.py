@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
@@ -79,12 +79,13 @@ def dimension_summary(df: DataFrame, side: str, vector_col: str = "vector") -> D
 def dimension_check(source: DataFrame, target: DataFrame, declared_source: int = 0, declared_target: int = 0) -> DataFrame:
     """side, modal_dim, n_rows, n_ragged, verdict ('ok' | 'mismatch' | 'ragged') over the two summary rows."""
     both = dimension_summary(source, "source").unionByName(dimension_summary(target, "target"))
-    two_rows = Window.partitionBy()
+    pair = both.agg(F.collect_list(F.struct("side", "modal_dim", "n_rows", "n_ragged")).alias("s"))  # two rows
+    dims = F.transform("s", lambda r: r["modal_dim"])
     declared = [d for d in (declared_source, declared_target) if d]
     decl_ok = F.lit(len(set(declared)) <= 1)
-    differ = F.min("modal_dim").over(two_rows) != F.max("modal_dim").over(two_rows)
-    verdict = F.when(differ | ~decl_ok, "mismatch").when(F.col("n_ragged") > 0, "ragged").otherwise("ok")
-    return both.select("side", "modal_dim", "n_rows", "n_ragged", verdict.alias("verdict"))
+    rows = pair.select(F.explode("s").alias("r"), (F.array_min(dims) != F.array_max(dims)).alias("differ"))
+    verdict = F.when(F.col("differ") | ~decl_ok, "mismatch").when(F.col("r.n_ragged") > 0, "ragged").otherwise("ok")
+    return rows.select("r.side", "r.modal_dim", "r.n_rows", "r.n_ragged", verdict.alias("verdict"))
 
 
 def norm_profile(df: DataFrame, side: str, vector_col: str = "vector") -> DataFrame:

@@ -285,14 +285,18 @@ def semantic_summary(scores: DataFrame, top_k: int, threshold: float = 0.95) ->
     )
 
 
-def running_overlap(scores: DataFrame, every: int = 25) -> DataFrame:
-    """probe_id, n, running_avg_overlap emitted at every ``every``-th probe."""
-    w = Window.orderBy("probe_id").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        scores.withColumn("n", F.row_number().over(Window.orderBy("probe_id")))
-        .withColumn("running_avg_overlap", F.avg("overlap").over(w))
-        .where(F.col("n") % every == 0)
-        .select("probe_id", "n", "running_avg_overlap")
+def running_overlap(scores: DataFrame, every: int = 25, job: str = "job") -> DataFrame:
+    """probe_id, n, running_avg_overlap emitted at every ``every``-th probe (in probe order).
+
+    Uses the chunked prefix sum of operators.progress, so even a very large
+    probe set is not funnelled through one task.
+    """
+    from .progress import running_sum
+
+    base = scores.select(F.lit(job).alias("_job"), "probe_id", F.col("overlap"), F.lit(1).cast("bigint").alias("one"))
+    run = running_sum(base, "_job", "probe_id", ["overlap", "one"])
+    return run.where(F.col("cum_one") % every == 0).select(
+        "probe_id", F.col("cum_one").alias("n"), (F.col("cum_overlap") / F.col("cum_one")).alias("running_avg_overlap")
     )
 
 
