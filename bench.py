@@ -92,6 +92,66 @@ def scaled_throughput(spark, sf_dir, replicas: int) -> dict:
     return out
 
 
+def wide_formats(spark, sf_dir, target_rows: int = 30_000) -> dict:
+    """Milliseconds and bytes per 1K vectors at the reference's 1,536 dims.
+
+    Wide vectors are built from the data: 24 consecutive 64-dim embeddings
+    (a bounded ordered batch) are concatenated into one 1,536-dim vector,
+    and the result is replicated with explode(sequence) to ``target_rows``.
+    Times are wall-clock on all local cores (the reference's were one
+    thread); ``*_core_ms_per_1k`` multiplies by the core count.
+    """
+    from pyspark.sql import functions as F
+
+    from embedflow.operators import batching, frames, knn
+    from embedflow.plans.common import source
+    from embedflow.session import scratch_path
+    from embedflow.sources.dumps import to_json_batches
+
+    src = source(spark, sf_dir)
+    dim0 = knn.detect_dim(src)
+    per = max(1, 1536 // dim0)
+    g = batching.assign_batches(src, per).groupBy("batch_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "vector"))).alias("parts")
+    )
+    wide = g.select(
+        F.col("batch_id"), F.flatten(F.transform("parts", lambda p: p["vector"])).alias("vector")
+    ).where(F.size("vector") == per * dim0)
+    n_wide = wide.count()
+    reps = max(1, -(-target_rows // max(n_wide, 1)))
+    wide = wide.select(F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("r"), "batch_id", "vector").select(
+        F.format_string("vec_%04d_%06d", F.col("r"), F.col("batch_id")).alias("id"),
+        "vector",
+        F.create_map().cast("map<string,string>").alias("metadata"),
+        F.lit(None).cast("string").alias("namespace"),
+    )
+    path = scratch_path(spark, "bench-wide")
+    wide.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(path)
+    wide = spark.read.parquet(path)
+    n = wide.count()
+    b = batching.assign_batches(wide, 1000)
+    b.write.format("noop").mode("overwrite").save()
+    staged = scratch_path(spark, "bench-wide-batched")
+    b.write.parquet(staged)
+    b = spark.read.parquet(staged)
+    jobs = {
+        "json": lambda: to_json_batches(b).select(F.octet_length("value").alias("bytes")),
+        "binary": lambda: frames.pack_binary_batches(b).select(F.octet_length("frame").alias("bytes")),
+        "sealed": lambda: frames.seal_batches(b).select(F.octet_length("frame").alias("bytes")),
+    }
+    cores = int(os.environ.get("BENCH_CPUS", "8"))
+    out = {"vectors": n, "dim": per * dim0, "batch": 1000}
+    for name, make in jobs.items():
+        make().write.format("noop").mode("overwrite").save()  # warm
+        t0 = time.perf_counter()
+        sizes = make().agg(F.avg("bytes")).first()[0]
+        dt = time.perf_counter() - t0
+        out[f"{name}_ms_per_1k"] = round(dt * 1000 / (n / 1000), 2)
+        out[f"{name}_core_ms_per_1k"] = round(dt * 1000 * cores / (n / 1000), 2)
+        out[f"{name}_kb_per_1k"] = round(sizes / 1024, 1)
+    return out
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -114,6 +174,7 @@ def main():
     cold = run_all()
     times = run_all()
     scaled = scaled_throughput(spark, sf_dir, int(os.environ.get("BENCH_REPLICAS", "50")))
+    wide = wide_formats(spark, sf_dir)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_total_seconds",
@@ -124,6 +185,7 @@ def main():
         "cold_queries": cold,
         "rows_per_sec": {q: round(n_vec / times[q], 1) for q in PER_RECORD if times[q] > 0},
         "scaled": scaled,
+        "wide_1536": wide,
         "sf": float(m.group(1)) if m else None,
         "cpus": int(cpus),
     }

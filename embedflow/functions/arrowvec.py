@@ -23,16 +23,3 @@ def as_matrix(arr: pa.Array, rows: np.ndarray, dim: int, dtype=np.float64) -> np
         return flat[offsets[0] : offsets[0] + len(arr) * dim].reshape(len(arr), dim).astype(dtype, copy=False)
     idx = offsets[rows][:, None] + np.arange(dim)[None, :]
     return flat[idx].astype(dtype, copy=False)
-
-
-def fixed_point_texts(ids: pa.Array, arr: pa.Array, fixed_point) -> list[str]:
-    """'id:k1,k2,...' per row, built with vectorised Arrow string kernels."""
-    if isinstance(arr, pa.ChunkedArray):
-        arr = arr.combine_chunks()
-    flat = arr.values.to_numpy(zero_copy_only=False).astype(np.float32)
-    ints = pa.array(fixed_point(flat), type=pa.int64())
-    texts = pc.cast(ints, pa.string())
-    offs = pa.array(arr.offsets.to_numpy() - arr.offsets.to_numpy()[0], type=pa.int32())
-    lists = pa.ListArray.from_arrays(offs, texts)
-    joined = pc.binary_join(lists, ",")
-    return pc.binary_join_element_wise(ids, joined, ":").to_pylist()

@@ -1,6 +1,6 @@
-"""Batch wire frames: pack with applyInPandas per batch, unpack with mapInPandas.
+"""Batch wire frames: pack with applyInArrow per batch, unpack with mapInArrow.
 
-Two layouts:
+Two layouts (packed per batch with applyInArrow, unpacked with mapInArrow):
 
 * binary (unsealed, the raw float32 transfer format):
       count u32 BE | dim u32 BE | per record: id_len u32 BE, id UTF-8, dim float32 LE
@@ -20,7 +20,8 @@ from __future__ import annotations
 import struct
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +39,7 @@ class FrameError(ValueError):
 
 
 def _vectors(vs) -> list[np.ndarray]:
-    return [np.asarray(v, dtype=np.float32) for v in vs]
+    return [v if isinstance(v, np.ndarray) and v.dtype == np.float32 else np.asarray(v, dtype=np.float32) for v in vs]
 
 
 def pack_binary(ids, vectors) -> bytes:
@@ -130,88 +131,125 @@ ROWS_SCHEMA = T.StructType(
 )
 
 
-def _order(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values("pos", kind="stable") if "pos" in pdf.columns else pdf
+def _sorted_group(table: pa.Table) -> pa.Table:
+    return table.take(pc.sort_indices(table, sort_keys=[("pos", "ascending")])) if "pos" in table.column_names else table
+
+
+def _group_vectors(table: pa.Table) -> tuple[list[np.ndarray], int]:
+    """Per-row float32 views of a group's vector column (no per-row Python objects from Arrow)."""
+    arr = table.column("vector").combine_chunks()
+    flat = arr.values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+    offs = arr.offsets.to_numpy() - arr.offsets.to_numpy()[0]
+    return [flat[offs[i] : offs[i + 1]] for i in range(len(arr))], len(arr)
+
+
+def _list_array(vecs: list[np.ndarray]) -> pa.Array:
+    lens = np.array([len(v) for v in vecs], dtype=np.int32)
+    offsets = pa.array(np.r_[0, np.cumsum(lens)].astype(np.int32))
+    flat = np.concatenate(vecs).astype(np.float32) if vecs else np.zeros(0, np.float32)
+    return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.float32())).cast(pa.list_(pa.float32()))
 
 
 def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
-    """Rows with (batch_id, pos, id, vector, metadata) → one sealed frame per batch."""
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _order(pdf)
-        bid = int(pdf["batch_id"].iloc[0])
-        ids, vecs = pdf["id"].tolist(), pdf["vector"].tolist()
-        frame = pack_sealed(bid, ids, vecs, pdf["meta_json"].tolist(), seed, pdf["rd"].tolist())
-        return pd.DataFrame(
+    """Rows with (batch_id, pos, id, vector, metadata) → one sealed frame per batch (applyInArrow)."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = _sorted_group(table)
+        bid = int(table.column("batch_id")[0].as_py())
+        vecs, _ = _group_vectors(table)
+        ids = table.column("id").to_pylist()
+        frame = pack_sealed(bid, ids, vecs, table.column("meta_json").to_pylist(), seed, table.column("rd").to_pylist())
+        return pa.table(
             {
-                "batch_id": [bid],
-                "count": [len(ids)],
-                "dim": [len(vecs[0]) if vecs else 0],
-                "digest": [frame[20:SEALED_HEADER].hex()],
-                "frame": [frame],
+                "batch_id": pa.array([bid], pa.int64()),
+                "count": pa.array([len(ids)], pa.int32()),
+                "dim": pa.array([len(vecs[0]) if vecs else 0], pa.int32()),
+                "digest": pa.array([frame[20:SEALED_HEADER].hex()], pa.string()),
+                "frame": pa.array([frame], pa.binary()),
             }
         )
 
     rows = batched.select("batch_id", "pos", "id", "vector", F.to_json("metadata").alias("meta_json"))
     rows = with_row_digests(rows, ["batch_id", "pos", "id", "vector", "meta_json"])
-    return rows.groupBy("batch_id").applyInPandas(pack, FRAME_SCHEMA)
+    return rows.groupBy("batch_id").applyInArrow(pack, FRAME_SCHEMA)
 
 
 def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     """Sealed frames → batch_id, pos, id, vector, meta_json, verified (one verdict per frame)."""
+    names = [f.name for f in ROWS_SCHEMA.fields]
 
     def unpack(batches):
-        for pdf in batches:
-            out = []
-            for data in pdf["frame"]:
-                bid, ids, vecs, metas, ok = unpack_sealed(bytes(data), seed)
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "batch_id": [bid] * len(ids),
-                            "pos": np.arange(len(ids), dtype=np.int64),
-                            "id": ids,
-                            "vector": vecs,
-                            "meta_json": metas,
-                            "verified": [ok] * len(ids),
-                        }
-                    )
-                )
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    return frames.select("frame").mapInPandas(unpack, ROWS_SCHEMA)
+        for b in batches:
+            bids, poss, ids, vecs, metas, oks = [], [], [], [], [], []
+            for data in b.column("frame").to_pylist():
+                bid, fids, fvecs, fmetas, ok = unpack_sealed(data, seed)
+                n = len(fids)
+                bids += [bid] * n
+                poss.append(np.arange(n, dtype=np.int64))
+                ids += fids
+                vecs += fvecs
+                metas += fmetas
+                oks += [ok] * n
+            if not ids:
+                continue
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bids, pa.int64()),
+                    pa.array(np.concatenate(poss), pa.int64()),
+                    pa.array(ids, pa.string()),
+                    _list_array(vecs),
+                    pa.array(metas, pa.string()),
+                    pa.array(oks, pa.bool_()),
+                ],
+                names=names,
+            )
+
+    return frames.select("frame").mapInArrow(unpack, ROWS_SCHEMA)
 
 
 def pack_binary_batches(batched: DataFrame) -> DataFrame:
     """Rows with (batch_id, pos, id, vector) → batch_id, frame (unsealed binary layout)."""
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _order(pdf)
-        return pd.DataFrame({"batch_id": [int(pdf["batch_id"].iloc[0])], "frame": [pack_binary(pdf["id"].tolist(), pdf["vector"].tolist())]})
+    def pack(table: pa.Table) -> pa.Table:
+        table = _sorted_group(table)
+        vecs, _ = _group_vectors(table)
+        frame = pack_binary(table.column("id").to_pylist(), vecs)
+        return pa.table({"batch_id": pa.array([int(table.column("batch_id")[0].as_py())], pa.int64()), "frame": pa.array([frame], pa.binary())})
 
-    return batched.select("batch_id", "pos", "id", "vector").groupBy("batch_id").applyInPandas(pack, "batch_id bigint, frame binary")
+    return batched.select("batch_id", "pos", "id", "vector").groupBy("batch_id").applyInArrow(pack, "batch_id bigint, frame binary")
 
 
 def unpack_binary_batches(frames: DataFrame) -> DataFrame:
     """batch_id, frame → batch_id, pos, id, vector, received."""
-    schema = "batch_id bigint, pos bigint, id string, vector array<float>, received bigint"
+    schema = T.StructType(
+        [
+            T.StructField("batch_id", T.LongType()),
+            T.StructField("pos", T.LongType()),
+            T.StructField("id", T.StringType()),
+            T.StructField("vector", T.ArrayType(T.FloatType())),
+            T.StructField("received", T.LongType()),
+        ]
+    )
 
     def unpack(batches):
-        for pdf in batches:
-            out = []
-            for bid, data in zip(pdf["batch_id"], pdf["frame"]):
-                ids, vecs = unpack_binary(bytes(data))
-                n = len(ids)
-                out.append(
-                    pd.DataFrame(
-                        {"batch_id": [int(bid)] * n, "pos": np.arange(n, dtype=np.int64), "id": ids, "vector": vecs, "received": [n] * n}
-                    )
-                )
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    return frames.mapInPandas(unpack, schema)
+        for b in batches:
+            bids, poss, ids, vecs, recv = [], [], [], [], []
+            for bid, data in zip(b.column("batch_id").to_pylist(), b.column("frame").to_pylist()):
+                fids, fvecs = unpack_binary(data)
+                n = len(fids)
+                bids += [bid] * n
+                poss.append(np.arange(n, dtype=np.int64))
+                ids += fids
+                vecs += fvecs
+                recv += [n] * n
+            if not ids:
+                continue
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bids, pa.int64()), pa.array(np.concatenate(poss), pa.int64()), pa.array(ids, pa.string()), _list_array(vecs), pa.array(recv, pa.int64())],
+                names=[f.name for f in schema.fields],
+            )
+
+    return frames.mapInArrow(unpack, schema)
 
 
 # ── closed-form sizes (M15) ──────────────────────────────────────────────────

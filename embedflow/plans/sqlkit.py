@@ -89,9 +89,8 @@ def hmac_hex(key_hex: str, msg: str) -> str:
 
 
 def row_digest(id_: str = "id", v: str = "vector") -> str:
-    return (
-        f"sha256({id_} || ':' || array_to_string(list_transform({v}, lambda x: CAST(round(CAST(x AS DOUBLE) * 1e6) AS BIGINT)), ','))"
-    )
+    hexes = f"array_to_string(list_transform({v}, lambda x: lpad(hex(CAST(round(CAST(x AS DOUBLE) * 1e6) AS BIGINT)), 16, '0')), '')"
+    return f"sha256(encode({id_} || ':') || unhex({hexes}))"
 
 
 def batch_digest_ctes(batched: str = "batched", seed: str = "embedflow") -> str:

@@ -103,3 +103,13 @@ def test_seal_unseal_in_spark_keeps_ids_in_order(spark):
         by_batch.setdefault(r["batch_id"], []).append((r["pos"], r["id"]))
     for items in by_batch.values():
         assert [i for _, i in sorted(items)] == sorted(i for _, i in items)
+
+
+def test_jvm_definition_equals_arrow_path(spark):
+    df, _ = make_records(spark, 60, 24, 7, unit=False)
+    df = df.unionByName(df.limit(2).withColumn("id", F.concat(F.lit("empty-"), "id")).withColumn("vector", F.array().cast("array<float>")))
+    a = {r["id"]: r["d"] for r in df.select("id", D.row_digest().alias("d")).collect()}
+    b = {r["id"]: r["rd"] for r in D.with_row_digests(df, ["id"]).collect()}
+    assert a == b and len(a) == 62
+    for r in df.collect():
+        assert D.row_digest_py(r["id"], np.array(r["vector"], np.float32)) == a[r["id"]]
