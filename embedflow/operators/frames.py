@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.digest import DIGEST_SEED, batch_digest_from_rows, row_digests_matrix, with_row_digests
+from ..functions.digest import DIGEST_SEED, batch_digest_from_rows, row_digests_matrix, row_messages_digest
 
 # Sealed-frame magic and header sizes.
 MAGIC = b"EMBF"
@@ -135,12 +135,12 @@ def _sorted_group(table: pa.Table) -> pa.Table:
     return table.take(pc.sort_indices(table, sort_keys=[("pos", "ascending")])) if "pos" in table.column_names else table
 
 
-def _group_vectors(table: pa.Table) -> tuple[list[np.ndarray], int]:
-    """Per-row float32 views of a group's vector column (no per-row Python objects from Arrow)."""
+def _group_vectors(table: pa.Table):
+    """Per-row float32 views of a group's vector column, plus the flat buffer and offsets."""
     arr = table.column("vector").combine_chunks()
     flat = arr.values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
     offs = arr.offsets.to_numpy() - arr.offsets.to_numpy()[0]
-    return [flat[offs[i] : offs[i + 1]] for i in range(len(arr))], len(arr)
+    return [flat[offs[i] : offs[i + 1]] for i in range(len(arr))], flat, offs
 
 
 def _list_array(vecs: list[np.ndarray]) -> pa.Array:
@@ -156,9 +156,10 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     def pack(table: pa.Table) -> pa.Table:
         table = _sorted_group(table)
         bid = int(table.column("batch_id")[0].as_py())
-        vecs, _ = _group_vectors(table)
+        vecs, flat, offs = _group_vectors(table)
         ids = table.column("id").to_pylist()
-        frame = pack_sealed(bid, ids, vecs, table.column("meta_json").to_pylist(), seed, table.column("rd").to_pylist())
+        rds = row_messages_digest(ids, flat, offs)  # vectorised over the group's flat buffer
+        frame = pack_sealed(bid, ids, vecs, table.column("meta_json").to_pylist(), seed, rds)
         return pa.table(
             {
                 "batch_id": pa.array([bid], pa.int64()),
@@ -170,7 +171,6 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
         )
 
     rows = batched.select("batch_id", "pos", "id", "vector", F.to_json("metadata").alias("meta_json"))
-    rows = with_row_digests(rows, ["batch_id", "pos", "id", "vector", "meta_json"])
     return rows.groupBy("batch_id").applyInArrow(pack, FRAME_SCHEMA)
 
 
@@ -212,7 +212,7 @@ def pack_binary_batches(batched: DataFrame) -> DataFrame:
 
     def pack(table: pa.Table) -> pa.Table:
         table = _sorted_group(table)
-        vecs, _ = _group_vectors(table)
+        vecs, _, _ = _group_vectors(table)
         frame = pack_binary(table.column("id").to_pylist(), vecs)
         return pa.table({"batch_id": pa.array([int(table.column("batch_id")[0].as_py())], pa.int64()), "frame": pa.array([frame], pa.binary())})
 
