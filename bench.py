@@ -144,11 +144,11 @@ def wide_formats(spark, sf_dir, target_rows: int = 30_000) -> dict:
     for name, make in jobs.items():
         make().write.format("noop").mode("overwrite").save()  # warm
         t0 = time.perf_counter()
-        sizes = make().agg(F.avg("bytes")).first()[0]
+        total_bytes = make().agg(F.sum("bytes")).first()[0]
         dt = time.perf_counter() - t0
         out[f"{name}_ms_per_1k"] = round(dt * 1000 / (n / 1000), 2)
         out[f"{name}_core_ms_per_1k"] = round(dt * 1000 * cores / (n / 1000), 2)
-        out[f"{name}_kb_per_1k"] = round(sizes / 1024, 1)
+        out[f"{name}_kb_per_1k"] = round(total_bytes / (n / 1000) / 1024, 1)
     return out
 
 

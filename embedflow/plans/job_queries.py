@@ -38,8 +38,8 @@ def migrate_report(spark, sf_dir):
     extra = again.batch_stats.agg(F.coalesce(F.sum("received"), F.lit(0)).alias("x")).first()["x"]
     if extra:
         raise AssertionError(f"resume copied {extra} rows twice")
-    sem = res.semantic.select(F.lit("embeddings").alias("job_id"), "avg_overlap_pct", "passed")
-    return res.integrity.join(sem, "job_id", "left").select(
+    sem = res.semantic.first()  # the one-row semantic summary
+    return res.integrity.withColumn("avg_overlap_pct", F.lit(sem["avg_overlap_pct"])).withColumn("passed", F.lit(sem["passed"])).select(
         "job_id", "total_vectors", "transferred", "verified", "failed", "batches", "verification_rate_pct", "avg_overlap_pct", "passed"
     )
 
