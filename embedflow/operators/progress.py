@@ -41,13 +41,29 @@ def latest(df: DataFrame, group: str, by: list[str]) -> DataFrame:
 
 
 def nearest_rank(df: DataFrame, group: str, value: str, percents: list[float], tie: str | None = None) -> DataFrame:
-    """group, n, p<pct> = sorted[min(floor(n·pct/100), n-1)] per group (0-based), exact."""
+    """group, n, p<pct> = sorted[min(floor(n·pct/100), n-1)] per group (0-based), exact.
+
+    Rows are numbered in (group, value, tie) order without a per-group sort;
+    each group's target row numbers (start + k, one per percentile) are then
+    joined on (group, rn), so only the selected rows travel further.
+    """
     order = [group, value] + ([tie] if tie else [])
-    numbered = number_rows(df.select(*set(order)), order)
+    numbered = number_rows(df.select(*dict.fromkeys(order)), order)
     starts = numbered.groupBy(group).agg(F.min("rn").alias("_start"), F.count("*").alias("n"))
-    ranked = numbered.join(starts, group).withColumn("_k", F.col("rn") - F.col("_start"))
-    aggs = []
-    for p in percents:
-        target = F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100.0)), F.col("n") - 1)
-        aggs.append(F.max(F.when(F.col("_k") == target, F.col(value))).alias(f"p{p:g}"))
-    return ranked.groupBy(group).agg(F.first("n").alias("n"), *aggs)
+    targets = starts.select(
+        group,
+        "n",
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(f"p{p:g}").alias("pct"),
+                        (F.col("_start") + F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100.0)), F.col("n") - 1)).alias("_rn"),
+                    )
+                    for p in percents
+                ]
+            )
+        ).alias("t"),
+    ).select(group, "n", "t.pct", F.col("t._rn").alias("rn"))
+    picked = targets.join(numbered.select(group, "rn", value), [group, "rn"])
+    return picked.groupBy(group, "n").agg(*[F.max(F.when(F.col("pct") == f"p{p:g}", F.col(value))).alias(f"p{p:g}") for p in percents])
