@@ -31,15 +31,28 @@ def _c(x) -> Column:
 
 
 def hash_uniform_vector(seed: Column, key: Column, dim) -> Column:
-    """Component j = word (j mod 8) of sha256(seed ':' key ':' (j div 8)) / 2^32 - 0.5."""
-    d = F.lit(dim) if isinstance(dim, int) else dim
-
-    def comp(j):
-        h = F.sha2(F.concat_ws(":", seed, key.cast("string"), F.floor(j / 8).cast("string")), 256)
-        word = F.conv(F.substring(h, (j % 8) * 8 + 1, 8), 16, 10).cast("double")
-        return word / F.lit(4294967296.0) - F.lit(0.5)
+    """Component j = word (j mod 8) of sha256(seed ':' key ':' (j div 8)) / 2^32 - 0.5.
 
-    return F.transform(F.sequence(F.lit(0), d - 1), comp)
+    One sha256 per 8 components: the chunk digests are built once, the
+    words are read with a nested transform (which only captures its own
+    lambda variable), then sliced to ``dim``.
+    """
+    d = F.lit(dim) if isinstance(dim, int) else dim
+    n_chunks = F.floor((d + 7) / 8).cast("int")
+    chunks = F.transform(
+        F.sequence(F.lit(0), n_chunks - 1),
+        lambda c: F.sha2(F.concat_ws(":", seed, key.cast("string"), c.cast("string")), 256),
+    )
+    words = F.flatten(
+        F.transform(
+            chunks,
+            lambda h: F.transform(
+                F.sequence(F.lit(0), F.lit(7)),
+                lambda w: F.conv(F.substring(h, w * 8 + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) - F.lit(0.5),
+            ),
+        )
+    )
+    return F.slice(words, 1, d)
 
 
 def unit(v: Column, eps: float = EPS) -> Column:
@@ -54,15 +67,21 @@ def hash_unit_vector(seed, key, dim) -> Column:
 
 
 def byte_mark_vector(seed, seq, dim) -> Column:
-    """Per-batch mark: bytes of sha256('seed:seq')/255 - 0.5, tiled to dim, unit length."""
+    """Per-batch mark: bytes of sha256('seed:seq')/255 - 0.5, tiled to dim, unit length.
+
+    The digest is computed once per row (as an argument, never inside a
+    per-element lambda), its 32 bytes decoded once, then tiled by
+    flatten(array_repeat) and sliced.
+    """
     seed_c = F.lit(seed) if isinstance(seed, str) else seed
     d = F.lit(dim) if isinstance(dim, int) else dim
     h = F.sha2(F.concat_ws(":", seed_c, _c(seq).cast("string")), 256)
-    raw = F.transform(
-        F.sequence(F.lit(0), d - 1),
-        lambda j: F.conv(F.substring(h, (j % 32) * 2 + 1, 2), 16, 10).cast("double") / F.lit(255.0) - F.lit(0.5),
+    bytes32 = F.transform(
+        F.array_repeat(h, 32),
+        lambda hh, i: F.conv(F.substring(hh, i * 2 + 1, 2), 16, 10).cast("double") / F.lit(255.0) - F.lit(0.5),
     )
-    return unit(raw)
+    tiled = F.slice(F.flatten(F.array_repeat(bytes32, F.floor((d + 31) / 32).cast("int"))), 1, d)
+    return unit(tiled)
 
 
 def _xor_pad(key_hex: Column, word: int) -> Column:
