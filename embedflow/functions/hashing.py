@@ -88,9 +88,9 @@ def _xor_pad(key_hex: Column, word: int) -> Column:
     """(key zero-padded to one SHA-256 block) XOR pad, as hex."""
     padded = F.rpad(F.lower(key_hex), SHA256_BLOCK_HEX, "0")
     words = F.transform(
-        F.sequence(F.lit(0), F.lit(SHA256_BLOCK_HEX // 8 - 1)),
-        lambda i: F.lpad(
-            F.lower(F.hex(F.conv(F.substring(padded, i * 8 + 1, 8), 16, 10).cast("bigint").bitwiseXOR(F.lit(word)))),
+        F.array_repeat(padded, SHA256_BLOCK_HEX // 8),  # the key is evaluated once, not once per word
+        lambda p, i: F.lpad(
+            F.lower(F.hex(F.conv(F.substring(p, i * 8 + 1, 8), 16, 10).cast("bigint").bitwiseXOR(F.lit(word)))),
             8,
             "0",
         ),
