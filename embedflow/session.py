@@ -37,6 +37,7 @@ def get_spark(cores: int | str = "*", app: str = "embedflow", shuffle_partitions
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -60,3 +61,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``embedflow`` importable in Python workers (as ``--py-files`` would), once per context.
+
+    Arrow UDF functions are pickled by reference to their module, so workers
+    must be able to import the package even when the driver's working
+    directory is elsewhere.  The zip goes to the shared checkpoint folder
+    when that is a plain path, else to a driver-local file that Spark ships.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    local = base.startswith("/") or base.startswith("file:")
+    folder = base.replace("file:", "", 1) if local else tempfile.mkdtemp(prefix="embedflow-pkg-")
+    os.makedirs(folder, exist_ok=True)
+    zpath = os.path.join(folder, f"embedflow-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
