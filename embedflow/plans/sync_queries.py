@@ -8,6 +8,7 @@ into the shared folder, five days per file, appended in time order.
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +79,9 @@ def _run_stream(spark, sf_dir, trigger, name):
         q.awaitTermination()
     else:
         q.processAllAvailable()
+        deadline = time.time() + 30
+        while q.status.get("isTriggerActive") and time.time() < deadline:  # let an empty trigger finish
+            time.sleep(0.1)
         q.stop()
     if q.exception() is not None:
         raise q.exception()
