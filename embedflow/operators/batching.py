@@ -97,3 +97,27 @@ def assign_batches(
 def hash_batches(df: DataFrame, n_batches: int, key: str = "id") -> DataFrame:
     """Content-based batch_id = pmod(xxhash64(key), n_batches): stable across retries and re-runs."""
     return df.withColumn("batch_id", F.pmod(F.xxhash64(F.col(key)), F.lit(n_batches)).cast("bigint"))
+
+
+def split_batches(df: DataFrame, batch_size: int) -> tuple[DataFrame, dict[int, int]]:
+    """Batches in read order inside each input split: no shuffle at all.
+
+    ``batch_id`` = "<split>-<n>" and ``pos`` come from the row's index in its
+    split (monotonically_increasing_id right after the scan), so a task that
+    is retried on the same split rebuilds the same batches.  Returns the
+    frame and {split: rows} (one small count job), from which every batch's
+    expected size follows: min(batch_size, rows - n * batch_size).
+    """
+    if batch_size <= 0:
+        raise ValueError("batch_size must be positive")
+    pid = F.spark_partition_id()
+    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
+    counts = {r["pid"]: r["count"] for r in df.select(pid.alias("pid")).groupBy("pid").count().collect()}
+    out = (
+        df.withColumn("_split", pid)
+        .withColumn("_local", local)
+        .withColumn("batch_id", F.concat_ws("-", F.col("_split").cast("string"), F.floor(F.col("_local") / batch_size).cast("string")))
+        .withColumn("pos", (F.col("_local") % batch_size).cast("bigint"))
+        .drop("_local")
+    )
+    return out, counts

@@ -18,7 +18,7 @@ from .registry import query
 
 @query("migrate_full", f"{W} SELECT {CANON_SQL} FROM src")
 def migrate_full(spark, sf_dir):
-    """Copy the whole table; return the target as re-read (must equal the source, losslessly)."""
+    """Copy the whole table (read-order batches per split: no data shuffle); return the target as re-read."""
     res = migrate(source(spark, sf_dir), scratch_path(spark, "migrate"), JobSpec(job_id="embeddings", semantic_verify=False, batch_size=BATCH_SIZE))
     return canon_out(res.target())
 
@@ -33,7 +33,7 @@ def migrate_report(spark, sf_dir):
     """Integrity and semantic report of a migration that is run twice (the second run resumes: nothing left)."""
     root = scratch_path(spark, "migrate")
     src = source(spark, sf_dir)
-    res = migrate(src, root, JobSpec(job_id="embeddings", batch_size=BATCH_SIZE))
+    res = migrate(src, root, JobSpec(job_id="embeddings", batch_size=BATCH_SIZE, ordered_batches=True))
     again = migrate(src, root, JobSpec(job_id="embeddings", batch_size=BATCH_SIZE, semantic_verify=False))
     extra = again.batch_stats.agg(F.coalesce(F.sum("received"), F.lit(0)).alias("x")).first()["x"]
     if extra:

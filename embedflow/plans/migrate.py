@@ -50,6 +50,7 @@ class JobSpec:
     target_dim: int = 0
     seal: bool = False
     seed: str = DIGEST_SEED
+    ordered_batches: bool = False  # True: global id order (one extra data shuffle); False: read order per split
 
     @classmethod
     def from_dict(cls, d: dict) -> "JobSpec":
@@ -115,14 +116,19 @@ def migrate(
         todo = source.join(existing.select("id"), "id", "left_anti")  # J5: what is still to copy
 
     run = uuid.uuid4().hex[:12]
-    numbering: dict = {}
-    batched = batching.assign_batches(todo, spec.batch_size, stats=numbering)
-    n_todo = int(numbering.get("rows", 0))
+    if spec.ordered_batches:
+        numbering: dict = {}
+        batched = batching.assign_batches(todo, spec.batch_size, stats=numbering)
+        n_todo = int(numbering.get("rows", 0))
+        bid = F.concat_ws("-", F.lit(run), F.lit("0"), F.col("batch_id").cast("string"))
+        split_rows = {0: n_todo}
+    else:
+        batched, split_rows = batching.split_batches(todo, spec.batch_size)
+        n_todo = sum(split_rows.values())
+        bid = F.concat_ws("-", F.lit(run), F.col("batch_id"))
     # Each row's digest is computed from the source row in the task that writes it.
     rows = with_row_digests(
-        batched.select(
-            "id", "vector", "metadata", "namespace", F.concat_ws("-", F.lit(run), F.col("batch_id").cast("string")).alias("batch_id")
-        ),
+        batched.select("id", "vector", "metadata", "namespace", bid.alias("batch_id")),
         ["id", "vector", "metadata", "namespace", "batch_id"],
         out="row_digest",
     )
@@ -134,7 +140,7 @@ def migrate(
     )
     rows.write.mode("append").partitionBy("namespace").parquet(data_path)
     if on_progress is not None:
-        n_batches = -(-n_todo // spec.batch_size)
+        n_batches = sum(-(-v // spec.batch_size) for v in split_rows.values())
         on_progress({**obs.get, "total": n_todo, "batches": n_batches, "job_id": spec.job_id, "run": run})
 
     # Verify from one re-read of what was written: the stored source digests against
@@ -150,8 +156,13 @@ def migrate(
         (F.lit(frames.SEALED_HEADER) + F.sum(frames.sealed_record_bytes())).cast("bigint").alias("wire_bytes"),
         F.max("id").alias("last_id"),
     )
-    seq = F.split("batch_id", "-").getItem(1).cast("bigint")
-    sent = F.least(F.lit(spec.batch_size).cast("bigint"), F.lit(n_todo) - seq * spec.batch_size)
+    parts = F.split("batch_id", "-")
+    split, seq = parts.getItem(1).cast("int"), parts.getItem(2).cast("bigint")
+    pairs = []
+    for k, v in split_rows.items():
+        pairs += [F.lit(int(k)), F.lit(int(v)).cast("bigint")]
+    rows_in_split = F.element_at(F.create_map(*pairs), split) if pairs else F.lit(0).cast("bigint")
+    sent = F.least(F.lit(spec.batch_size).cast("bigint"), rows_in_split - seq * spec.batch_size)
     src_digest = digest_of(F.col("batch_id"), sent, F.col("dim"), F.col("src_rd"), spec.seed)
     tgt_digest = digest_of(F.col("batch_id"), F.col("received"), F.col("dim"), F.col("tgt_rd"), spec.seed)
     ok = src_digest == tgt_digest

@@ -7,11 +7,14 @@ from embedflow.session import scratch_path
 from tests.conftest import SF_SMALL, make_records
 
 
-def test_full_migration_transfers_and_verifies(spark):
+@pytest.mark.parametrize("ordered", [True, False])
+def test_full_migration_transfers_and_verifies(spark, ordered):
     src, _ = make_records(spark, 100, 32, 0)
-    res = migrate(src, scratch_path(spark, "m"), JobSpec(job_id="t", batch_size=64, semantic_probes=20))
+    res = migrate(src.repartition(3), scratch_path(spark, "m"), JobSpec(job_id="t", batch_size=64, semantic_probes=20, ordered_batches=ordered))
     i = res.integrity.first()
-    assert i["transferred"] == i["verified"] == 100 and i["failed"] == 0 and i["batches"] == 2
+    assert i["transferred"] == i["verified"] == 100 and i["failed"] == 0
+    assert i["batches"] == (2 if ordered else 3)  # 3 splits of ~33 rows: one batch each
+    assert res.batch_stats.where("sent <> received").count() == 0
     assert i["verification_rate_pct"] == 100.0 and i["raw_over_wire"] > 0
     assert res.semantic.first()["passed"]
     tgt = {r["id"]: (r["vector"], r["metadata"]) for r in res.target().collect()}
@@ -69,7 +72,7 @@ def test_progress_and_batch_callbacks(spark):
         on_progress=lambda m: seen.update(m),
         on_batch=lambda df: seen.update(batches_seen=df.count()),
     )
-    assert seen["rows_written"] == 40 and seen["total"] == 40 and seen["batches"] == 3 and seen["batches_seen"] == 3
+    assert seen["rows_written"] == 40 and seen["total"] == 40 and seen["batches"] == seen["batches_seen"] >= 3
     assert res.integrity.first()["verified"] == 40
 
 
