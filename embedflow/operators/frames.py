@@ -174,6 +174,54 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     return rows.groupBy("batch_id").applyInArrow(pack, FRAME_SCHEMA)
 
 
+def seal_splits(df: DataFrame, batch_size: int, seed: str = DIGEST_SEED) -> DataFrame:
+    """Sealed frames of ``batch_size`` rows in read order inside each input split: no shuffle.
+
+    Each task packs its own rows (buffering across Arrow batches, at most one
+    frame's worth), so frames never cross splits; batch_id = split << 32 | n,
+    which a retried task rebuilds identically for the same split.
+    """
+    from pyspark import TaskContext
+
+    rows = df.select("id", "vector", F.to_json("metadata").alias("meta_json"))
+    names = [f.name for f in T._parse_datatype_string(FRAME_SCHEMA).fields]
+
+    def run(batches):
+        split = TaskContext.get().partitionId()
+        ids, vecs, metas, n = [], [], [], 0
+
+        def emit(k):
+            nonlocal ids, vecs, metas, n
+            bid = (split << 32) | n
+            dim = len(vecs[0]) if k else 0
+            frame = pack_sealed(bid, ids[:k], vecs[:k], metas[:k], seed)
+            ids, vecs, metas, n = ids[k:], vecs[k:], metas[k:], n + 1
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([bid], pa.int64()),
+                    pa.array([k], pa.int32()),
+                    pa.array([dim], pa.int32()),
+                    pa.array([frame[20:SEALED_HEADER].hex()], pa.string()),
+                    pa.array([frame], pa.binary()),
+                ],
+                names=names,
+            )
+
+        for b in batches:
+            arr = b.column("vector")
+            flat = arr.values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+            offs = arr.offsets.to_numpy() - arr.offsets.to_numpy()[0]
+            ids += b.column("id").to_pylist()
+            metas += b.column("meta_json").to_pylist()
+            vecs += [flat[offs[i] : offs[i + 1]] for i in range(len(arr))]
+            while len(ids) >= batch_size:
+                yield emit(batch_size)
+        if ids:
+            yield emit(len(ids))
+
+    return rows.mapInArrow(run, FRAME_SCHEMA)
+
+
 def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     """Sealed frames → batch_id, pos, id, vector, meta_json, verified (one verdict per frame)."""
     names = [f.name for f in ROWS_SCHEMA.fields]

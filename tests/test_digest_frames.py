@@ -113,3 +113,15 @@ def test_jvm_definition_equals_arrow_path(spark):
     assert a == b and len(a) == 62
     for r in df.collect():
         assert D.row_digest_py(r["id"], np.array(r["vector"], np.float32)) == a[r["id"]]
+
+
+def test_seal_splits_needs_no_shuffle_and_round_trips(spark):
+    df, _ = make_records(spark, 70, 16, 5)
+    df = df.repartition(3)
+    fr = frames.seal_splits(df, 16)
+    assert fr._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # only the repartition above
+    rows = frames.unseal_batches(fr).collect()
+    assert len(rows) == 70 and all(r["verified"] for r in rows)
+    assert sorted(r["id"] for r in rows) == sorted(r["id"] for r in df.collect())
+    counts = [r["count"] for r in fr.collect()]
+    assert all(c <= 16 for c in counts) and sum(counts) == 70
