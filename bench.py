@@ -138,6 +138,7 @@ def wide_formats(spark, sf_dir, target_rows: int = 30_000) -> dict:
         "json": lambda: to_json_batches(b).select(F.octet_length("value").alias("bytes")),
         "binary": lambda: frames.pack_binary_batches(b).select(F.octet_length("frame").alias("bytes")),
         "sealed": lambda: frames.seal_batches(b).select(F.octet_length("frame").alias("bytes")),
+        "binary_in_split": lambda: frames.pack_binary_splits(wide, 1000).select(F.octet_length("frame").alias("bytes")),
         "sealed_in_split": lambda: frames.seal_splits(wide, 1000).select(F.octet_length("frame").alias("bytes")),
     }
     cores = int(os.environ.get("BENCH_CPUS", "8"))

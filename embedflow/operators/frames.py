@@ -174,16 +174,15 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     return rows.groupBy("batch_id").applyInArrow(pack, FRAME_SCHEMA)
 
 
-def seal_splits(df: DataFrame, batch_size: int, seed: str = DIGEST_SEED) -> DataFrame:
-    """Sealed frames of ``batch_size`` rows in read order inside each input split: no shuffle.
+def _pack_splits(rows: DataFrame, batch_size: int, pack) -> DataFrame:
+    """Frames of ``batch_size`` rows in read order inside each split (mapInArrow, no shuffle).
 
-    Each task packs its own rows (buffering across Arrow batches, at most one
-    frame's worth), so frames never cross splits; batch_id = split << 32 | n,
+    ``pack(batch_id, ids, vecs, metas) -> bytes``.  Each task buffers at most
+    one frame's worth of rows across Arrow batches; batch_id = split << 32 | n,
     which a retried task rebuilds identically for the same split.
     """
     from pyspark import TaskContext
 
-    rows = df.select("id", "vector", F.to_json("metadata").alias("meta_json"))
     names = [f.name for f in T._parse_datatype_string(FRAME_SCHEMA).fields]
 
     def run(batches):
@@ -194,14 +193,15 @@ def seal_splits(df: DataFrame, batch_size: int, seed: str = DIGEST_SEED) -> Data
             nonlocal ids, vecs, metas, n
             bid = (split << 32) | n
             dim = len(vecs[0]) if k else 0
-            frame = pack_sealed(bid, ids[:k], vecs[:k], metas[:k], seed)
+            frame = pack(bid, ids[:k], vecs[:k], metas[:k])
             ids, vecs, metas, n = ids[k:], vecs[k:], metas[k:], n + 1
+            digest = frame[20:SEALED_HEADER].hex() if frame[:4] == MAGIC else ""
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([bid], pa.int64()),
                     pa.array([k], pa.int32()),
                     pa.array([dim], pa.int32()),
-                    pa.array([frame[20:SEALED_HEADER].hex()], pa.string()),
+                    pa.array([digest], pa.string()),
                     pa.array([frame], pa.binary()),
                 ],
                 names=names,
@@ -222,6 +222,18 @@ def seal_splits(df: DataFrame, batch_size: int, seed: str = DIGEST_SEED) -> Data
     return rows.mapInArrow(run, FRAME_SCHEMA)
 
 
+def seal_splits(df: DataFrame, batch_size: int, seed: str = DIGEST_SEED) -> DataFrame:
+    """Sealed frames in read order inside each input split: the transport path with no shuffle."""
+    rows = df.select("id", "vector", F.to_json("metadata").alias("meta_json"))
+    return _pack_splits(rows, batch_size, lambda bid, ids, vecs, metas: pack_sealed(bid, ids, vecs, metas, seed))
+
+
+def pack_binary_splits(df: DataFrame, batch_size: int) -> DataFrame:
+    """Unsealed binary frames in read order inside each input split (no shuffle)."""
+    rows = df.select("id", "vector", F.lit(None).cast("string").alias("meta_json"))
+    return _pack_splits(rows, batch_size, lambda bid, ids, vecs, metas: pack_binary(ids, vecs))
+
+
 def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     """Sealed frames → batch_id, pos, id, vector, meta_json, verified (one verdict per frame)."""
     names = [f.name for f in ROWS_SCHEMA.fields]

@@ -125,3 +125,10 @@ def test_seal_splits_needs_no_shuffle_and_round_trips(spark):
     assert sorted(r["id"] for r in rows) == sorted(r["id"] for r in df.collect())
     counts = [r["count"] for r in fr.collect()]
     assert all(c <= 16 for c in counts) and sum(counts) == 70
+
+
+def test_binary_splits_round_trip(spark):
+    df, _ = make_records(spark, 45, 8, 6)
+    fr = frames.pack_binary_splits(df.repartition(2), 10)
+    rows = frames.unpack_binary_batches(fr.select("batch_id", "frame")).collect()
+    assert sorted(r["id"] for r in rows) == sorted(r["id"] for r in df.collect())
