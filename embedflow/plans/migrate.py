@@ -116,7 +116,11 @@ def migrate(
         todo = source.join(existing.select("id"), "id", "left_anti")  # J5: what is still to copy
 
     run = uuid.uuid4().hex[:12]
-    if spec.ordered_batches:
+    # Read-order batches need the count job and the write to see the same splits: true for
+    # scans and narrow transformations, not after a shuffle (AQE may coalesce differently),
+    # so any exchange in the input plan (e.g. the resume anti join) selects pinned numbering.
+    shuffled = "Exchange" in todo._jdf.queryExecution().executedPlan().toString()
+    if spec.ordered_batches or shuffled:
         numbering: dict = {}
         batched = batching.assign_batches(todo, spec.batch_size, stats=numbering)
         n_todo = int(numbering.get("rows", 0))

@@ -10,7 +10,9 @@ from tests.conftest import SF_SMALL, make_records
 @pytest.mark.parametrize("ordered", [True, False])
 def test_full_migration_transfers_and_verifies(spark, ordered):
     src, _ = make_records(spark, 100, 32, 0)
-    res = migrate(src.repartition(3), scratch_path(spark, "m"), JobSpec(job_id="t", batch_size=64, semantic_probes=20, ordered_batches=ordered))
+    path = scratch_path(spark, "src")
+    src.repartition(3).write.parquet(path)  # three input splits
+    res = migrate(spark.read.parquet(path), scratch_path(spark, "m"), JobSpec(job_id="t", batch_size=64, semantic_probes=20, ordered_batches=ordered))
     i = res.integrity.first()
     assert i["transferred"] == i["verified"] == 100 and i["failed"] == 0
     assert i["batches"] == (2 if ordered else 3)  # 3 splits of ~33 rows: one batch each
@@ -88,3 +90,10 @@ def test_pluggable_knn(spark):
 
     _, summary = knn.semantic_validate(a, a, n_probes=5, top_k=3, knn_fn=my_knn)
     assert summary.first()["passed"] and calls == ["cosine", "cosine"]
+
+
+def test_shuffled_input_uses_pinned_numbering(spark):
+    src, _ = make_records(spark, 50, 8, 2)
+    res = migrate(src.repartition(4), scratch_path(spark, "m"), JobSpec(batch_size=16, semantic_verify=False))
+    i = res.integrity.first()
+    assert i["transferred"] == i["verified"] == 50 and i["batches"] == 4  # global batches of 16
