@@ -107,6 +107,10 @@ def split_batches(df: DataFrame, batch_size: int) -> tuple[DataFrame, dict[int,
     is retried on the same split rebuilds the same batches.  Returns the
     frame and {split: rows} (one small count job), from which every batch's
     expected size follows: min(batch_size, rows - n * batch_size).
+
+    Use it on scans and narrow transformations only: after a shuffle, AQE
+    may split the input differently between the count job and the job that
+    consumes the batches (use ``assign_batches`` there).
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
