@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from ..operators import batching, frames, guards, progress
 from ..session import scratch_path
-from . import sqlkit as S
 from .common import source, table
 from .record_queries import W
 from .registry import query

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..functions.hashing import stable_point_id
 from ..operators import batching, guards, paging, reconcile as R, upsert as U
 from ..sources import changes, dumps
 from ..sources.canonical import canonicalize
