@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import written
-from .textmap import map_text
+from .textmap import held, map_text
 
 WINDOW, SHINGLE = 13, 5
 #: Windows (with one item each) in a block that is broadcast: some 50 MB.
@@ -228,8 +228,7 @@ def hit_spans(
 
     if blocks == 1:
         return _pass(docs, text, prefixes(0), carry)
-    held = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry])
-    state = docs.select(held.alias("held"), F.col(f"`{text}`").alias("text"), *[F.array().cast(t).alias(n) for n, t in (("spans", SPANS), ("items", "array<string>"))])
+    state = docs.select(held(carry).alias("held"), F.col(f"`{text}`").alias("text"), *[F.array().cast(t).alias(n) for n, t in (("spans", SPANS), ("items", "array<string>"))])
     for b in range(blocks):
         found = _pass(state, "text", prefixes(b), ["held", "text", "spans", "items"])
         both = [F.concat("carry.spans", "spans").alias("spans"), F.array_sort(F.array_union("carry.items", "items")).alias("items")]

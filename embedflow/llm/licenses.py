@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .textmap import held
+
 #: Known sentences, normalised (see :func:`normalised`), and their identifiers.
 SENTENCES = [
     ("under mit license", "MITref"),
@@ -84,7 +86,7 @@ SENTENCES = [
         " option any later version",
         "GPL3plus",
     ),
-    ("this source code form is subject to the terms of the mozilla public license v. 2.0", "MPL2ref"),
+    ("this source code form is subject to the terms of the mozilla public license v", "MPL2ref"),
     ("this is free and unencumbered software released into the public domain", "Unlicense"),
     ("all rights reserved under copyright law", "AllRights"),
 ]
@@ -176,6 +178,5 @@ def scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None) ->
     columns travel inside carry.
     """
     carry = [c for c in docs.columns if c != text] if carry is None else carry
-    held = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("carry")
-    found = docs.select(held, identifiers(F.col(f"`{text}`")).alias("sentence_ids"))
+    found = docs.select(held(carry).alias("carry"), identifiers(F.col(f"`{text}`")).alias("sentence_ids"))
     return found.select("carry", "sentence_ids", _named(F.col("sentence_ids")).alias("licenses"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .tables import written
+from .textmap import held
 
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
@@ -121,25 +122,27 @@ RULES = ["length", "word_length", "symbols", "repeated_lines", "repeated_words",
 
 def described(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     """``struct carry``, the base counts, ``base_failed`` and ``votes`` (an array in the order of ``RULES``)."""
-    held = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("carry")
-    found = docs.select(held, *[c.alias(n) for n, c in figures(F.col(f"`{text}`")).items()])
+    found = docs.select(held(carry).alias("carry"), *[c.alias(n) for n, c in figures(F.col(f"`{text}`")).items()])
     flat = found.select("carry", "counted.*", "by_line.*", "word_chars", "n_symbols", "n_upper", "n_shouts", "n_digits")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     by_rule = votes()
     return flat.select("carry", *BASE[:-1], failed.alias("base_failed"), F.array(*[by_rule[r] for r in RULES]).alias("votes"))
 
 
-def _logit_terms(model: dict) -> Column:
-    """Log-odds of good quality of a vote pattern; a rule's two accuracies are those on good and on bad texts."""
-    odds = F.lit(math.log(model["prior"] / (1 - model["prior"])))
-    for i, (on_good, on_bad) in enumerate(model["accuracy"]):
-        v = F.col("votes")[i]
-        odds = odds + F.when(v == 1, math.log(on_good / (1 - on_bad))).when(v == -1, math.log((1 - on_good) / on_bad)).otherwise(0.0)
-    return odds
+def posterior(model: dict) -> Column:
+    """Probability of good quality of a vote pattern; a rule's two accuracies are those on good and on bad texts.
+
+    The model's numbers go in as arrays, so that every step of the estimation runs the same compiled code.
+    """
+    prior = F.lit([math.log(model["prior"] / (1 - model["prior"]))])[0]
+    said = {1: F.lit([math.log(g / (1 - b)) for g, b in model["accuracy"]]), -1: F.lit([math.log((1 - g) / b) for g, b in model["accuracy"]])}
+    odds = F.aggregate(F.concat(*[_said(terms, vote) for vote, terms in said.items()]), prior, lambda s, x: s + x)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
-def posterior(model: dict) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-_logit_terms(model)))
+def _said(odds: Column, vote: int) -> Column:
+    """Log-odds of the rules that vote so, zero for the others."""
+    return F.zip_with("votes", odds, lambda v, x: F.when(v == vote, x).otherwise(0.0))
 
 
 def estimate(patterns: DataFrame, rules: int, steps: int = STEPS) -> dict:
@@ -152,13 +155,14 @@ def estimate(patterns: DataFrame, rules: int, steps: int = STEPS) -> dict:
     model = {"prior": FIRST_PRIOR, "accuracy": [(FIRST_ACCURACY, FIRST_ACCURACY)] * rules}
     last = None
     for _ in range(steps):
-        good, bad = posterior(model) * F.col("n"), (F.lit(1.0) - posterior(model)) * F.col("n")
+        split = patterns.withColumn("good", posterior(model) * F.col("n")).withColumn("bad", F.col("n") - F.col("good"))
+        good, bad = F.col("good"), F.col("bad")
         sums = [F.sum(good).alias("good"), F.sum("n").alias("all")]
         for i in range(rules):
             v = F.col("votes")[i]
             sums += [F.sum(F.when(v == 1, good)).alias(f"gg{i}"), F.sum(F.when(v == -1, good)).alias(f"gb{i}")]
             sums += [F.sum(F.when(v == 1, bad)).alias(f"bg{i}"), F.sum(F.when(v == -1, bad)).alias(f"bb{i}")]
-        s = {k: x or 0.0 for k, x in patterns.agg(*sums).first().asDict().items()}
+        s = {k: x or 0.0 for k, x in split.agg(*sums).first().asDict().items()}
         share = lambda right, wrong: (right + SMOOTHING * FIRST_ACCURACY) / (right + wrong + SMOOTHING)
         model = {
             "prior": (s["good"] + SMOOTHING * FIRST_PRIOR) / (s["all"] + SMOOTHING),

@@ -137,7 +137,8 @@ def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts of the base kinds, a digest of the base spans, and all spans as a string."""
     base = F.filter("spans", lambda x: x["kind"].isin(*KINDS[:3]))
     said = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS[:3]]
+    number = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint")
+    counts = [number(k).alias(f"n_{k}") for k in KINDS[:3]]
     return scanned.select(F.col(f"carry.`{id_col}`").alias("doc_id"), *counts, F.sha2(said(base), 256).alias("base_sha256"), said("spans").alias("spans"))
 
 

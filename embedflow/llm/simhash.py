@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from .graph import connected_components
 from .tables import written
-from .textmap import map_text, uncarry
+from .textmap import map_text
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 SEGMENTS, WIDTH = 8, 8
@@ -207,4 +207,4 @@ def digest(groups: DataFrame) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-__all__ = ["digest", "fingerprint", "fingerprints", "links", "near_duplicates", "one_of_each_group", "uncarry"]
+__all__ = ["digest", "fingerprint", "fingerprints", "links", "near_duplicates", "one_of_each_group"]

@@ -13,6 +13,12 @@ from pyspark.sql import types as T
 OUT_ROWS, OUT_BYTES = 2048, 4 << 20
 
 
+def held(columns: Iterable[str]):
+    """The named columns as one struct, in which no name can clash with a new column's."""
+    fields = [F.col(f"`{c}`").alias(c) for c in columns]
+    return F.struct(*(fields or [F.lit(None).cast("int").alias("none")]))
+
+
 def map_text(
     df: DataFrame,
     value: str,
@@ -26,7 +32,7 @@ def map_text(
     bytes (UTF-8 for text) or None.  Carried columns travel inside one struct, so none of their names can
     clash with ``out``'s.
     """
-    src = df.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("carry"), F.col(f"`{value}`").alias("value"))
+    src = df.select(held(carry).alias("carry"), F.col(f"`{value}`").alias("value"))
     schema = T.StructType([src.schema["carry"], *out.fields])
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -53,8 +59,3 @@ def map_text(
                 yield flush(len(raw))
 
     return src.mapInArrow(run, schema)
-
-
-def uncarry(df: DataFrame, columns: Iterable[str], *more) -> DataFrame:
-    """The carried columns at top level again, followed by ``more``."""
-    return df.select(*[F.col(f"carry.`{c}`").alias(c) for c in columns], *more)

@@ -47,8 +47,8 @@ def host_edges(pages: DataFrame, hosts: DataFrame, html: str = "html") -> DataFr
 
     A host and its parent, if that has two labels or more, point at each other with weight one.
     """
-    target = F.explode(F.array_distinct(F.regexp_extract_all(F.col(f"`{html}`"), F.lit(LINK), 1)))
-    links = pages.where("host <> ''").select(F.col("host").alias("src"), F.translate(target, UPPER, LOWER).alias("dst"))
+    targets = F.array_distinct(F.regexp_extract_all(F.translate(F.col(f"`{html}`"), UPPER, LOWER), F.lit(LINK), 1))
+    links = pages.where("host <> ''").select(F.col("host").alias("src"), F.explode(targets).alias("dst"))
     counted = links.where("src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
     every = hosts.select("host").unionByName(counted.select(F.col("dst").alias("host"))).where("host <> ''").distinct()
     labels = F.split("host", r"\.", -1)
