@@ -25,8 +25,8 @@ SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
-#: Estimation: steps at most, change of the log-likelihood per text that ends it, pseudo-votes, first guess.
-STEPS, TOLERANCE, SMOOTHING, FIRST_ACCURACY, FIRST_PRIOR = 25, 1e-7, 1.0, 0.8, 0.8
+#: Estimation: steps at most, largest change of an estimate that ends it, pseudo-votes, first guess.
+STEPS, TOLERANCE, SMOOTHING, FIRST_ACCURACY, FIRST_PRIOR = 25, 1e-4, 1.0, 0.8, 0.8
 #: Least posterior probability of a text that is kept.
 THRESHOLD = 0.5
 
@@ -155,18 +155,18 @@ def estimate(patterns: DataFrame, rules: int, steps: int = STEPS) -> dict:
     model = {"prior": FIRST_PRIOR, "accuracy": [(FIRST_ACCURACY, FIRST_ACCURACY)] * rules}
     last = None
     for _ in range(steps):
-        split = patterns.withColumn("good", posterior(model) * F.col("n")).withColumn("bad", F.col("n") - F.col("good"))
-        good, bad = F.col("good"), F.col("bad")
-        sums = [F.sum(good).alias("good"), F.sum("n").alias("all")]
-        for i in range(rules):
-            v = F.col("votes")[i]
-            sums += [F.sum(F.when(v == 1, good)).alias(f"gg{i}"), F.sum(F.when(v == -1, good)).alias(f"gb{i}")]
-            sums += [F.sum(F.when(v == 1, bad)).alias(f"bg{i}"), F.sum(F.when(v == -1, bad)).alias(f"bb{i}")]
-        s = {k: x or 0.0 for k, x in split.agg(*sums).first().asDict().items()}
+        seen = patterns.select("n", (posterior(model) * F.col("n")).alias("good"), F.posexplode("votes").alias("rule", "vote"))
+        rows = seen.groupBy("rule", "vote").agg(F.sum("good").alias("good"), F.sum("n").alias("n")).collect()  # three a rule
+        good = {(r.rule, r.vote): r.good for r in rows}
+        bad = {(r.rule, r.vote): r.n - r.good for r in rows}
         share = lambda right, wrong: (right + SMOOTHING * FIRST_ACCURACY) / (right + wrong + SMOOTHING)
+        all_good, every = sum(x for (i, _), x in good.items() if i == 0), sum(r.n for r in rows if r.rule == 0)
         model = {
-            "prior": (s["good"] + SMOOTHING * FIRST_PRIOR) / (s["all"] + SMOOTHING),
-            "accuracy": [(share(s[f"gg{i}"], s[f"gb{i}"]), share(s[f"bb{i}"], s[f"bg{i}"])) for i in range(rules)],
+            "prior": (all_good + SMOOTHING * FIRST_PRIOR) / (every + SMOOTHING),
+            "accuracy": [
+                (share(good.get((i, 1), 0.0), good.get((i, -1), 0.0)), share(bad.get((i, -1), 0.0), bad.get((i, 1), 0.0)))
+                for i in range(rules)
+            ],
         }
         flat = [model["prior"], *(x for pair in model["accuracy"] for x in pair)]
         if last and max(abs(a - b) for a, b in zip(flat, last)) < TOLERANCE:
