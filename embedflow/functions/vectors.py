@@ -127,6 +127,22 @@ def fixed_point(v, scale: float = 1e6) -> Column:
     return F.transform(as_double(v), code)
 
 
+def fixed_point_np(v, scale: float = 1e6):
+    """:func:`fixed_point` in numpy: round half away from zero on the exact double value."""
+    import numpy as np
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        y = np.asarray(v, dtype=np.float64) * scale
+        ok = np.isfinite(y) & (np.abs(y) < FP_LIMIT)
+        a = np.abs(np.where(ok, y, 0.0))
+        whole = np.floor(a)
+        out = (np.sign(np.where(ok, y, 0.0)) * (whole + (a - whole >= 0.5))).astype(np.int64)
+    out[np.isnan(y)] = FP_NAN
+    out[~np.isnan(y) & (y >= FP_LIMIT)] = FP_POS
+    out[~np.isnan(y) & (y <= -FP_LIMIT)] = FP_NEG
+    return out
+
+
 def fingerprint(v) -> Column:
     """md5 of the comma-joined fixed-point elements: compare vectors as one string."""
     return F.md5(F.array_join(F.transform(fixed_point(v), lambda x: x.cast("string")), ","))

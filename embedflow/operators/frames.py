@@ -6,7 +6,8 @@ Two layouts (packed per batch with applyInArrow, unpacked with mapInArrow):
       count u32 BE | dim u32 BE | per record: id_len u32 BE, id UTF-8, dim float32 LE
 * sealed:
       magic 'EMBF' | count u32 BE | dim u32 BE | batch_id u64 BE | digest 32 bytes |
-      per record: dim float32 LE, id_len u16 BE, id UTF-8, meta_len u32 BE, metadata JSON UTF-8
+      per record: dim float32 LE, id_len u16 BE, id UTF-8, meta_len u32 BE, metadata JSON UTF-8,
+      namespace_len u16 BE (65535: null), namespace UTF-8
 
 The sealed digest is functions.digest's keyed batch digest, so a frame
 can be checked after it travelled (``unseal`` recomputes it from the
@@ -26,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.digest import DIGEST_SEED, batch_digest_from_rows, row_digests_matrix, row_messages_digest
+from ..functions.digest import DIGEST_SEED, batch_digest_from_rows, flat_floats, meta_json, row_digests_matrix, row_messages_digest
 
 # Sealed-frame magic and header sizes.
 MAGIC = b"EMBF"
 SEALED_HEADER = 4 + 4 + 4 + 8 + 32
 BINARY_HEADER = 8
+NO_NAMESPACE = 0xFFFF
 
 
 class FrameError(ValueError):
@@ -73,7 +75,7 @@ def unpack_binary(data: bytes):
     return ids, vecs
 
 
-def pack_sealed(batch_id: int, ids, vectors, metas, seed: str = DIGEST_SEED, row_digests=None) -> bytes:
+def pack_sealed(batch_id: int, ids, vectors, metas, namespaces=None, seed: str = DIGEST_SEED, row_digests=None) -> bytes:
     """``row_digests`` (from Spark) saves recomputing them here; they must match the vectors."""
     vecs = _vectors(vectors)
     if not vecs:
@@ -82,24 +84,29 @@ def pack_sealed(batch_id: int, ids, vectors, metas, seed: str = DIGEST_SEED, row
     for rid, v in zip(ids, vecs):
         if len(v) != dim:
             raise FrameError(f"ragged batch: record {rid!r} has {len(v)} dims, batch has {dim}")
-    rds = list(row_digests) if row_digests is not None else row_digests_matrix(list(ids), vecs)
-    digest = bytes.fromhex(batch_digest_from_rows(batch_id, list(ids), rds, dim, seed))
+    metas = [m or "{}" for m in metas]
+    namespaces = [None] * len(vecs) if namespaces is None else list(namespaces)
+    rds = list(row_digests) if row_digests is not None else row_digests_matrix(ids, vecs, metas, namespaces)
+    digest = bytes.fromhex(batch_digest_from_rows(batch_id, rds, dim, seed))
     parts = [MAGIC, struct.pack(">IIQ", len(vecs), dim, batch_id), digest]
-    for rid, v, m in zip(ids, vecs, metas):
-        ib, mb = rid.encode("utf-8"), (m or "{}").encode("utf-8")
+    for rid, v, m, ns in zip(ids, vecs, metas, namespaces):
+        ib, mb, nb = rid.encode("utf-8"), m.encode("utf-8"), (ns or "").encode("utf-8")
+        if len(nb) >= NO_NAMESPACE or len(ib) > 0xFFFF:
+            raise FrameError(f"id or namespace of record {rid[:40]!r} is too long for a frame")
         parts += [v.astype("<f4").tobytes(), struct.pack(">H", len(ib)), ib, struct.pack(">I", len(mb)), mb]
+        parts += [struct.pack(">H", NO_NAMESPACE if ns is None else len(nb)), nb]
     return b"".join(parts)
 
 
 def unpack_sealed(data: bytes, seed: str = DIGEST_SEED):
-    """→ (batch_id, ids, vectors, metas, verified)."""
+    """→ (batch_id, ids, vectors, metas, namespaces, verified)."""
     if not data:
-        return None, [], [], [], True
+        return None, [], [], [], [], True
     if data[:4] != MAGIC:
         raise FrameError(f"bad magic {data[:4]!r}")
     count, dim, batch_id = struct.unpack_from(">IIQ", data, 4)
     stored = data[20:SEALED_HEADER].hex()
-    off, ids, vecs, metas = SEALED_HEADER, [], [], []
+    off, ids, vecs, metas, namespaces = SEALED_HEADER, [], [], [], []
     try:
         for _ in range(count):
             vecs.append(np.frombuffer(data, dtype="<f4", count=dim, offset=off).copy())
@@ -112,10 +119,14 @@ def unpack_sealed(data: bytes, seed: str = DIGEST_SEED):
             off += 4
             metas.append(data[off : off + ml].decode("utf-8"))
             off += ml
+            (nl,) = struct.unpack_from(">H", data, off)
+            off += 2
+            namespaces.append(None if nl == NO_NAMESPACE else data[off : off + nl].decode("utf-8"))
+            off += 0 if nl == NO_NAMESPACE else nl
     except (struct.error, ValueError) as e:
         raise FrameError(f"truncated frame: {e}") from e
-    verified = off == len(data) and batch_digest_from_rows(batch_id, ids, row_digests_matrix(ids, vecs), dim, seed) == stored
-    return batch_id, ids, vecs, metas, verified
+    now = batch_digest_from_rows(batch_id, row_digests_matrix(ids, vecs, metas, namespaces), dim, seed)
+    return batch_id, ids, vecs, metas, namespaces, off == len(data) and now == stored
 
 
 FRAME_SCHEMA = "batch_id bigint, count int, dim int, digest string, frame binary"
@@ -126,6 +137,7 @@ ROWS_SCHEMA = T.StructType(
         T.StructField("id", T.StringType()),
         T.StructField("vector", T.ArrayType(T.FloatType())),
         T.StructField("meta_json", T.StringType()),
+        T.StructField("namespace", T.StringType()),
         T.StructField("verified", T.BooleanType()),
     ]
 )
@@ -137,10 +149,8 @@ def _sorted_group(table: pa.Table) -> pa.Table:
 
 def _group_vectors(table: pa.Table):
     """Per-row float32 views of a group's vector column, plus the flat buffer and offsets."""
-    arr = table.column("vector").combine_chunks()
-    flat = arr.values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
-    offs = arr.offsets.to_numpy() - arr.offsets.to_numpy()[0]
-    return [flat[offs[i] : offs[i + 1]] for i in range(len(arr))], flat, offs
+    flat, offs = flat_floats(table.column("vector"))
+    return [flat[offs[i] : offs[i + 1]] for i in range(len(offs) - 1)], flat, offs
 
 
 def _list_array(vecs: list[np.ndarray]) -> pa.Array:
@@ -157,9 +167,9 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
         table = _sorted_group(table)
         bid = int(table.column("batch_id")[0].as_py())
         vecs, flat, offs = _group_vectors(table)
-        ids = table.column("id").to_pylist()
-        rds = row_messages_digest(ids, flat, offs)  # vectorised over the group's flat buffer
-        frame = pack_sealed(bid, ids, vecs, table.column("meta_json").to_pylist(), seed, rds)
+        ids, metas, spaces = (table.column(c).to_pylist() for c in ("id", "meta_json", "namespace"))
+        rds = row_messages_digest(ids, metas, spaces, flat, offs)  # vectorised over the group's flat buffer
+        frame = pack_sealed(bid, ids, vecs, metas, spaces, seed, rds)
         return pa.table(
             {
                 "batch_id": pa.array([bid], pa.int64()),
@@ -170,14 +180,14 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
             }
         )
 
-    rows = batched.select("batch_id", "pos", "id", "vector", F.to_json("metadata").alias("meta_json"))
+    rows = batched.select("batch_id", "pos", "id", "vector", meta_json().alias("meta_json"), "namespace")
     return rows.groupBy("batch_id").applyInArrow(pack, FRAME_SCHEMA)
 
 
 def _pack_splits(rows: DataFrame, batch_size: int, pack) -> DataFrame:
     """Frames of ``batch_size`` rows in read order inside each split (mapInArrow, no shuffle).
 
-    ``pack(batch_id, ids, vecs, metas) -> bytes``.  Each task buffers at most
+    ``pack(batch_id, ids, vecs, metas, namespaces) -> bytes``.  Each task buffers at most
     one frame's worth of rows across Arrow batches; batch_id = split << 32 | n,
     which a retried task rebuilds identically for the same split.
     """
@@ -187,14 +197,14 @@ def _pack_splits(rows: DataFrame, batch_size: int, pack) -> DataFrame:
 
     def run(batches):
         split = TaskContext.get().partitionId()
-        ids, vecs, metas, n = [], [], [], 0
+        ids, vecs, metas, spaces, n = [], [], [], [], 0
 
         def emit(k):
-            nonlocal ids, vecs, metas, n
+            nonlocal ids, vecs, metas, spaces, n
             bid = (split << 32) | n
             dim = len(vecs[0]) if k else 0
-            frame = pack(bid, ids[:k], vecs[:k], metas[:k])
-            ids, vecs, metas, n = ids[k:], vecs[k:], metas[k:], n + 1
+            frame = pack(bid, ids[:k], vecs[:k], metas[:k], spaces[:k])
+            ids, vecs, metas, spaces, n = ids[k:], vecs[k:], metas[k:], spaces[k:], n + 1
             digest = frame[20:SEALED_HEADER].hex() if frame[:4] == MAGIC else ""
             return pa.RecordBatch.from_arrays(
                 [
@@ -208,12 +218,11 @@ def _pack_splits(rows: DataFrame, batch_size: int, pack) -> DataFrame:
             )
 
         for b in batches:
-            arr = b.column("vector")
-            flat = arr.values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
-            offs = arr.offsets.to_numpy() - arr.offsets.to_numpy()[0]
+            flat, offs = flat_floats(b.column("vector"))
             ids += b.column("id").to_pylist()
             metas += b.column("meta_json").to_pylist()
-            vecs += [flat[offs[i] : offs[i + 1]] for i in range(len(arr))]
+            spaces += b.column("namespace").to_pylist()
+            vecs += [flat[offs[i] : offs[i + 1]] for i in range(len(offs) - 1)]
             while len(ids) >= batch_size:
                 yield emit(batch_size)
         if ids:
@@ -224,31 +233,33 @@ def _pack_splits(rows: DataFrame, batch_size: int, pack) -> DataFrame:
 
 def seal_splits(df: DataFrame, batch_size: int, seed: str = DIGEST_SEED) -> DataFrame:
     """Sealed frames in read order inside each input split: the transport path with no shuffle."""
-    rows = df.select("id", "vector", F.to_json("metadata").alias("meta_json"))
-    return _pack_splits(rows, batch_size, lambda bid, ids, vecs, metas: pack_sealed(bid, ids, vecs, metas, seed))
+    rows = df.select("id", "vector", meta_json().alias("meta_json"), "namespace")
+    return _pack_splits(rows, batch_size, lambda bid, *columns: pack_sealed(bid, *columns, seed))
 
 
 def pack_binary_splits(df: DataFrame, batch_size: int) -> DataFrame:
     """Unsealed binary frames in read order inside each input split (no shuffle)."""
-    rows = df.select("id", "vector", F.lit(None).cast("string").alias("meta_json"))
-    return _pack_splits(rows, batch_size, lambda bid, ids, vecs, metas: pack_binary(ids, vecs))
+    none = F.lit(None).cast("string")
+    rows = df.select("id", "vector", none.alias("meta_json"), none.alias("namespace"))
+    return _pack_splits(rows, batch_size, lambda bid, ids, vecs, metas, spaces: pack_binary(ids, vecs))
 
 
 def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
-    """Sealed frames → batch_id, pos, id, vector, meta_json, verified (one verdict per frame)."""
+    """Sealed frames → batch_id, pos, id, vector, meta_json, namespace, verified (one verdict per frame)."""
     names = [f.name for f in ROWS_SCHEMA.fields]
 
     def unpack(batches):
         for b in batches:
-            bids, poss, ids, vecs, metas, oks = [], [], [], [], [], []
+            bids, poss, ids, vecs, metas, spaces, oks = [], [], [], [], [], [], []
             for data in b.column("frame").to_pylist():
-                bid, fids, fvecs, fmetas, ok = unpack_sealed(data, seed)
+                bid, fids, fvecs, fmetas, fspaces, ok = unpack_sealed(data, seed)
                 n = len(fids)
                 bids += [bid] * n
                 poss.append(np.arange(n, dtype=np.int64))
                 ids += fids
                 vecs += fvecs
                 metas += fmetas
+                spaces += fspaces
                 oks += [ok] * n
             if not ids:
                 continue
@@ -259,6 +270,7 @@ def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
                     pa.array(ids, pa.string()),
                     _list_array(vecs),
                     pa.array(metas, pa.string()),
+                    pa.array(spaces, pa.string()),
                     pa.array(oks, pa.bool_()),
                 ],
                 names=names,
@@ -267,6 +279,29 @@ def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     return frames.select("frame").mapInArrow(unpack, ROWS_SCHEMA)
 
 
+def receive(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
+    """One row per frame of ``seal_batches``: batch_id, dim, sent, received, verified, wire_bytes (a narrow map).
+
+    sent is the sender's count; a frame that can't be decoded has received nothing.
+    """
+    schema = "batch_id bigint, dim int, sent bigint, received bigint, verified bigint, wire_bytes bigint"
+    names = [f.name for f in T._parse_datatype_string(schema).fields]
+
+    def check(batches):
+        for b in batches:
+            rows = []
+            for bid, count, dim, data in zip(*(b.column(c).to_pylist() for c in ("batch_id", "count", "dim", "frame"))):
+                try:
+                    _, ids, _, _, _, ok = unpack_sealed(data, seed)
+                except FrameError:
+                    ids, ok = [], False
+                rows.append((bid, dim, count, len(ids), len(ids) if ok else 0, len(data)))
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
+
+    return frames.select("batch_id", "count", "dim", "frame").mapInArrow(check, schema)
+
+
 def pack_binary_batches(batched: DataFrame) -> DataFrame:
     """Rows with (batch_id, pos, id, vector) → batch_id, frame (unsealed binary layout)."""
 
@@ -315,9 +350,9 @@ def unpack_binary_batches(frames: DataFrame) -> DataFrame:
 # ── closed-form sizes (M15) ──────────────────────────────────────────────────
 
 
-def sealed_record_bytes(id_col="id", vector_col="vector", meta_json: Column | None = None) -> Column:
-    meta = F.to_json(F.col("metadata")) if meta_json is None else meta_json
-    return 4 * F.size(vector_col) + 2 + F.octet_length(id_col) + 4 + F.octet_length(meta)
+def sealed_record_bytes(id_col="id", vector_col="vector", meta: Column | None = None, namespace="namespace") -> Column:
+    text = meta_json() if meta is None else meta
+    return 4 * F.size(vector_col) + 8 + F.octet_length(id_col) + F.octet_length(text) + F.coalesce(F.octet_length(namespace), F.lit(0))
 
 
 def binary_record_bytes(id_col="id", vector_col="vector") -> Column:

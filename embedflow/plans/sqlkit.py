@@ -88,16 +88,31 @@ def hmac_hex(key_hex: str, msg: str) -> str:
     return f"sha256(unhex({xor_pad(key_hex, OPAD_WORD)}) || unhex({inner}))"
 
 
-def row_digest(id_: str = "id", v: str = "vector") -> str:
-    hexes = f"array_to_string(list_transform({v}, lambda x: lpad(hex(CAST(round(CAST(x AS DOUBLE) * 1e6) AS BIGINT)), 16, '0')), '')"
-    return f"sha256(encode({id_} || ':') || unhex({hexes}))"
+# Canonical metadata JSON of the ``embeddings`` records.
+META_JSON = "('{\"label\":\"' || meta_label || '\"}')"
+
+
+def float_bits_hex(x: str) -> str:
+    """IEEE-754 bits of a finite float32 as 8 hex digits, in exact double arithmetic."""
+    a = f"abs(CAST({x} AS DOUBLE))"
+    g = f"floor(log2(CASE WHEN {a} > 0 THEN {a} ELSE 1.0 END))"
+    e = f"({g} + CASE WHEN pow(2.0, {g} + 1) <= {a} THEN 1 WHEN pow(2.0, {g}) > {a} AND {a} > 0 THEN -1 ELSE 0 END)"
+    size = f"CASE WHEN {a} < pow(2.0, -126) THEN {a} * pow(2.0, 149) ELSE ({e} + 127) * 8388608.0 + ({a} / pow(2.0, {e}) - 1) * 8388608.0 END"
+    sign = f"CASE WHEN {x} < 0 OR ({x} = 0 AND CAST({x} AS VARCHAR) LIKE '-%') THEN 2147483648.0 ELSE 0.0 END"
+    return f"lpad(hex(CAST({size} + {sign} AS BIGINT)), 8, '0')"
+
+
+def row_digest(id_: str = "id", v: str = "vector", meta: str = META_JSON, namespace: str = "namespace") -> str:
+    field = lambda c: f"coalesce(strlen({c}) || ':' || {c}, '-:')"
+    hexes = f"array_to_string(list_transform({v}, lambda x: {float_bits_hex('x')}), '')"
+    return f"sha256(encode({field(id_)} || {field(meta)} || {field(namespace)}) || unhex({hexes}))"
 
 
 def batch_digest_ctes(batched: str = "batched", seed: str = "embedflow") -> str:
     """CTEs rd, bd, dg(batch_id, cnt, dim, digest) over ``batched(batch_id, id, vector)``."""
     return (
         f"rd AS (SELECT batch_id, id, len(vector) AS d, {row_digest()} AS rdg FROM {batched}), "
-        "bd AS (SELECT batch_id, count(*) AS cnt, max(d) AS dim, string_agg(rdg, ',' ORDER BY id, rdg) AS digests FROM rd GROUP BY batch_id), "
+        "bd AS (SELECT batch_id, count(*) AS cnt, max(d) AS dim, string_agg(rdg, ',' ORDER BY rdg) AS digests FROM rd GROUP BY batch_id), "
         f"dg AS (SELECT batch_id, cnt, dim, {hmac_hex(f'sha256({chr(39)}{seed}:{chr(39)} || batch_id)', "batch_id || '|' || cnt || '|' || dim || '|' || digests")} AS digest FROM bd)"
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from embedflow.functions import digest as D
 from embedflow.functions.hashing import hmac_sha256_hex
+from embedflow.functions.vectors import fixed_point_np
 from embedflow.operators import batching, frames
 from tests.conftest import make_records
 
@@ -21,7 +22,7 @@ def test_fixed_point_matches_spark_round(spark):
     vals = [0.5e-6, -0.5e-6, 1.5e-6, -2.5e-6, 0.1234565, -0.9999995, 3.0e-7]
     df = spark.createDataFrame([(vals,)], "v array<double>")
     spark_fp = df.select(F.transform("v", lambda x: F.round(x * 1e6).cast("bigint"))).first()[0]
-    assert list(D.fixed_point_np(np.array(vals))) == spark_fp
+    assert list(fixed_point_np(np.array(vals))) == spark_fp
 
 
 def test_non_finite_values_have_codes(spark):
@@ -29,17 +30,18 @@ def test_non_finite_values_have_codes(spark):
     df = spark.createDataFrame([(vals,)], "v array<double>")
     from embedflow.functions.vectors import fixed_point
 
-    assert df.select(fixed_point("v")).first()[0] == list(D.fixed_point_np(np.array(vals)))
+    assert df.select(fixed_point("v")).first()[0] == list(fixed_point_np(np.array(vals)))
 
 
 def test_batch_digest_python_equals_spark(spark):
     df, vecs = make_records(spark, 40, 8, 2)
     b = batching.assign_batches(df, 16)
     sd = {r["batch_id"]: r["digest"] for r in D.batch_digests(b).collect()}
-    rows = b.select("batch_id", "id", "vector").collect()
+    rows = b.select("batch_id", "id", "vector", D.meta_json().alias("meta"), "namespace").collect()
     for bid in sd:
         part = [r for r in rows if r["batch_id"] == bid]
-        assert D.batch_digest_py(bid, [r["id"] for r in part], [np.array(r["vector"], np.float32) for r in part]) == sd[bid]
+        columns = [[r[c] for r in part] for c in ("id", "vector", "meta", "namespace")]
+        assert D.batch_digest_py(bid, *columns) == sd[bid]
 
 
 def test_digest_changes_with_any_edit(spark):
@@ -48,7 +50,7 @@ def test_digest_changes_with_any_edit(spark):
     assert D.batch_digest_py(1, ids, vecs) != base  # batch id is covered
     assert D.batch_digest_py(0, ids[:1], vecs[:1]) != base  # count
     v2 = [vecs[0].copy(), vecs[1]]
-    v2[0][2] += 1e-5
+    v2[0][2] = np.nextafter(v2[0][2], np.float32(2))  # the last bit
     assert D.batch_digest_py(0, ids, v2) != base
     assert D.batch_digest_py(0, ["b", "a"], [vecs[1], vecs[0]]) == base  # order inside a batch is irrelevant
 
@@ -59,8 +61,8 @@ def test_sealed_round_trip_and_layout():
     ids = [f"v{i}" for i in range(20)]
     frame = frames.pack_sealed(7, ids, vecs, ["{}"] * 20)
     assert frame[:4] == frames.MAGIC
-    bid, ids2, vecs2, metas, ok = frames.unpack_sealed(frame)
-    assert ok and bid == 7 and ids2 == ids and metas == ["{}"] * 20
+    bid, ids2, vecs2, metas, spaces, ok = frames.unpack_sealed(frame)
+    assert ok and bid == 7 and spaces == [None] * 20 and ids2 == ids and metas == ["{}"] * 20
     assert all(np.array_equal(a, b) for a, b in zip(vecs, vecs2))
     assert sum(v.nbytes for v in vecs2) == 20 * 64 * 4
 
@@ -74,10 +76,31 @@ def test_tampered_frame_fails_verification():
     vecs = [np.ones(8, np.float32) * 0.5 for _ in range(3)]
     frame = bytearray(frames.pack_sealed(1, ["a", "b", "c"], vecs, ["{}"] * 3))
     frame[frames.SEALED_HEADER + 3] ^= 0x40
-    assert not frames.unpack_sealed(bytes(frame))[4]
+    assert not frames.unpack_sealed(bytes(frame))[-1]
     changed_digest = bytearray(frames.pack_sealed(1, ["a", "b", "c"], vecs, ["{}"] * 3))
     changed_digest[25] ^= 1
-    assert not frames.unpack_sealed(bytes(changed_digest))[4]
+    assert not frames.unpack_sealed(bytes(changed_digest))[-1]
+
+
+def test_any_changed_byte_of_a_sealed_frame_is_noticed():
+    """One bit of a float, of an id, of metadata, of a namespace, or of the header."""
+    frame = frames.pack_sealed(1, ["a", "bb"], [np.ones(2, np.float32), np.zeros(2, np.float32)], ['{"k":"v"}', None], ["007", None])
+    assert frames.unpack_sealed(frame)[-1]
+    for i in range(4, len(frame)):
+        damaged = bytearray(frame)
+        damaged[i] ^= 1
+        try:
+            assert not frames.unpack_sealed(bytes(damaged))[-1], i
+        except (frames.FrameError, UnicodeDecodeError):
+            pass
+
+
+def test_float_bits_definition(spark):
+    values = [0.0, -0.0, 1.0, -1.0, 0.1, 2.0**-126, 2.0**-149, -(2.0**-140), 3.4e38, float("inf"), float("-inf"), float("nan"), 1 - 2.0**-24, 2.0**-30 * 1.5]
+    v = np.array(values, np.float32)
+    df = spark.createDataFrame([([float(x) for x in v],)], "v array<float>")
+    got = df.select(F.transform("v", D.float_bits_hex)).first()[0]
+    assert "".join(got).lower() == D.float_bits(v).hex()
 
 
 def test_bad_magic_and_ragged_batch_raise():
@@ -108,11 +131,20 @@ def test_seal_unseal_in_spark_keeps_ids_in_order(spark):
 def test_jvm_definition_equals_arrow_path(spark):
     df, _ = make_records(spark, 60, 24, 7, unit=False)
     df = df.unionByName(df.limit(2).withColumn("id", F.concat(F.lit("empty-"), "id")).withColumn("vector", F.array().cast("array<float>")))
-    a = {r["id"]: r["d"] for r in df.select("id", D.row_digest().alias("d")).collect()}
+    df = df.withColumn("namespace", F.when(F.col("id") < "v0030", F.lit("007")))
+    a = {r["id"]: r["d"] for r in df.select("id", D.row_digest(meta=D.meta_json(), namespace=F.col("namespace")).alias("d")).collect()}
     b = {r["id"]: r["rd"] for r in D.with_row_digests(df, ["id"]).collect()}
     assert a == b and len(a) == 62
-    for r in df.collect():
-        assert D.row_digest_py(r["id"], np.array(r["vector"], np.float32)) == a[r["id"]]
+    for r in df.withColumn("meta", D.meta_json()).collect():
+        assert D.row_digest_py(r["id"], np.array(r["vector"], np.float32), r["meta"], r["namespace"]) == a[r["id"]]
+
+
+def test_lists_from_sliced_arrays():
+    import pyarrow as pa
+
+    arr = pa.array([[1.0], [2.0, 3.0], None, [4.0]], pa.list_(pa.float32()))[1:]
+    flat, offsets = D.flat_floats(arr)
+    assert flat.tolist() == [2.0, 3.0, 4.0] and offsets.tolist() == [0, 2, 2, 3]
 
 
 def test_seal_splits_needs_no_shuffle_and_round_trips(spark):

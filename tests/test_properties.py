@@ -5,8 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from embedflow.functions import digest as D
-from embedflow.functions.vectors import fixed_point
+from embedflow.functions.vectors import fixed_point, fixed_point_np
 from embedflow.operators import batching, knn
 from embedflow.operators import upsert as U
 from tests.conftest import make_records
@@ -18,7 +17,7 @@ FEW = settings(max_examples=4, deadline=None)
 @given(st.lists(st.floats(allow_nan=True, allow_infinity=True, width=64), min_size=1, max_size=300))
 def test_fixed_point_python_equals_spark(spark, vals):
     df = spark.createDataFrame([(vals,)], "v array<double>")
-    assert df.select(fixed_point("v")).first()[0] == list(D.fixed_point_np(np.array(vals, dtype=np.float64)))
+    assert df.select(fixed_point("v")).first()[0] == list(fixed_point_np(np.array(vals, dtype=np.float64)))
 
 
 @FEW
