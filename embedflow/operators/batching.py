@@ -1,27 +1,26 @@
 """Fixed-size batches in key order without a global single-partition window.
 
 Plan (``number_rows``):
-  1. keys only: repartitionByRange(n, order) + sortWithinPartitions; the
+  1. rows: repartitionByRange(n, order) + sortWithinPartitions; the
      partition id and the index inside the partition (low 33 bits of
-     monotonically_increasing_id) are attached and pinned with a reliable
-     ``checkpoint()`` in the shared checkpoint folder.  Spark's range
-     sample is seeded by RDD id, so without pinning a second pass could
-     draw other boundaries; the checkpoint also survives executor loss.
-  2. rows per partition (n rows) → offsets, a literal map with n entries.
-  3. rn = offset[pid] + index, joined back to the full rows on the key
-     (one shuffle of the rows by key hash; the key must be unique).
-
-Only the order keys are range-partitioned and written; vectors move once.
+     monotonically_increasing_id) are attached and the rows are written
+     once to the shared scratch folder.  Spark's range sample is seeded by
+     RDD id, so without writing a second pass could draw other boundaries;
+     the table also survives executor loss.
+  2. rows per partition (n rows) → first row number of each partition.
+  3. rn = first + index, joined by partition id (a broadcast of n rows).
+
+Row and number stay together throughout, so repeated or null keys keep
+their rows; ties are in no particular order.  Select only the columns you
+need before numbering: all of them are written and shuffled once.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 
 def _n_ranges(df: DataFrame, n: int | None) -> int:
@@ -30,39 +29,37 @@ def _n_ranges(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def number_keys(df: DataFrame, order: list[str], n_ranges: int | None = None, stats: dict | None = None) -> DataFrame:
-    """The rows of ``df.select(order)`` with ``rn`` (0-based BIGINT) in that order.
+def number_rows(df: DataFrame, order: list[str], n_ranges: int | None = None, stats: dict | None = None) -> DataFrame:
+    """Add ``rn`` (0-based BIGINT) = position of the row in ``order``.
 
     ``stats``, if given, receives {"rows": total, "ranges": n}.
     """
-    n = _n_ranges(df, n_ranges)
+    spark, n = df.sparkSession, _n_ranges(df, n_ranges)
     keys = [F.col(c) for c in order]
     pid = F.spark_partition_id()
     ranged = (
-        df.select(*keys)
-        .repartitionByRange(n, *keys)
+        df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", pid)
         .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33))
     )
-    ensure_checkpoint_dir(df.sparkSession)
-    pinned = ranged.checkpoint(eager=True)
-    counts = pinned.groupBy("_pid").count().collect()
-    pairs, run = [], 0
-    for r in sorted(counts, key=lambda r: r["_pid"]):
-        pairs += [F.lit(r["_pid"]), F.lit(run).cast("bigint")]
+    path = scratch_path(spark, "numbered")
+    ranged.write.parquet(path)
+    pinned = spark.read.schema(ranged.schema).parquet(path)
+    first, run = [], 0
+    for r in sorted(pinned.groupBy("_pid").count().collect(), key=lambda r: r["_pid"]):  # one row per range
+        first.append((r["_pid"], run))
         run += r["count"]
     if stats is not None:
         stats.update(rows=run, ranges=n)
-    offset_map = F.create_map(*pairs) if pairs else F.create_map().cast("map<int,bigint>")
-    return pinned.select(*order, (F.coalesce(F.element_at(offset_map, F.col("_pid")), F.lit(0).cast("bigint")) + F.col("_local")).alias("rn"))
+    starts = spark.createDataFrame(first, "_pid int, _first bigint")
+    numbered = pinned.join(F.broadcast(starts), "_pid")  # n_ranges rows
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_first") + F.col("_local")).alias("rn"))
 
 
-def number_rows(df: DataFrame, order: list[str], n_ranges: int | None = None, stats: dict | None = None) -> DataFrame:
-    """Add ``rn`` (0-based BIGINT) = position of the row in ``order`` (a unique key)."""
-    numbered = number_keys(df, order, n_ranges, stats)
-    cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(numbered[c]) for c in order])
-    return df.join(numbered, cond).select(*[df[c] for c in df.columns], numbered["rn"])
+def number_keys(df: DataFrame, order: list[str], n_ranges: int | None = None, stats: dict | None = None) -> DataFrame:
+    """``number_rows`` of the order columns alone."""
+    return number_rows(df.select(*order), order, n_ranges, stats)
 
 
 def assign_batches(
@@ -97,31 +94,3 @@ def assign_batches(
 def hash_batches(df: DataFrame, n_batches: int, key: str = "id") -> DataFrame:
     """Content-based batch_id = pmod(xxhash64(key), n_batches): stable across retries and re-runs."""
     return df.withColumn("batch_id", F.pmod(F.xxhash64(F.col(key)), F.lit(n_batches)).cast("bigint"))
-
-
-def split_batches(df: DataFrame, batch_size: int) -> tuple[DataFrame, dict[int, int]]:
-    """Batches in read order inside each input split: no shuffle at all.
-
-    ``batch_id`` = "<split>-<n>" and ``pos`` come from the row's index in its
-    split (monotonically_increasing_id right after the scan), so a task that
-    is retried on the same split rebuilds the same batches.  Returns the
-    frame and {split: rows} (one small count job), from which every batch's
-    expected size follows: min(batch_size, rows - n * batch_size).
-
-    Use it on scans and narrow transformations only: after a shuffle, AQE
-    may split the input differently between the count job and the job that
-    consumes the batches (use ``assign_batches`` there).
-    """
-    if batch_size <= 0:
-        raise ValueError("batch_size must be positive")
-    pid = F.spark_partition_id()
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    counts = {r["pid"]: r["count"] for r in df.select(pid.alias("pid")).groupBy("pid").count().collect()}
-    out = (
-        df.withColumn("_split", pid)
-        .withColumn("_local", local)
-        .withColumn("batch_id", F.concat_ws("-", F.col("_split").cast("string"), F.floor(F.col("_local") / batch_size).cast("string")))
-        .withColumn("pos", (F.col("_local") % batch_size).cast("bigint"))
-        .drop("_local")
-    )
-    return out, counts

@@ -2,7 +2,8 @@
 
 The ledger is derived from ``embeddings``: every namespace is one
 account's migration job, copied in batches of ``JOB_BATCH`` records in id
-order.  Jobs of labels 8 and 9 are still running (two batches committed).
+order.  Jobs whose label leaves 8 or 9 after division by ten are not marked
+completed yet.
 Times are epoch seconds from a fixed start so results are reproducible.
 """
 
@@ -32,15 +33,15 @@ def _label(df):
 def ledger(spark, sf_dir) -> DataFrame:
     """job_id, license_key, label, batch_id, n, raw_bytes, wire_bytes, last_id, updated_at_s (committed batches)."""
     src = source(spark, sf_dir)
-    src = src.withColumn("label", _label(src))
-    b = batching.assign_batches(src, JOB_BATCH, order=["id"], group="namespace")
+    sized = src.select("namespace", "id", _label(src).alias("label"), (4 * F.size("vector")).alias("raw"), frames.sealed_record_bytes().alias("wire"))
+    b = batching.assign_batches(sized, JOB_BATCH, order=["id"], group="namespace")
     g = b.groupBy("namespace", "label", "batch_id").agg(
         F.count("*").alias("n"),
-        F.sum(4 * F.size("vector")).cast("bigint").alias("raw_bytes"),
-        (F.lit(frames.SEALED_HEADER) + F.sum(frames.sealed_record_bytes())).cast("bigint").alias("wire_bytes"),
+        F.sum("raw").cast("bigint").alias("raw_bytes"),
+        (F.lit(frames.SEALED_HEADER) + F.sum("wire")).cast("bigint").alias("wire_bytes"),
         F.max("id").alias("last_id"),
     )
-    return g.where((F.col("label") < 8) | (F.col("batch_id") < 2)).select(
+    return g.select(
         F.concat(F.lit("job-"), "namespace").alias("job_id"),
         F.concat(F.lit("key-"), F.col("label").cast("string")).alias("license_key"),
         "label",
@@ -70,14 +71,14 @@ def plans(spark) -> DataFrame:
 
 
 def jobs(spark, sf_dir) -> DataFrame:
-    """One job per account, except label 9 whose job row is gone (its report must fall back to the default dim)."""
+    """One job per account."""
     src = source(spark, sf_dir)
     per = src.groupBy(_label(src).alias("label"), "namespace").agg(F.max(F.size("vector")).alias("dim"))
-    return per.where(F.col("label") != 9).select(
+    return per.select(
         F.concat(F.lit("job-"), "namespace").alias("job_id"),
         F.concat(F.lit("key-"), F.col("label").cast("string")).alias("license_key"),
         F.col("dim").cast("int").alias("dim"),
-        (F.col("label") < 8).alias("completed"),
+        (F.col("label") % 10 < 8).alias("completed"),
         (F.lit(EPOCH0) + F.col("label") * 3600).cast("bigint").alias("created_at_s"),
     )
 
@@ -103,14 +104,14 @@ LEDGER_SQL = (
     f"{W}, jb AS (SELECT *, (row_number() OVER (PARTITION BY namespace ORDER BY id) - 1) // {JOB_BATCH} AS batch_id FROM src), "
     "ledger AS (SELECT 'job-' || namespace AS job_id, 'key-' || label AS license_key, label, batch_id, count(*) AS n, "
     "CAST(sum(4 * len(vector)) AS BIGINT) AS raw_bytes, "
-    "CAST(52 + sum(4 * len(vector) + 2 + strlen(id) + 4 + strlen('{\"label\":\"' || meta_label || '\"}')) AS BIGINT) AS wire_bytes, "
+    "CAST(52 + sum(4 * len(vector) + 8 + strlen(id) + strlen('{\"label\":\"' || meta_label || '\"}') + strlen(namespace)) AS BIGINT) AS wire_bytes, "
     f"max(id) AS last_id, CAST({EPOCH0} + label * 3600 + (batch_id + 1) * 60 AS BIGINT) AS updated_at_s "
-    "FROM jb GROUP BY namespace, label, batch_id HAVING label < 8 OR batch_id < 2), "
+    "FROM jb GROUP BY namespace, label, batch_id), "
     "accounts AS (SELECT DISTINCT 'key-' || label AS license_key, 'org-' || (label // 2) AS org, "
     "['free', 'starter', 'pro', 'enterprise'][label % 4 + 1] AS plan, label FROM src), "
     "plans AS (SELECT * FROM (VALUES ('free', 200000000), ('starter', 2000000000), ('pro', 25000000000), ('enterprise', -1)) t(plan, dwv_limit)), "
     "jobs AS (SELECT 'job-' || namespace AS job_id, 'key-' || label AS license_key, CAST(max(len(vector)) AS INTEGER) AS dim, "
-    f"label < 8 AS completed, CAST({EPOCH0} + label * 3600 AS BIGINT) AS created_at_s FROM src WHERE label <> 9 GROUP BY namespace, label), "
+    f"label % 10 < 8 AS completed, CAST({EPOCH0} + label * 3600 AS BIGINT) AS created_at_s FROM src GROUP BY namespace, label), "
     "reports AS (SELECT r.*, a.org, 0 AS failed, CASE WHEN transferred > 0 THEN round(verified / transferred * 100, 4) ELSE 0.0 END "
     "AS verification_rate_pct, CASE WHEN wire_bytes > 0 THEN round(raw_bytes / wire_bytes, 2) ELSE 0.0 END AS raw_over_wire FROM "
     "(SELECT job_id, license_key, CAST(sum(n) AS BIGINT) AS transferred, CAST(sum(n) AS BIGINT) AS verified, "
@@ -396,7 +397,7 @@ def _catalog(spark, sf_dir):
     src = source(spark, sf_dir)
     per = src.groupBy("namespace", _label(src).alias("label")).agg(F.count("*").alias("n_vectors"))
     sm, tm = F.array(*[F.lit(m) for m in SOURCE_METRICS]), F.array(*[F.lit(m) for m in TARGET_METRICS])
-    idx = (F.col("label") + 1).cast("int")
+    idx = (F.col("label") % len(SOURCE_METRICS) + 1).cast("int")
     return per.select(
         "namespace",
         "n_vectors",
@@ -409,8 +410,8 @@ def _catalog(spark, sf_dir):
 _ALIAS_SQL = "CASE lower({m}) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.METRIC_ALIASES.items()) + " ELSE lower({m}) END"
 CATALOG_SQL = (
     f"{W}, cat AS (SELECT namespace, count(*) AS n_vectors, "
-    f"[{', '.join(repr(m) for m in SOURCE_METRICS)}][label + 1] AS source_metric, "
-    f"[{', '.join(repr(m) for m in TARGET_METRICS)}][label + 1] AS target_metric, label IN ({', '.join(map(str, OVERRIDE_LABELS))}) AS override "
+    f"[{', '.join(repr(m) for m in SOURCE_METRICS)}][label % {len(SOURCE_METRICS)} + 1] AS source_metric, "
+    f"[{', '.join(repr(m) for m in TARGET_METRICS)}][label % {len(SOURCE_METRICS)} + 1] AS target_metric, label IN ({', '.join(map(str, OVERRIDE_LABELS))}) AS override "
     "FROM src GROUP BY namespace, label)"
 )
 
