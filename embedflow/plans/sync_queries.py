@@ -39,14 +39,10 @@ def feed(spark, sf_dir) -> DataFrame:
 
 
 def write_feed_files(spark, sf_dir, days_per_file: int = 5) -> str:
-    """Feed files in the shared folder, one append per time slice so file times follow event times."""
+    """Feed files in the shared folder, written in one job: a folder per time slice, as many files as tasks hold rows of it."""
     path = scratch_path(spark, "feed")
-    f = feed(spark, sf_dir)
-    t_min = f.agg(F.min("updated_at")).first()[0]
-    sliced = f.withColumn("_slice", F.floor(F.datediff(F.col("updated_at"), F.lit(t_min)) / days_per_file))
-    n_slices = sliced.agg(F.max("_slice")).first()[0]
-    for k in range(int(n_slices or 0) + 1):
-        sliced.where(F.col("_slice") == k).drop("_slice").coalesce(1).write.mode("append").parquet(path)
+    slices = F.floor(F.unix_timestamp("updated_at") / F.lit(days_per_file * 86400))
+    feed(spark, sf_dir).withColumn("slice", slices).write.partitionBy("slice").parquet(path)
     return path
 
 
@@ -73,7 +69,7 @@ def sync_incremental(spark, sf_dir):
 def _run_stream(spark, sf_dir, trigger, name):
     files = write_feed_files(spark, sf_dir)
     target = sync.SyncTarget(scratch_path(spark, name), "id", "updated_at", "seq")
-    stream = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", 2).parquet(files)
+    stream = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", 2).parquet(files).drop("slice")
     q = sync.start_sync_stream(stream, target, os.path.join(target.root, "_checkpoint"), trigger, compact_every=2)
     if "availableNow" in trigger:
         q.awaitTermination()
@@ -97,28 +93,32 @@ def sync_live(spark, sf_dir):
 
 @query(
     "sync_batch_ledger",
-    "SELECT count(DISTINCT user_id) AS n_ids, epoch_us(max(ts)) AS hw_us, true AS every_epoch_counted FROM events",
+    "WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(floor(epoch(ts) / 864000) AS BIGINT) ORDER BY ts DESC, event_id DESC) AS r, "
+    "CAST(floor(epoch(ts) / 864000) AS BIGINT) AS slice FROM events) SELECT row_number() OVER (ORDER BY slice) - 1 AS epoch, "
+    "count(*) AS n_changes, epoch_us(max(ts)) AS hw_us, (list(event_id ORDER BY ts DESC, event_id DESC))[1] AS hw_seq FROM e WHERE r = 1 GROUP BY slice",
 )
 def sync_batch_ledger(spark, sf_dir):
-    target = _run_stream(spark, sf_dir, {"availableNow": True}, "sync-ledger")
-    led = target.ledger(spark).where(F.col("kind") == "delta")
-    final = target.current(spark)
-    n_ids = final.count()
-    return led.agg(
-        F.lit(n_ids).cast("bigint").alias("n_ids"),
-        F.unix_micros(F.max("hw_ts")).alias("hw_us"),
-        (F.sum("n_changes") >= F.lit(n_ids)).alias("every_epoch_counted"),
-    )
+    """The ledger of a feed that comes in slices of ten days, one epoch each: its keys and its high-water mark."""
+    f = feed(spark, sf_dir)
+    target = sync.SyncTarget(scratch_path(spark, "sync-ledger"), "id", "updated_at", "seq")
+    files = write_feed_files(spark, sf_dir, days_per_file=10)
+    slices = sorted(r["slice"] for r in spark.read.parquet(files).select("slice").distinct().collect())  # folders
+    for epoch, k in enumerate(slices):
+        part = spark.read.schema(f.schema).parquet(os.path.join(files, f"slice={k}"))
+        for _ in range(2):  # every epoch is delivered twice and commits once
+            sync.apply_changes(spark, target, part, epoch, "feed")
+    return target.ledger(spark).select("epoch", "n_changes", F.unix_micros("hw_ts").alias("hw_us"), "hw_seq")
 
 
 @query("sync_dedup_late", "SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS id FROM events")
 def sync_dedup_late(spark, sf_dir):
-    """Re-delivered changes (every 'view' again, after everything else) are dropped by the watermark/dedup state."""
-    files = write_feed_files(spark, sf_dir)
-    feed(spark, sf_dir).where(F.col("event_type") == "view").coalesce(1).write.mode("append").parquet(files)
+    """A feed together with a second delivery of its 'view' changes: the watermark's state drops what came before."""
+    first = write_feed_files(spark, sf_dir)
+    again = scratch_path(spark, "feed-again")
+    feed(spark, sf_dir).where(F.col("event_type") == "view").write.parquet(again)
+    read = lambda path: spark.readStream.schema(FEED_SCHEMA).parquet(path).select("id", "seq", "updated_at")
     out = scratch_path(spark, "dedup-out")
-    stream = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", 2).parquet(files)
-    deduped = sync.dedup_late(stream, ["seq"], "updated_at", "2 days")
+    deduped = sync.dedup_late(read(first).unionByName(read(again)), ["seq"], "updated_at", "2 days")
     q = (
         deduped.select("seq", "id")
         .writeStream.format("parquet")

@@ -2,35 +2,41 @@
 
 Target layout (all under one root in shared storage):
 
-    root/delta/epoch=<n>/   the epoch's changes, one (latest) row per key
-    root/base/epoch=<n>/    a compacted snapshot covering every delta <= n
-    root/_ledger/           append-only Parquet: epoch, kind ('delta' | 'base'),
-                            path, n_changes, hw_ts, hw_seq, committed_at
+    root/delta/<stream>-<epoch>/  the epoch's changes, one (latest) row per key
+    root/base/<commit>/           a compacted snapshot covering every commit <= n
+    root/_ledger/                 append-only Parquet: commit, stream, epoch, kind ('delta' | 'base'),
+                                  path, n_changes, hw_ts, hw_seq, committed_at
 
 * An epoch (``foreachBatch``) costs O(its changes): last change per key
   (max_by over (updated_at, seq), a partial aggregate), written to its own
-  folder, then one ledger row.  A retried epoch rewrites its own folder and
-  is committed once (the ledger is checked by epoch), so retries are
-  idempotent and no folder that readers use is ever overwritten.
+  folder, then one ledger row.  Epochs are numbered by each stream for
+  itself, so a stream's commits are known by (stream, epoch); commits are
+  numbered by the ledger.  A retried epoch rewrites its own folder and is
+  committed once, so retries are idempotent and no folder that readers use
+  is ever overwritten.  One writer commits to a target at a time.
 * The current table is the last row per key over the newest base and the
-  committed deltas after it (one aggregation; hot keys combine map-side).
-  ``compact`` folds the deltas into a new base; streams can compact every
-  N epochs.
-* High-water marks are (updated_at, seq) pairs, so rows sharing a
-  timestamp are not lost; late rows are the streaming dedup's job (ST4).
+  deltas committed after it (one aggregation; hot keys combine map-side),
+  so late changes find their place whenever they arrive.  ``compact`` folds
+  the deltas into a new base; streams can compact every N epochs.
+* High-water marks are (updated_at, seq) pairs.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.progress import latest
 
-LEDGER_SCHEMA = "epoch bigint, kind string, path string, n_changes bigint, hw_ts timestamp, hw_seq bigint, committed_at timestamp"
+ROW_SCHEMA = "commit bigint, stream string, epoch bigint, kind string, path string, n_changes bigint, hw_ts timestamp, hw_seq bigint"
+LEDGER_SCHEMA = ROW_SCHEMA + ", committed_at timestamp"
+#: Stream name of changes that are applied by hand.
+BATCH = "batch"
 
 
 @dataclass
@@ -47,35 +53,50 @@ class SyncTarget:
         return os.path.join(self.root, "_ledger")
 
     def ledger(self, spark: SparkSession) -> DataFrame | None:
+        """The commits; None if there is no ledger yet (any other error is raised)."""
         try:
             return spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
-        except Exception:  # noqa: BLE001  (no ledger yet)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
-    def committed(self, spark: SparkSession, epoch: int, kind: str) -> bool:
+    def committed(self, spark: SparkSession, stream: str, epoch: int, kind: str = "delta") -> bool:
         led = self.ledger(spark)
-        return led is not None and led.where((F.col("epoch") == epoch) & (F.col("kind") == kind)).limit(1).count() > 0
+        same = (F.col("stream") == stream) & (F.col("epoch") == epoch) & (F.col("kind") == kind)
+        return led is not None and not led.where(same).isEmpty()
+
+    def last_commit(self, spark: SparkSession, kind: str | None = None) -> int:
+        """Number of the last commit (of a kind), -1 if there is none."""
+        led = self.ledger(spark)
+        if led is None:
+            return -1
+        row = led.where(F.lit(True) if kind is None else F.col("kind") == kind).agg(F.max("commit").alias("c")).first()
+        return -1 if row["c"] is None else int(row["c"])
+
+    def next_epoch(self, spark: SparkSession, stream: str) -> int:
+        led = self.ledger(spark)
+        row = None if led is None else led.where(F.col("stream") == stream).agg(F.max("epoch").alias("e")).first()
+        return 0 if row is None or row["e"] is None else int(row["e"]) + 1
 
     def high_water(self, spark: SparkSession):
-        """(hw_ts, hw_seq, last_epoch) over all committed deltas, or None."""
+        """(hw_ts, hw_seq, last commit) over all committed deltas, or None."""
         led = self.ledger(spark)
         if led is None:
             return None
         row = led.where(F.col("kind") == "delta").agg(
-            F.max(F.struct("hw_ts", "hw_seq")).alias("hw"), F.max("epoch").alias("epoch")
+            F.max(F.struct("hw_ts", "hw_seq")).alias("hw"), F.max("commit").alias("commit")
         ).first()
-        return None if row["epoch"] is None else (row["hw"]["hw_ts"], row["hw"]["hw_seq"], int(row["epoch"]))
+        return None if row["commit"] is None else (row["hw"]["hw_ts"], row["hw"]["hw_seq"], int(row["commit"]))
 
     def _paths(self, spark: SparkSession) -> list[str]:
+        """The newest base and the deltas since: as many as there are commits between two compactions."""
         led = self.ledger(spark)
         if led is None:
             return []
-        rows = led.select("epoch", "kind", "path").collect()  # one row per commit
-        bases = [r for r in rows if r["kind"] == "base"]
-        start = max((r["epoch"] for r in bases), default=-1)
-        paths = [r["path"] for r in bases if r["epoch"] == start]
-        paths += sorted(r["path"] for r in rows if r["kind"] == "delta" and r["epoch"] > start)
-        return paths
+        start = self.last_commit(spark, "base")
+        live = led.where((F.col("commit") > start) & (F.col("kind") == "delta") | (F.col("commit") == start) & (F.col("kind") == "base"))
+        return sorted(r["path"] for r in live.select("path").collect())
 
     def current(self, spark: SparkSession, schema=None) -> DataFrame | None:
         paths = self._paths(spark)
@@ -90,54 +111,53 @@ def latest_per_key(changes: DataFrame, key: str, ts_col: str, seq_col: str) -> D
     return latest(changes, key, [ts_col, seq_col])
 
 
-def _commit(spark: SparkSession, target: SyncTarget, epoch: int, kind: str, path: str, n: int, hw) -> None:
-    row = spark.createDataFrame(
-        [(epoch, kind, path, n, hw[0] if hw else None, hw[1] if hw else None)],
-        "epoch bigint, kind string, path string, n_changes bigint, hw_ts timestamp, hw_seq bigint",
-    )
-    row.withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(target.ledger_path)
+def _commit(spark: SparkSession, target: SyncTarget, stream: str, epoch: int, kind: str, path: str, n: int, hw) -> None:
+    number = target.last_commit(spark) + 1
+    row = spark.createDataFrame([(number, stream, epoch, kind, path, n, hw[0], hw[1])], ROW_SCHEMA)
+    row.coalesce(1).withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(target.ledger_path)
 
 
-def apply_changes(spark: SparkSession, target: SyncTarget, batch: DataFrame, epoch: int) -> int:
-    """Commit one epoch of changes (idempotent per epoch). Returns keys changed."""
-    if target.committed(spark, epoch, "delta"):
+def apply_changes(spark: SparkSession, target: SyncTarget, batch: DataFrame, epoch: int, stream: str = BATCH) -> int:
+    """Commit one epoch of a stream's changes (idempotent per stream and epoch). Returns keys changed."""
+    if target.committed(spark, stream, epoch):
         return 0
     changes = latest_per_key(batch, target.key, target.ts_col, target.seq_col)
-    path = os.path.join(target.root, "delta", f"epoch={epoch}")
+    path = os.path.join(target.root, "delta", f"{stream}-{epoch}")
     changes.write.mode("overwrite").parquet(path)
     written = spark.read.parquet(path)
     stats = written.agg(F.count("*").alias("n"), F.max(F.struct(target.ts_col, target.seq_col)).alias("hw")).first()
     n = int(stats["n"])
     if n == 0:
         return 0
-    _commit(spark, target, epoch, "delta", path, n, (stats["hw"][0], stats["hw"][1]))
+    _commit(spark, target, stream, epoch, "delta", path, n, (stats["hw"][0], stats["hw"][1]))
     return n
 
 
 def compact(spark: SparkSession, target: SyncTarget) -> str | None:
-    """Fold the base and its deltas into a new base at the last committed epoch."""
+    """Fold the base and the deltas since into a new base (None if there are no deltas since)."""
     hw = target.high_water(spark)
-    if hw is None:
-        return None
-    epoch = hw[2]
-    if target.committed(spark, epoch, "base"):
+    if hw is None or target.last_commit(spark, "base") > hw[2]:
         return None
     cur = target.current(spark)
-    path = os.path.join(target.root, "base", f"epoch={epoch}")
+    number = target.last_commit(spark) + 1
+    path = os.path.join(target.root, "base", str(number))
     cur.write.mode("overwrite").parquet(path)
-    n = spark.read.parquet(path).count()
-    _commit(spark, target, epoch, "base", path, n, (hw[0], hw[1]))
+    _commit(spark, target, "base", number, "base", path, spark.read.parquet(path).count(), (hw[0], hw[1]))
     return path
 
 
 def sync_once(spark: SparkSession, target: SyncTarget, changes: DataFrame) -> int:
-    """ST1: one catch-up pass from the stored high-water mark (batch form)."""
-    hw = target.high_water(spark)
-    if hw is not None:
-        mark = F.struct(F.lit(hw[0]).cast("timestamp"), F.lit(hw[1]).cast("bigint"))
-        changes = changes.where(F.struct(target.ts_col, target.seq_col) > mark)
-    epoch = 0 if hw is None else hw[2] + 1
-    return apply_changes(spark, target, changes, epoch)
+    """ST1: one catch-up pass over a feed: commits the changes that the target's keys haven't seen (batch form).
+
+    A change counts if its key is new or if it comes after the key's current row, so late changes of other
+    keys than those that moved the high-water mark aren't lost.
+    """
+    have = target.current(spark)
+    if have is not None:
+        seen = have.select(F.col(target.key).alias("_key"), F.struct(target.ts_col, target.seq_col).alias("_seen"))
+        newer = F.struct(F.col(target.ts_col), F.col(target.seq_col)) > F.col("_seen")
+        changes = changes.join(seen, F.col(target.key).eqNullSafe(F.col("_key")), "left").where(F.col("_seen").isNull() | newer).drop("_key", "_seen")
+    return apply_changes(spark, target, changes, target.next_epoch(spark, BATCH))
 
 
 def start_sync_stream(
@@ -147,12 +167,18 @@ def start_sync_stream(
     trigger: dict | None = None,
     query_name: str | None = None,
     compact_every: int | None = None,
+    stream_id: str | None = None,
 ):
-    """ST2/ST5: readStream → foreachBatch(delta + ledger).  Offsets live in ``checkpoint_location``."""
+    """ST2/ST5: readStream → foreachBatch(delta + ledger).  Offsets live in ``checkpoint_location``.
+
+    ``stream_id`` names the stream in the ledger; by default it follows from the checkpoint location, which
+    is what makes two runs the same stream.
+    """
     spark = stream.sparkSession
+    name = stream_id or f"stream{zlib.crc32(checkpoint_location.encode('utf-8')):08x}"
 
     def each(batch_df: DataFrame, epoch_id: int):
-        apply_changes(spark, target, batch_df, int(epoch_id))
+        apply_changes(spark, target, batch_df, int(epoch_id), name)
         if compact_every and (int(epoch_id) + 1) % compact_every == 0:
             compact(spark, target)
 
