@@ -2,18 +2,19 @@
 
 Plan shape (block form, the default):
 
-    scan(data) ─ mapInPandas[X @ Qᵀ, per-batch top-k + ties] ─ shuffle(probe_id)
+    scan(data) ─ mapInArrow[X @ Qᵀ, per-batch top-k] ─ shuffle(probe_id)
                ─ WindowGroupLimit/Window[row_number ≤ k]
 
-* The probe matrix Q (n_probes × dim) is the only broadcast; its size is
-  checked against ``MAX_PROBE_CELLS`` before it leaves the driver.
-* Data vectors never shuffle: each task scores its own rows with one BLAS
-  call per Arrow batch and emits at most k candidates per probe (plus
-  rows tied with the k-th within ``TIE_MARGIN``), so the shuffle carries
-  O(n_probes · k · batches) rows no matter how large the table is, and a
-  hot namespace or duplicated id cannot grow a group.
-* The final order is decided in Spark on ``round(score, 9) DESC, id ASC``,
-  which makes results independent of partitioning.
+* The probe matrix Q (n_probes × dim) is broadcast in blocks of at most
+  ``MAX_PROBE_CELLS`` values, and a task scores in tiles of at most
+  ``MAX_SCORE_CELLS``.
+* Data vectors never shuffle: each task scores its own rows with BLAS
+  calls and emits exactly k candidates per probe and batch, so the shuffle
+  carries O(n_probes · k · batches) rows no matter how large the table is
+  or how many rows tie, and a hot namespace or duplicated id cannot grow a
+  group.
+* The final order is the one the tasks use, ``round(score, 9) DESC, id
+  ASC`` with NaN last, which makes results independent of partitioning.
 
 ``method="expr"`` is the definition: the same scores with JVM-side
 higher-order functions (no Python), used to test the block form.
@@ -29,22 +30,29 @@ from pyspark.sql import types as T
 from ..functions import vectors as V
 from ..functions.hashing import PROBE_SEED, hash_unit_vector
 
-# Largest probe matrix (n_probes * dim doubles) we agree to broadcast: 128 MiB.
+# Cells (probes * dim doubles) of a probe matrix that is broadcast at once: 128 MiB.  More probes go in blocks.
 MAX_PROBE_CELLS = 16 * 1024 * 1024
-# Candidates within this distance of the k-th score are kept, so ties and
-# float noise between engines can never drop a true neighbour.
-TIE_MARGIN = 1e-7
+# Scores (rows * probes) that a task holds at once.
+MAX_SCORE_CELLS = 4 * 1024 * 1024
+# Rows of a top-k result that are broadcast to fetch vectors by id.
+MAX_FETCH_ROWS = 100_000
 ORDER_DIGITS = 9
 
 
 def detect_dim(data: DataFrame, vector_col: str = "vector") -> int | None:
-    """Length of the first non-empty vector (reads one split, not the table); None if there is none.
+    """The most frequent vector length (ties: the smaller; empty vectors ignored); None if there is none.
 
-    Rows of any other length are not scored; ``operators.guards`` profiles
-    the whole table when raggedness matters.
+    Rows of any other length are not scored; ``operators.guards.dimension_check`` reports them.
     """
-    rows = data.where(F.size(vector_col) > 0).select(F.size(vector_col).alias("dim")).limit(1).collect()
-    return int(rows[0]["dim"]) if rows else None
+    profile = data.where(F.size(vector_col) > 0).groupBy(F.size(vector_col).alias("dim")).count()
+    row = profile.orderBy(F.col("count").desc(), "dim").first()
+    return None if row is None else int(row["dim"])
+
+
+def first_dim(data: DataFrame, vector_col: str = "vector") -> int | None:
+    """Length of the first non-empty vector found, which reads one split; None if there is none."""
+    row = data.where(F.size(vector_col) > 0).select(F.size(vector_col).alias("dim")).first()
+    return None if row is None else int(row["dim"])
 
 
 def make_probes(spark: SparkSession, n_probes: int, dim: int, seed: str = PROBE_SEED) -> DataFrame:
@@ -54,65 +62,63 @@ def make_probes(spark: SparkSession, n_probes: int, dim: int, seed: str = PROBE_
     )
 
 
-MAX_PROBES = 1_000_000
+def _probe_blocks(probes: DataFrame):
+    """(ids, matrix) of the probes, in blocks of at most MAX_PROBE_CELLS values.
 
+    Probes are a stated query set; each block is one pass over the data.
+    """
+    ids, rows = [], []
 
-def _collect_probes(probes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """One bounded collect: at most MAX_PROBES rows and MAX_PROBE_CELLS values, else an error."""
-    rows = probes.select("probe_id", "probe").limit(MAX_PROBES + 1).collect()
-    d = max((len(r["probe"]) for r in rows), default=0)
-    if len(rows) > MAX_PROBES or len(rows) * d > MAX_PROBE_CELLS:
-        raise ValueError(
-            f"probe matrix {len(rows)}x{d} exceeds the broadcast bound of {MAX_PROBE_CELLS} cells; "
-            "use fewer probes or split them into several runs"
-        )
-    rows.sort(key=lambda r: r["probe_id"])
-    ids = np.array([r["probe_id"] for r in rows], dtype=np.int64)
-    Q = np.array([r["probe"] for r in rows], dtype=np.float64).reshape(len(rows), d)
-    return ids, Q
+    def block():
+        order = np.argsort(np.array(ids, dtype=np.int64))
+        return np.array(ids, dtype=np.int64)[order], np.array(rows, dtype=np.float64).reshape(len(rows), len(rows[0]) if rows else 0)[order]
 
+    for r in probes.select("probe_id", "probe").toLocalIterator():
+        if rows and (len(r["probe"]) != len(rows[0]) or (len(rows) + 1) * max(1, len(rows[0])) > MAX_PROBE_CELLS):
+            yield block()
+            ids, rows = [], []
+        ids.append(r["probe_id"])
+        rows.append(r["probe"])
+    yield block()
 
-def _candidate_schema(keep_vectors: bool) -> T.StructType:
-    fields = [
+
+CANDIDATES = T.StructType(
+    [
         T.StructField("probe_id", T.LongType()),
         T.StructField("id", T.StringType()),
         T.StructField("score", T.DoubleType()),
+        T.StructField("key", T.DoubleType()),
     ]
-    if keep_vectors:
-        fields.append(T.StructField("vector", T.ArrayType(T.FloatType())))
-    return T.StructType(fields)
+)
+
+
+def _order_key(score):
+    """What results are ordered by, descending: the rounded score; NaN ranks below everything."""
+    return F.round(F.nanvl(score, F.lit(float("-inf"))), ORDER_DIGITS)
 
 
-def _batch_candidates(S: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, probe) pairs that can still reach the global top-k, per probe column of S.
+def _batch_candidates(keys: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, probe) pairs of the k best rows of every probe column, by (key descending, id).
 
-    Keeps rows scoring at least the k-th best minus TIE_MARGIN (float noise
-    between engines can never drop a true neighbour), and among rows with a
-    bit-identical score only the k smallest ids: the final order breaks such
-    ties by id, so no other row of that score can be selected.  A hot group
-    of duplicated vectors therefore contributes k rows, not all of them.
+    The final order is the same, so k rows a batch are enough however many rows tie.
     """
-    n = S.shape[0]
+    n = keys.shape[0]
     if n <= k:
-        return np.nonzero(np.ones_like(S, dtype=bool))
-    kth = np.partition(S, n - k, axis=0)[n - k]
+        return np.nonzero(np.ones_like(keys, dtype=bool))
+    kth = np.partition(keys, n - k, axis=0)[n - k]
     keep_r, keep_p = [], []
-    for p in range(S.shape[1]):
-        cand = np.nonzero(S[:, p] >= kth[p] - TIE_MARGIN)[0]
-        if len(cand) > k:
-            sc = S[cand, p]
-            order = np.lexsort((ids[cand], -sc))
-            cand, sc = cand[order], sc[order]
-            starts = np.r_[0, np.nonzero(sc[1:] != sc[:-1])[0] + 1]
-            run_start = np.repeat(starts, np.diff(np.r_[starts, len(sc)]))
-            cand = cand[np.arange(len(sc)) - run_start < k]
-        keep_r.append(cand)
-        keep_p.append(np.full(len(cand), p))
+    for p in range(keys.shape[1]):
+        better = np.nonzero(keys[:, p] > kth[p])[0]
+        tied = np.nonzero(keys[:, p] == kth[p])[0]
+        if len(better) + len(tied) > k:
+            tied = tied[np.argsort(ids[tied], kind="stable")[: k - len(better)]]
+        keep_r += [better, tied]
+        keep_p.append(np.full(len(better) + len(tied), p))
     return np.concatenate(keep_r), np.concatenate(keep_p)
 
 
-def _block_scorer(probe_ids: np.ndarray, Q: np.ndarray, k: int, metric: str, keep_vectors: bool):
-    """mapInArrow function: each Arrow batch is one (n × dim) matrix product with the probes.
+def _block_scorer(probe_ids: np.ndarray, Q: np.ndarray, k: int, metric: str):
+    """mapInArrow function: tiles of each Arrow batch and of the probes are multiplied as matrices.
 
     The list column is read as a flat float32 buffer (zero copy when every
     row has the probe dimension); rows of another length are skipped.
@@ -123,57 +129,54 @@ def _block_scorer(probe_ids: np.ndarray, Q: np.ndarray, k: int, metric: str, kee
 
     d = Q.shape[1]
     q_norm = np.linalg.norm(Q, axis=1)
-    q_sq = q_norm**2
-    schema = _candidate_schema(keep_vectors)
-    names = [f.name for f in schema.fields]
-    vec_type = pa.list_(pa.float32())
+    names = CANDIDATES.fieldNames()
+
+    def scores(X, probes):
+        dots = X @ Q[probes].T
+        if metric == "cosine":
+            return dots / (np.linalg.norm(X, axis=1)[:, None] * q_norm[None, probes] + V.EPS)
+        if metric == "dot":
+            return dots
+        x_sq = np.einsum("ij,ij->i", X, X)  # l2: larger score = nearer
+        return -np.sqrt(np.maximum(x_sq[:, None] + q_norm[None, probes] ** 2 - 2.0 * dots, 0.0))
 
     def score_batches(batches):
         for b in batches:
-            if b.num_rows == 0:
+            if b.num_rows == 0 or not len(probe_ids):
                 continue
             varr = b.column("vector")
             ok = np.nonzero(list_lengths(varr) == d)[0]
             if len(ok) == 0:
                 continue
-            X32 = as_matrix(varr, ok, d, np.float32)
-            X = X32.astype(np.float64)
+            X = as_matrix(varr, ok, d, np.float32).astype(np.float64)
             ids = np.asarray(b.column("id").to_pylist(), dtype=object)[ok]
-            dots = X @ Q.T
-            if metric == "cosine":
-                S = dots / (np.linalg.norm(X, axis=1)[:, None] * q_norm[None, :] + V.EPS)
-            elif metric == "dot":
-                S = dots
-            else:  # l2: larger score = nearer
-                x_sq = np.einsum("ij,ij->i", X, X)
-                S = -np.sqrt(np.maximum(x_sq[:, None] + q_sq[None, :] - 2.0 * dots, 0.0))
-            rows, pcols = _batch_candidates(S, ids, k)
-            cols = [
-                pa.array(probe_ids[pcols], pa.int64()),
-                pa.array(ids[rows].tolist(), pa.string()),
-                pa.array(S[rows, pcols], pa.float64()),
-            ]
-            if keep_vectors:
-                sel = X32[rows]
-                offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * d)
-                cols.append(pa.ListArray.from_arrays(offsets, pa.array(sel.reshape(-1), pa.float32())).cast(vec_type))
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            order_ids = np.asarray([i or "" for i in ids], dtype=object)
+            tile = max(1, MAX_SCORE_CELLS // len(ok))
+            for at in range(0, len(probe_ids), tile):
+                with np.errstate(invalid="ignore", over="ignore"):
+                    S = scores(X, slice(at, at + tile))
+                    keys = np.round(np.where(np.isnan(S), -np.inf, S), ORDER_DIGITS)
+                rows, cols = _batch_candidates(keys, order_ids, k)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(probe_ids[at + cols], pa.int64()),
+                        pa.array(ids[rows].tolist(), pa.string()),
+                        pa.array(S[rows, cols], pa.float64()),
+                        pa.array(keys[rows, cols], pa.float64()),
+                    ],
+                    names=names,
+                )
 
     return score_batches
 
 
-def _expr_candidates(data: DataFrame, probe_ids: np.ndarray, Q: np.ndarray, metric: str, keep_vectors: bool) -> DataFrame:
+def _expr_candidates(data: DataFrame, probe_ids: np.ndarray, Q: np.ndarray, metric: str) -> DataFrame:
     qs = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in Q])
     pid = F.array(*[F.lit(int(p)) for p in probe_ids])
-    scored = data.select(
-        "id",
-        "vector",
-        F.posexplode(F.transform(qs, lambda q: V.score(metric, q, F.col("vector")))).alias("pos", "score"),
-    ).where(F.size("vector") == Q.shape[1])
-    cols = [F.element_at(pid, F.col("pos") + 1).alias("probe_id"), "id", "score"]
-    if keep_vectors:
-        cols.append(F.col("vector").cast("array<float>").alias("vector"))
-    return scored.select(*cols)
+    scored = data.where(F.size("vector") == Q.shape[1]).select(
+        "id", F.posexplode(F.transform(qs, lambda q: V.score(metric, q, F.col("vector")))).alias("pos", "score")
+    )
+    return scored.select(F.element_at(pid, F.col("pos") + 1).alias("probe_id"), "id", "score", _order_key(F.col("score")).alias("key"))
 
 
 def knn_topk(
@@ -184,20 +187,33 @@ def knn_topk(
     method: str = "block",
     keep_vectors: bool = False,
 ) -> DataFrame:
-    """probe_id, rank, id, score (+ vector): exact top-k per probe over ``data(id, vector)``."""
+    """probe_id, rank, id, score (+ vector): exact top-k per probe over ``data(id, vector)``.
+
+    NaN scores rank last; ties go by id.  With ``keep_vectors`` the vectors of the at most k * probes rows
+    found are fetched by id afterwards, so no vector of a mere candidate is shuffled; an id that ``data``
+    holds several times takes its smallest vector.
+    """
     metric = V.normalise_metric_name(metric)
     if metric not in ("cosine", "dot", "l2"):
         raise ValueError(f"unsupported metric {metric!r}")
-    probe_ids, Q = _collect_probes(probes)
-    base = data.select(F.col("id").cast("string").alias("id"), F.col("vector"))
-    if method == "block":
-        cands = base.mapInArrow(_block_scorer(probe_ids, Q, k, metric, keep_vectors), _candidate_schema(keep_vectors))
-    elif method == "expr":
-        cands = _expr_candidates(base, probe_ids, Q, metric, keep_vectors)
-    else:
+    if method not in ("block", "expr"):
         raise ValueError(f"unknown method {method!r}")
-    w = Window.partitionBy("probe_id").orderBy(F.round("score", ORDER_DIGITS).desc(), F.col("id").asc())
-    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    base = data.select(F.col("id").cast("string").alias("id"), F.col("vector"))
+    cands, n_probes = None, 0
+    for probe_ids, Q in _probe_blocks(probes):
+        n_probes += len(probe_ids)
+        if method == "block":
+            part = base.mapInArrow(_block_scorer(probe_ids, Q, k, metric), CANDIDATES)
+        else:
+            part = _expr_candidates(base, probe_ids, Q, metric)
+        cands = part if cands is None else cands.unionByName(part)
+    w = Window.partitionBy("probe_id").orderBy(F.col("key").desc(), F.col("id").asc())
+    top = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("key")
+    if not keep_vectors:
+        return top
+    small = F.broadcast(top) if n_probes * k <= MAX_FETCH_ROWS else top  # at most k rows a probe
+    vectors = base.select("id", F.col("vector").cast("array<float>").alias("vector"))
+    return vectors.join(small, "id").groupBy("probe_id", "id", "score", "rank").agg(F.min("vector").alias("vector"))
 
 
 def neighbour_overlap(probes: DataFrame, src_top: DataFrame, tgt_top: DataFrame) -> DataFrame:

@@ -88,8 +88,46 @@ def test_empty_target_does_not_pass(spark):
     assert s["avg_overlap_pct"] == 0.0 and not s["passed"]
 
 
-def test_probe_bound_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(knn, "MAX_PROBE_CELLS", 10)
-    df, _ = make_records(spark, 5, 8, 1)
-    with pytest.raises(ValueError, match="broadcast bound"):
-        knn.knn_topk(df, knn.make_probes(spark, 3, 8), 2)
+def test_probes_beyond_the_bound_go_in_blocks_and_tiles(spark, monkeypatch):
+    df, _ = make_records(spark, 25, 8, 1)
+    probes = knn.make_probes(spark, 7, 8)
+    found = lambda: sorted((r["probe_id"], r["rank"], r["id"], round(r["score"], 9)) for r in knn.knn_topk(df, probes, 2).collect())
+    want = found()
+    monkeypatch.setattr(knn, "MAX_PROBE_CELLS", 24)
+    monkeypatch.setattr(knn, "MAX_SCORE_CELLS", 40)
+    assert found() == want
+    assert knn.knn_topk(df, probes.limit(0), 2).count() == 0
+
+
+@pytest.mark.parametrize("method", ["block", "expr"])
+def test_nan_rows_rank_last_and_ragged_rows_are_left_out(spark, method):
+    df, _ = make_records(spark, 12, 8, 1)
+    nan = df.limit(6).withColumn("id", F.concat(F.lit("a"), "id")).withColumn("vector", F.array_repeat(F.lit(float("nan")).cast("float"), 8))
+    short = df.limit(3).withColumn("id", F.concat(F.lit("s"), "id")).withColumn("vector", F.slice("vector", 1, 3))
+    mixed = short.union(nan).union(df).coalesce(1)
+    assert knn.detect_dim(mixed) == 8
+    probes = knn.make_probes(spark, 4, 8)
+    got = knn.knn_topk(mixed, probes, 3, method=method, keep_vectors=True).select("probe_id", "rank", "id").collect()
+    assert sorted(got) == sorted(knn.knn_topk(df, probes, 3).select("probe_id", "rank", "id").collect())
+    every = knn.knn_topk(mixed, probes, 100, method=method).where("probe_id = 0").orderBy("rank").collect()
+    assert len(every) == 18 and all(r["id"].startswith("a") for r in every[12:])
+
+
+def test_near_duplicates_stay_k_rows_a_task():
+    import numpy as np
+
+    from embedflow.operators.knn import _batch_candidates
+
+    S = np.round(0.9 + np.arange(10_000)[:, None] * 1e-12, 9)  # all within any float margin
+    r, p = _batch_candidates(S, np.array([f"h{i:05d}" for i in range(10_000)], dtype=object), 5)
+    assert len(r) == 5
+
+
+def test_vectors_are_fetched_not_shuffled_as_candidates(spark):
+    df, _ = make_records(spark, 64, 8, 0)
+    top = knn.knn_topk(df, knn.make_probes(spark, 4, 8), 3, keep_vectors=True)
+    lines = top._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    windows = [x for x in lines if "Window" in x]
+    assert windows and not any("vector" in x for x in windows)
+    vectors = {r["id"]: r["vector"] for r in df.collect()}
+    assert all(r["vector"] == vectors[r["id"]] for r in top.collect())
