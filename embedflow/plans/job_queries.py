@@ -18,7 +18,7 @@ from .registry import query
 
 @query("migrate_full", f"{W} SELECT {CANON_SQL} FROM src")
 def migrate_full(spark, sf_dir):
-    """Copy the whole table (read-order batches per split: no data shuffle); return the target as re-read."""
+    """Copy the whole table (batches by id hash: no data shuffle); return the target as re-read."""
     res = migrate(source(spark, sf_dir), scratch_path(spark, "migrate"), JobSpec(job_id="embeddings", semantic_verify=False, batch_size=BATCH_SIZE))
     return canon_out(res.target())
 
@@ -44,7 +44,21 @@ def migrate_report(spark, sf_dir):
     )
 
 
-@query("ensure_target", f"{W} SELECT count(*) AS n_rows, '64' AS dim, 'cosine' AS metric FROM src")
+@query(
+    "migrate_resume",
+    f"{W}, b AS (SELECT label >= 5 AS late, (row_number() OVER (PARTITION BY label >= 5 ORDER BY id) - 1) // {BATCH_SIZE} AS b FROM src) "
+    "SELECT 'embeddings' AS job_id, count(*) AS total_vectors, count(*) AS transferred, count(*) AS verified, CAST(0 AS BIGINT) AS failed, "
+    "count(DISTINCT (late, b)) AS batches FROM b",
+)
+def migrate_resume(spark, sf_dir):
+    """A job in two runs, the second of which finds the first one's rows; the report covers both."""
+    root, src = scratch_path(spark, "migrate"), source(spark, sf_dir)
+    spec = JobSpec(job_id="embeddings", batch_size=BATCH_SIZE, semantic_verify=False, ordered_batches=True)
+    migrate(src.where(F.col("metadata")["label"].cast("int") < 5), root, spec)
+    return migrate(src, root, spec).cumulative.select("job_id", "total_vectors", "transferred", "verified", "failed", "batches")
+
+
+@query("ensure_target", f"{W} SELECT count(*) AS n_rows, CAST(mode(len(vector)) AS VARCHAR) AS dim, 'cosine' AS metric FROM src")
 def ensure_target(spark, sf_dir):
     src = source(spark, sf_dir)
     dim = knn.detect_dim(src)
@@ -52,9 +66,9 @@ def ensure_target(spark, sf_dir):
     props = upsert.ensure_target(spark, name, scratch_path(spark, "table"), dim, "COS")
     src.select("id", "vector", "metadata", "namespace").write.insertInto(name)
     upsert.ensure_target(spark, name, "unused", dim, "cosine")  # exists: properties are checked, not recreated
-    return spark.table(name).agg(F.count("*").alias("n_rows")).select(
-        "n_rows", F.lit(props["vector.dim"]).alias("dim"), F.lit(props["vector.metric"]).alias("metric")
-    )
+    rows = spark.table(name).agg(F.count("*").alias("n_rows")).first()["n_rows"]
+    spark.sql(f"DROP TABLE {name}")  # external: its files stay in the scratch folder
+    return spark.range(1).select(F.lit(rows).alias("n_rows"), F.lit(props["vector.dim"]).alias("dim"), F.lit(props["vector.metric"]).alias("metric"))
 
 
 CLUSTER_SQL = (
@@ -91,6 +105,6 @@ def gen_unit_batches(spark, sf_dir):
     """Seeded unit batches, one generated vector per row of ``embeddings`` (batch = its batch)."""
     src = source(spark, sf_dir)
     dim = knn.detect_dim(src)
-    b = batching.assign_batches(src, BATCH_SIZE)
+    b = batching.assign_batches(src.select("id"), BATCH_SIZE)
     g = generators.gen_unit_batches(b, dim, BATCH_SIZE)
     return g.select("id", "batch_id", "pos", F.size("vector").alias("dim"), (F.abs(V.norm("vector") - 1) < 1e-5).alias("unit"))

@@ -1,35 +1,48 @@
-"""End-to-end migration job (X1, X2): guard → resume → batch → write → verify → report.
+"""End-to-end migration job (X1, X2): guard → resume → write → verify → commit → report.
 
     result = migrate(source_df, "/shared/targets/docs", JobSpec(job_id="docs"))
 
 Target layout under ``target_root``:
-    data/      canonical rows + ``batch_id`` and ``row_digest`` lineage, partitioned
-               by namespace, appended once per run (each run commits atomically)
-    _batches/  append-only batch statistics (the job ledger)
-
-The source is scanned once: each row's digest is computed as it is
-written.  Verification re-reads the target once and compares, per batch,
-the keyed digest of the stored source digests (with the expected row
-count) against the keyed digest recomputed from the stored vectors; only
-64-hex row digests are grouped for it.
+    data/run=<n>/   canonical rows + ``batch_id`` and ``row_digest`` lineage, one folder per run
+    _batches/       append-only batch statistics (the job ledger); a run counts once it is here
+
+Modes: ``full`` copies what the target doesn't hold yet (``resume``) or everything again; ``incremental``
+copies new ids and those whose row digest differs.  A later run's row takes the place of an earlier one's
+with the same id (``read_target``), so a copy is an upsert; runs that never committed aren't read.
+
+Batches are known from the rows themselves: by a hash of the id (no data shuffle; a retried or re-planned
+task finds the same ones), or by global id order.  Each row's digest, over vector bits, id, metadata and
+namespace, is computed as it is written.  Verification re-reads the target once and compares, per expected
+batch, the stored source digests and the expected count with digests of what is stored; a batch that is
+missing has failed.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.digest import DIGEST_SEED, digest_of, with_row_digests
 from ..operators import batching, frames, guards, knn
+from ..schema import CANONICAL
 
 DATA = "data"
 BATCHES = "_batches"
+STORED = T.StructType(
+    [T.StructField(f.name, f.dataType) for f in CANONICAL.fields]
+    + [T.StructField("batch_id", T.StringType()), T.StructField("row_digest", T.StringType())]
+)
+STATS = (
+    "job_id string, run bigint, batch_id string, sent bigint, received bigint, verified bigint, failed bigint, "
+    "wire_bytes bigint, raw_bytes bigint, last_id string"
+)
 
 
 @dataclass
@@ -37,7 +50,7 @@ class JobSpec:
     """Job settings with the reference's defaults."""
 
     job_id: str = "job"
-    mode: str = "full"
+    mode: str = "full"  # or "incremental"
     batch_size: int = 256
     resume: bool = True
     metric_override: bool = False
@@ -48,9 +61,8 @@ class JobSpec:
     target_metric: str = "cosine"
     source_dim: int = 0
     target_dim: int = 0
-    seal: bool = False
     seed: str = DIGEST_SEED
-    ordered_batches: bool = False  # True: global id order (one extra data shuffle); False: read order per split
+    ordered_batches: bool = False  # True: batches in global id order (one extra data shuffle); False: by id hash
 
     @classmethod
     def from_dict(cls, d: dict) -> "JobSpec":
@@ -70,23 +82,108 @@ class JobSpec:
 
 @dataclass
 class MigrationResult:
+    """What a run did: its batches and their roll-up, and the roll-up of all the job's runs."""
+
     target_root: str
     batch_stats: DataFrame
     integrity: DataFrame
+    cumulative: DataFrame
     probe_scores: DataFrame | None = None
     semantic: DataFrame | None = None
 
     def target(self) -> DataFrame:
-        return self.batch_stats.sparkSession.read.parquet(os.path.join(self.target_root, DATA))
+        return read_target(self.batch_stats.sparkSession, self.target_root)
 
 
-def _read_or_none(spark, path):
+def _read(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path``; None if there is none (any other error is raised)."""
     try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (nothing written yet)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
+def _runs(spark: SparkSession, target_root: str) -> list[int]:
+    """Numbers of the committed runs."""
+    stats = _read(spark, os.path.join(target_root, BATCHES), STATS)
+    return [] if stats is None else sorted(r["run"] for r in stats.select("run").distinct().collect())
+
+
+def _stored(spark: SparkSession, target_root: str, runs: list[int]) -> DataFrame:
+    """Rows of the given runs with their run number."""
+    parts = [spark.read.schema(STORED).parquet(os.path.join(target_root, DATA, f"run={n}")).withColumn("run", F.lit(n).cast("bigint")) for n in runs]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _current(stored: DataFrame, runs: list[int]) -> DataFrame:
+    """The rows that no later run replaces; only ids and run numbers are aggregated."""
+    if len(runs) < 2:
+        return stored
+    last = stored.groupBy("id").agg(F.max("run").alias("run"))
+    return stored.join(last, ["id", "run"], "left_semi")
+
+
+def read_target(spark: SparkSession, target_root: str) -> DataFrame:
+    """The target table: committed runs, each id as its last run wrote it (with lineage columns)."""
+    runs = _runs(spark, target_root)
+    if not runs:
+        return spark.createDataFrame([], STORED)
+    return _current(_stored(spark, target_root, runs), runs).select(*STORED.fieldNames())
+
+
+def rollup(stats: DataFrame, total: int) -> DataFrame:
+    """One row per job over batch statistics."""
+    t = F.sum("received")
+    return stats.groupBy("job_id").agg(
+        F.lit(total).cast("bigint").alias("total_vectors"),
+        t.cast("bigint").alias("transferred"),
+        F.sum("verified").cast("bigint").alias("verified"),
+        F.sum("failed").cast("bigint").alias("failed"),
+        F.count_if(F.col("sent") > 0).alias("batches"),
+        F.sum("wire_bytes").cast("bigint").alias("wire_bytes"),
+        F.sum("raw_bytes").cast("bigint").alias("raw_bytes"),
+        F.when(t > 0, F.round(F.sum("verified") / t * 100, 4)).otherwise(F.lit(0.0)).alias("verification_rate_pct"),
+        F.when(F.sum("wire_bytes") > 0, F.round(F.sum("raw_bytes") / F.sum("wire_bytes"), 2)).otherwise(F.lit(0.0)).alias("raw_over_wire"),
+    )
+
+
+def verify_run(spark: SparkSession, target_root: str, run: int, expected: DataFrame, spec: JobSpec) -> DataFrame:
+    """Statistics of every batch of ``expected(batch_id, sent)`` from one re-read of the run's folder."""
+    target = _stored(spark, target_root, [run])
+    rows = target.withColumns({"d": F.size("vector"), "record_bytes": frames.sealed_record_bytes()})
+    now = with_row_digests(rows, ["batch_id", "id", "d", "record_bytes", "row_digest"], out="rd_now")
+    got = now.groupBy("batch_id").agg(
+        F.count("*").alias("received"),
+        F.max("d").alias("dim"),
+        F.collect_list("row_digest").alias("src"),
+        F.collect_list("rd_now").alias("tgt"),
+        (4 * F.sum("d")).cast("bigint").alias("raw_bytes"),
+        (F.lit(frames.SEALED_HEADER) + F.sum("record_bytes")).cast("bigint").alias("wire_bytes"),
+        F.max("id").alias("last_id"),
+    )
+    sent, received = F.coalesce("sent", F.lit(0)), F.coalesce("received", F.lit(0))
+    told = digest_of(F.col("batch_id"), sent, F.col("dim"), F.col("src"), spec.seed)
+    found = digest_of(F.col("batch_id"), received, F.col("dim"), F.col("tgt"), spec.seed)
+    ok = F.coalesce(told == found, F.lit(False))
+    return expected.join(got, "batch_id", "full_outer").select(
+        F.lit(spec.job_id).alias("job_id"),
+        F.lit(run).cast("bigint").alias("run"),
+        "batch_id",
+        sent.cast("bigint").alias("sent"),
+        received.cast("bigint").alias("received"),
+        F.when(ok, received).otherwise(F.lit(0)).cast("bigint").alias("verified"),
+        F.when(ok, F.lit(0)).otherwise(F.greatest(sent, received)).cast("bigint").alias("failed"),
+        F.coalesce("wire_bytes", F.lit(0)).cast("bigint").alias("wire_bytes"),
+        F.coalesce("raw_bytes", F.lit(0)).cast("bigint").alias("raw_bytes"),
+        "last_id",
+    )
+
+
 def migrate(
     source: DataFrame,
     target_root: str,
@@ -98,113 +195,78 @@ def migrate(
 
     ``on_progress(metrics)`` is called once the write commits, with counters
     observed while writing (no extra pass); ``on_batch(batch_stats)`` with
-    the verified per-batch statistics.
+    the verified per-batch statistics.  Vectors of another length than the
+    first one's, or than the declared dimensions, raise before the run
+    commits; an empty vector counts as having none.
     """
     spec = spec or JobSpec()
     spark = source.sparkSession
-    if spec.mode != "full":
-        raise ValueError("migrate() copies whole tables; use streaming.sync for incremental and live modes")
+    if spec.mode not in ("full", "incremental"):
+        raise ValueError(f"unknown mode {spec.mode!r}; streaming.sync has the live one")
     guards.validate_metrics(spec.source_metric, spec.target_metric, spec.metric_override)
     guards.validate_dimensions(spec.source_dim, spec.target_dim)
-    dim = knn.detect_dim(source)
-    guards.validate_dimensions(spec.source_dim or dim, dim)
-
-    data_path = os.path.join(target_root, DATA)
-    existing = _read_or_none(spark, data_path)
-    todo = source
-    if spec.resume and existing is not None:
-        todo = source.join(existing.select("id"), "id", "left_anti")  # J5: what is still to copy
-
-    run = uuid.uuid4().hex[:12]
-    # Read-order batches need the count job and the write to see the same splits: true for
-    # scans and narrow transformations, not after a shuffle (AQE may coalesce differently),
-    # so any exchange in the input plan (e.g. the resume anti join) selects pinned numbering.
-    shuffled = "Exchange" in todo._jdf.queryExecution().executedPlan().toString()
-    if spec.ordered_batches or shuffled:
+    dim = knn.first_dim(source)
+    for declared in (spec.source_dim, spec.target_dim):
+        guards.validate_dimensions(declared or dim, dim)
+
+    runs = _runs(spark, target_root)
+    run = (runs[-1] if runs else 0) + 1
+    todo = source.select("id", "vector", "metadata", "namespace")
+    if runs and (spec.mode == "incremental" or spec.resume):
+        have = _current(_stored(spark, target_root, runs), runs)
+        if spec.mode == "incremental":
+            known = have.select("id", F.col("row_digest").alias("rd"))
+            todo = with_row_digests(todo, todo.columns).join(known, ["id", "rd"], "left_anti").drop("rd")
+        else:
+            todo = todo.join(have.select("id"), "id", "left_anti")  # J5: what is still to copy
+
+    if spec.ordered_batches:
         numbering: dict = {}
         batched = batching.assign_batches(todo, spec.batch_size, stats=numbering)
-        n_todo = int(numbering.get("rows", 0))
-        bid = F.concat_ws("-", F.lit(run), F.lit("0"), F.col("batch_id").cast("string"))
-        split_rows = {0: n_todo}
+        n_todo = int(numbering["rows"])
     else:
-        batched, split_rows = batching.split_batches(todo, spec.batch_size)
-        n_todo = sum(split_rows.values())
-        bid = F.concat_ws("-", F.lit(run), F.col("batch_id"))
-    # Each row's digest is computed from the source row in the task that writes it.
-    rows = with_row_digests(
-        batched.select("id", "vector", "metadata", "namespace", bid.alias("batch_id")),
-        ["id", "vector", "metadata", "namespace", "batch_id"],
-        out="row_digest",
-    )
-    obs = Observation(f"migrate-{run}")
+        n_todo = todo.count()
+        batched = batching.hash_batches(todo, max(1, -(-n_todo // spec.batch_size)))
+    batched = batched.withColumn("batch_id", F.concat_ws("-", F.lit(str(run)), F.col("batch_id").cast("string")))
+    expected = batched.groupBy("batch_id").agg(F.count("*").alias("sent"))
+    rows = with_row_digests(batched, ["id", "vector", "metadata", "namespace", "batch_id"], out="row_digest")
+    obs = Observation(f"migrate-{spec.job_id}-{run}")
+    d = F.nullif(F.size("vector"), F.lit(0))
     rows = rows.observe(
         obs,
         F.count(F.lit(1)).alias("rows_written"),
         F.coalesce(F.sum(4 * F.size("vector")), F.lit(0)).cast("bigint").alias("raw_bytes"),
+        F.min(d).alias("min_dim"),
+        F.max(d).alias("max_dim"),
     )
-    rows.write.mode("append").partitionBy("namespace").parquet(data_path)
+    rows.write.mode("overwrite").parquet(os.path.join(target_root, DATA, f"run={run}"))  # what a crashed run left goes
+    seen = obs.get
+    for found in (seen["min_dim"], seen["max_dim"]):
+        guards.validate_dimensions(dim, found)
     if on_progress is not None:
-        n_batches = sum(-(-v // spec.batch_size) for v in split_rows.values())
-        on_progress({**obs.get, "total": n_todo, "batches": n_batches, "job_id": spec.job_id, "run": run})
-
-    # Verify from one re-read of what was written: the stored source digests against
-    # digests recomputed from the stored vectors, and the count against the numbering.
-    target = spark.read.parquet(data_path).where(F.col("batch_id").startswith(run + "-"))
-    target = with_row_digests(target, ["batch_id", "id", "vector", "metadata", "row_digest"], out="rd_now")
-    g = target.groupBy("batch_id").agg(
-        F.count("*").alias("received"),
-        F.max(F.size("vector")).alias("dim"),
-        F.collect_list(F.struct(F.col("id"), F.col("row_digest").alias("rd"))).alias("src_rd"),
-        F.collect_list(F.struct(F.col("id"), F.col("rd_now").alias("rd"))).alias("tgt_rd"),
-        (4 * F.sum(F.size("vector"))).cast("bigint").alias("raw_bytes"),
-        (F.lit(frames.SEALED_HEADER) + F.sum(frames.sealed_record_bytes())).cast("bigint").alias("wire_bytes"),
-        F.max("id").alias("last_id"),
-    )
-    parts = F.split("batch_id", "-")
-    split, seq = parts.getItem(1).cast("int"), parts.getItem(2).cast("bigint")
-    pairs = []
-    for k, v in split_rows.items():
-        pairs += [F.lit(int(k)), F.lit(int(v)).cast("bigint")]
-    rows_in_split = F.element_at(F.create_map(*pairs), split) if pairs else F.lit(0).cast("bigint")
-    sent = F.least(F.lit(spec.batch_size).cast("bigint"), rows_in_split - seq * spec.batch_size)
-    src_digest = digest_of(F.col("batch_id"), sent, F.col("dim"), F.col("src_rd"), spec.seed)
-    tgt_digest = digest_of(F.col("batch_id"), F.col("received"), F.col("dim"), F.col("tgt_rd"), spec.seed)
-    ok = src_digest == tgt_digest
-    stats = g.select(
-        F.lit(spec.job_id).alias("job_id"),
-        "batch_id",
-        sent.alias("sent"),
-        F.col("received").cast("bigint").alias("received"),
-        F.when(ok, F.col("received")).otherwise(F.lit(0)).cast("bigint").alias("verified"),
-        F.when(ok, F.lit(0)).otherwise(F.col("received")).cast("bigint").alias("failed"),
-        "wire_bytes",
-        "raw_bytes",
-        "last_id",
-    )
+        told = {k: seen[k] for k in ("rows_written", "raw_bytes")}
+        on_progress({**told, "total": n_todo, "batches": expected.count(), "job_id": spec.job_id, "run": run})
+
     stats_path = os.path.join(target_root, BATCHES)
+    stats = verify_run(spark, target_root, run, expected, spec)
+    if n_todo == 0:  # a run without rows commits too
+        null = F.lit(None).cast("string")
+        zero = F.lit(0).cast("bigint")
+        stats = spark.range(1).select(
+            F.lit(spec.job_id).alias("job_id"), F.lit(run).cast("bigint").alias("run"), F.lit(f"{run}-none").alias("batch_id"),
+            *[zero.alias(c) for c in ("sent", "received", "verified", "failed", "wire_bytes", "raw_bytes")], null.alias("last_id"),
+        )
     stats.write.mode("append").parquet(stats_path)
-    stats = spark.read.parquet(stats_path).where(F.col("batch_id").startswith(run + "-"))
-
-    total = source.count()
-    t = F.sum("received")
-    integrity = stats.groupBy("job_id").agg(
-        F.lit(total).cast("bigint").alias("total_vectors"),
-        t.cast("bigint").alias("transferred"),
-        F.sum("verified").cast("bigint").alias("verified"),
-        F.sum("failed").cast("bigint").alias("failed"),
-        F.count("*").alias("batches"),
-        F.sum("wire_bytes").cast("bigint").alias("wire_bytes"),
-        F.sum("raw_bytes").cast("bigint").alias("raw_bytes"),
-        F.when(t > 0, F.round(F.sum("verified") / t * 100, 4)).otherwise(F.lit(0.0)).alias("verification_rate_pct"),
-        F.when(F.sum("wire_bytes") > 0, F.round(F.sum("raw_bytes") / F.sum("wire_bytes"), 2)).otherwise(F.lit(0.0)).alias("raw_over_wire"),
-    )
+    every = spark.read.schema(STATS).parquet(stats_path)
+    stats = every.where((F.col("run") == run) & (F.col("sent") + F.col("received") > 0))
+    total = n_todo if not runs else source.count()
+    job = every.where(F.col("job_id") == spec.job_id)
     if on_batch is not None:
         on_batch(stats)
-    result = MigrationResult(target_root, stats, integrity)
+    result = MigrationResult(target_root, stats, rollup(job.where(F.col("run") == run), total), rollup(job, total))
     if spec.semantic_verify:
-        full_target = spark.read.parquet(data_path)
         scores, summary = knn.semantic_validate(
-            source, full_target, spec.semantic_probes, spec.semantic_top_k, metric=spec.source_metric
+            source, result.target(), spec.semantic_probes, spec.semantic_top_k, metric=spec.source_metric
         )
         result.probe_scores, result.semantic = scores, summary
     return result
