@@ -55,6 +55,11 @@ def validate_dimensions(source_dim: int | None, target_dim: int | None) -> None:
         raise DimensionMismatchError(f"dimension mismatch: source={source_dim}, target={target_dim}")
 
 
+def vector_status(vector_col: str = "vector") -> Column:
+    """'kept', or 'rejected' for an empty or NULL vector."""
+    return F.when(F.coalesce(F.size(vector_col), F.lit(0)) > 0, "kept").otherwise("rejected")
+
+
 def dimension_profile(df: DataFrame, vector_col: str = "vector") -> DataFrame:
     """dim, n: how many vectors have each length."""
     return df.groupBy(F.size(vector_col).alias("dim")).agg(F.count("*").alias("n"))

@@ -20,12 +20,18 @@ def one_row_per_id(df: DataFrame, id_col: str = "id") -> DataFrame:
     map-side, and a later join on id is 1:1 (never all pairs of duplicates).
     """
     cols = [c for c in df.columns if c != id_col]
+    repeated = df.groupBy(id_col).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    if repeated.isEmpty():  # the usual case: ids alone are counted, no vector is sorted or moved
+        return df.select(id_col, *cols, F.lit(1).cast("bigint").alias("n_rows"))
     key = F.xxhash64(*[F.to_json(c) if dict(df.dtypes)[c].startswith("map") else F.col(c) for c in cols])
-    g = df.groupBy(id_col).agg(F.count("*").alias("n_rows"), F.min_by(F.struct(*cols), key).alias("_r"))
-    return g.select(id_col, *[F.col(f"_r.{c}").alias(c) for c in cols], "n_rows")
+    several = df.join(repeated.select(id_col), id_col, "left_semi")
+    g = several.groupBy(id_col).agg(F.count("*").alias("n_rows"), F.min_by(F.struct(*cols), key).alias("_r"))
+    picked = g.select(id_col, *[F.col(f"_r.{c}").alias(c) for c in cols], "n_rows")
+    once = df.join(repeated.select(id_col), id_col, "left_anti").select(id_col, *cols, F.lit(1).cast("bigint").alias("n_rows"))
+    return once.unionByName(picked)  # rows with a null id match neither join's keys and stay as they are
 
 
-def vectors_close(a, b, atol: float = 0.05, rtol: float = 1e-5) -> Column:
+def vectors_close(a, b, atol: float = 0.0, rtol: float = 0.0) -> Column:
     a, b = (F.col(a) if isinstance(a, str) else a), (F.col(b) if isinstance(b, str) else b)
     far = F.exists(
         F.zip_with(a, b, lambda x, y: F.abs(x.cast("double") - y.cast("double")) > F.lit(atol) + F.lit(rtol) * F.abs(y.cast("double"))),
@@ -34,7 +40,7 @@ def vectors_close(a, b, atol: float = 0.05, rtol: float = 1e-5) -> Column:
     return (F.size(a) == F.size(b)) & ~far
 
 
-def reconcile(source: DataFrame, target: DataFrame, atol: float = 0.05, rtol: float = 1e-5) -> DataFrame:
+def reconcile(source: DataFrame, target: DataFrame, atol: float = 0.0, rtol: float = 0.0) -> DataFrame:
     """id, status: missing (source only) | extra (target only) | duplicate (id repeated on a side) |
     vector_differs | metadata_differs | match."""
     src = one_row_per_id(source.select("id", "vector", "metadata"))

@@ -28,32 +28,39 @@ def latest_per_id(df: DataFrame, order: list[str], id_col: str = "id") -> DataFr
     return picked.select(id_col, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
-def _unique_source(source: DataFrame, id_col: str, dedupe: bool) -> DataFrame:
+def _unique_source(source: DataFrame, id_col: str, dedupe: bool, order: list[str] | None) -> DataFrame:
     if not dedupe:
         return source
+    if order:
+        return latest_per_id(source, order, id_col)
     from .reconcile import one_row_per_id
 
     return one_row_per_id(source, id_col).drop("n_rows")
 
 
-def upsert_replace(target: DataFrame, source: DataFrame, id_col: str = "id", dedupe: bool = True) -> DataFrame:
+def upsert_replace(
+    target: DataFrame, source: DataFrame, id_col: str = "id", dedupe: bool = True, order: list[str] | None = None
+) -> DataFrame:
     """Insert-or-replace whole records by id (vector and metadata).
 
-    With ``dedupe`` the source is first reduced to one row per id (use
-    ``latest_per_id`` beforehand when an ordering column decides which).
+    With ``dedupe`` the source is first reduced to one row per id: the last
+    one by the ``order`` columns, or, as a table has no order of its own, the
+    one with the smallest content hash.
     """
-    source = _unique_source(source, id_col, dedupe)
+    source = _unique_source(source, id_col, dedupe, order)
     cols = target.columns
     return target.join(source.select(id_col), id_col, "left_anti").select(*cols).unionByName(source.select(*cols))
 
 
-def upsert_vector_only(target: DataFrame, source: DataFrame, id_col: str = "id", dedupe: bool = True) -> DataFrame:
+def upsert_vector_only(
+    target: DataFrame, source: DataFrame, id_col: str = "id", dedupe: bool = True, order: list[str] | None = None
+) -> DataFrame:
     """On id conflict replace only the vector; existing metadata and namespace are kept.
 
     The target is a keyed table (one row per id); the source is reduced to
     one row per id with ``dedupe``, so the full outer join is 1:1.
     """
-    source = _unique_source(source, id_col, dedupe)
+    source = _unique_source(source, id_col, dedupe, order)
     t = target.select(id_col, *[F.col(c).alias(f"t_{c}") for c in target.columns if c != id_col], F.lit(True).alias("_t"))
     s = source.select(id_col, *[F.col(c).alias(f"s_{c}") for c in source.columns if c != id_col], F.lit(True).alias("_s"))
     j = t.join(s, id_col, "full_outer")

@@ -8,6 +8,8 @@ assignment and metadata are SQL expressions.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,16 +60,13 @@ def gen_clustered_vectors(keys: DataFrame, dim: int, n_clusters: int = 20, noise
     centers = np.array([r["v"] for r in centers_rows], dtype=np.float64)
     i = F.col(key_col).cast("bigint")
     base = keys.select(i.alias("i"), cluster_of(i, n_clusters, seed).alias("cluster"))
-    seed_int = int(seed) if seed.isdigit() else abs(hash(seed))
+    seed_int = int(seed) if seed.isdigit() else int.from_bytes(hashlib.sha256(seed.encode("utf-8")).digest()[:8], "big")
 
     def draw(batches):
         for pdf in batches:
-            vecs = []
-            for k, c in zip(pdf["i"], pdf["cluster"]):
-                rng = np.random.default_rng([seed_int, int(k)])
-                v = centers[int(c)] + noise * rng.standard_normal(dim)
-                vecs.append((v / np.linalg.norm(v)).astype(np.float32))
-            pdf["vector"] = vecs
+            draws = np.array([np.random.default_rng([seed_int, int(k)]).standard_normal(dim) for k in pdf["i"]]).reshape(len(pdf), dim)
+            v = centers[pdf["cluster"].to_numpy(dtype=np.int64)] + noise * draws
+            pdf["vector"] = list((v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32))
             yield pdf
 
     schema = T.StructType(base.schema.fields + [T.StructField("vector", T.ArrayType(T.FloatType()))])
@@ -80,18 +79,18 @@ def gen_unit_batches(batched: DataFrame, dim: int, batch_size: int) -> DataFrame
     base = batched.select(F.col("batch_id").cast("bigint").alias("batch_id"), F.col("pos").cast("bigint").alias("pos"))
 
     def draw(batches):
-        cache: dict[int, np.ndarray] = {}
+        last, unit = None, None
         for pdf in batches:
-            vecs = []
-            for b, p in zip(pdf["batch_id"], pdf["pos"]):
-                b = int(b)
-                if b not in cache:
-                    m = np.random.default_rng(b).standard_normal((batch_size, dim)).astype(np.float32)
-                    cache[b] = m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-9)
-                vecs.append(cache[b][int(p)])
+            vecs = [None] * len(pdf)
+            for b, at in pdf.groupby("batch_id", sort=True).indices.items():
+                if b != last:  # rows arrive batch by batch, so each is drawn once and one is held
+                    rows = np.random.default_rng(int(b)).standard_normal((batch_size, dim)).astype(np.float32)
+                    last, unit = b, rows / (np.linalg.norm(rows, axis=1, keepdims=True) + 1e-9)
+                for i, v in zip(at, unit[pdf["pos"].to_numpy()[at]]):
+                    vecs[i] = v
             pdf["vector"] = vecs
             yield pdf
 
     schema = T.StructType(base.schema.fields + [T.StructField("vector", T.ArrayType(T.FloatType()))])
-    g = base.mapInPandas(draw, schema)
+    g = base.repartition("batch_id").sortWithinPartitions("batch_id").mapInPandas(draw, schema)
     return g.select(F.format_string("vec_%04d_%06d", "batch_id", "pos").alias("id"), "batch_id", "pos", "vector")

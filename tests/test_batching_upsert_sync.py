@@ -20,6 +20,18 @@ def test_batches_are_full_and_ordered(spark, n, size):
     assert all(c == size for b, c in counts.items() if b < max(counts)) and sum(counts.values()) == n
 
 
+def test_repeated_and_null_keys_keep_their_rows(spark):
+    df, _ = make_records(spark, 12, 4, 0)
+    df = df.withColumn("id", F.when(F.col("id") < "v0003", F.lit("same")).when(F.col("id") < "v0005", F.lit(None)).otherwise(F.col("id")))
+    rows = batching.assign_batches(df.repartition(3), 5).collect()
+    assert sorted(r["rn"] for r in rows) == list(range(12)) and len({tuple(r["vector"]) for r in rows}) == 12
+
+
+def test_very_many_ranges(spark):
+    n = batching.number_rows(spark.range(5000), ["id"], n_ranges=300)
+    assert n.where("rn <> id").count() == 0 and n.count() == 5000
+
+
 def test_grouped_batches_restart_per_group(spark):
     df, _ = make_records(spark, 40, 4, 0)
     df = df.withColumn("namespace", F.when(F.col("id") < "v0010", "a").otherwise("b"))
@@ -61,6 +73,21 @@ def test_replace_vs_vector_only_upsert(spark):
     assert rep["v0001"]["metadata"]["tier"] == "old"
 
 
+def test_the_last_write_wins_by_an_order(spark):
+    tgt, _ = make_records(spark, 3, 4, 0)
+    src = tgt.where("id = 'v0001'").withColumn("at", F.explode(F.array(F.lit(1), F.lit(3), F.lit(2))))
+    src = src.withColumn("metadata", F.create_map(F.lit("at"), F.col("at").cast("string")))
+    out = {r["id"]: r["metadata"] for r in U.upsert_replace(tgt, src, order=["at"]).collect()}
+    assert out["v0001"] == {"at": "3"} and len(out) == 3
+
+
+def test_reconcile_is_exact_unless_told_otherwise(spark):
+    a, _ = make_records(spark, 4, 4, 0)
+    b = a.withColumn("vector", F.transform("vector", lambda x: (x + F.lit(0.01)).cast("float")))
+    assert {r["status"] for r in R.reconcile(a, b).collect()} == {"vector_differs"}
+    assert {r["status"] for r in R.reconcile(a, b, atol=0.05).collect()} == {"match"}
+
+
 def test_reconcile_statuses(spark):
     a, _ = make_records(spark, 6, 4, 0)
     b = (
@@ -118,6 +145,37 @@ def test_sync_epoch_is_idempotent_and_keeps_equal_timestamps(spark):
     assert {r["id"]: r["value"] for r in target.current(spark).collect()} == {**cur, "c": 5.0}
 
 
+def test_streams_and_catch_up_number_their_epochs_apart(spark):
+    """A load, then a stream with an update, an insert and a late row, then a restart: nothing is lost."""
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    target = sync.SyncTarget(scratch_path(spark, "t-live"), "id", "updated_at", "seq")
+    sync.sync_once(spark, target, _changes(spark, [("a", 5, t, 1.0)]))
+    feed = scratch_path(spark, "t-feed")
+    late = t - dt.timedelta(days=30)
+    _changes(spark, [("a", 6, t, 2.0), ("b", 7, t, 3.0), ("late", 1, late, 4.0)]).coalesce(1).write.parquet(feed)
+    for more in ([], [("b", 9, t, 5.0)]):
+        if more:
+            _changes(spark, more).coalesce(1).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema("id string, seq bigint, updated_at timestamp, value double").parquet(feed)
+        sync.start_sync_stream(stream, target, target.root + "/_offsets", compact_every=1).awaitTermination()
+    sync.sync_once(spark, target, _changes(spark, [("later", 2, late, 6.0), ("a", 1, late, 7.0), ("b", 9, t, 5.0)]))
+    assert {r["id"]: r["value"] for r in target.current(spark).collect()} == {"a": 2.0, "b": 5.0, "late": 4.0, "later": 6.0}
+    assert target.ledger(spark).groupBy("commit").count().where("count > 1").count() == 0
+
+
+def test_read_errors_are_not_an_empty_ledger(spark):
+    target = sync.SyncTarget(scratch_path(spark, "t-bad"))
+    import os
+
+    os.makedirs(target.ledger_path)
+    with open(os.path.join(target.ledger_path, "part-0.parquet"), "w") as f:
+        f.write("this is no Parquet file")
+    with pytest.raises(Exception):
+        target.last_commit(spark)
+
+
 def test_sync_once_uses_high_water_mark(spark):
     import datetime as dt
 

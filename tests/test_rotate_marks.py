@@ -25,16 +25,23 @@ def test_round_trip_and_paths_agree(spark):
         assert np.allclose(mat[rid], rot[rid], atol=1e-5)
 
 
-def test_gaussian_mark_cases():
-    rng = np.random.default_rng(0)
-    v = rng.standard_normal(64).astype(np.float32)
-    v /= np.linalg.norm(v)
+def test_gaussian_mark_cases(spark):
+    df, vecs = make_records(spark, 200, 64, 5)
     seed = b"s" * 32
-    marked = marks.inject_gaussian_mark(v, seed, 5, strength=0.5)
-    assert marks.verify_gaussian_mark(marked, seed, 5, threshold=0.3)
-    assert not marks.verify_gaussian_mark(marked, seed, 6, threshold=0.95)
-    assert not marks.verify_gaussian_mark(marked, b"t" * 32, 5, threshold=0.95)
-    assert not marks.verify_gaussian_mark(np.zeros(64, np.float32), seed, 5)
+    batched = df.withColumn("batch_id", (F.substring("id", 2, 4).cast("int") / 2).cast("bigint"))  # more batches than are cached
+    marked = marks.apply_gaussian_mark(batched, seed, strength=1.0)
+    rows = {r["id"]: r for r in marks.gaussian_mark_verdicts(marked, seed, threshold=0.3).collect()}
+    assert all(r["verified"] for r in rows.values())
+    for i, v in enumerate(vecs):
+        want = v + marks.gaussian_mark(seed, i // 2, 64)
+        assert np.allclose(rows[f"v{i:04d}"]["vector"], want / np.linalg.norm(want), atol=1e-6)
+    other = marked.withColumn("batch_id", F.col("batch_id") + 1)
+    assert not any(r["verified"] for r in marks.gaussian_mark_verdicts(other, seed, threshold=0.95).collect())
+    assert not any(r["verified"] for r in marks.gaussian_mark_verdicts(marked, b"t" * 32, threshold=0.95).collect())
+    zero = batched.withColumn("vector", F.array_repeat(F.lit(0.0).cast("float"), 64))
+    assert not any(r["verified"] for r in marks.gaussian_mark_verdicts(zero, seed).collect())
+    ragged = batched.withColumn("vector", F.slice("vector", 1, (F.substring("id", 5, 1).cast("int") + 1)))
+    assert {len(r["vector"]) for r in marks.apply_gaussian_mark(ragged, seed).collect()} == set(range(1, 11))
 
 
 def test_byte_mark_recovery(spark):

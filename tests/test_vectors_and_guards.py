@@ -84,3 +84,10 @@ def test_dimension_order_check_finds_permutation(spark):
     assert all(r["n_permuted"] == 10 for r in out)
     same = guards.dimension_order_check(a, a).collect()
     assert all(r["max_abs_diff"] == 0 and r["n_permuted"] == 0 for r in same)
+
+
+def test_empty_and_null_vectors_are_rejected(spark):
+    from embedflow.operators import guards
+
+    df = spark.createDataFrame([("a", [1.0]), ("b", []), ("c", None)], "id string, vector array<float>")
+    assert {r["id"]: r["s"] for r in df.select("id", guards.vector_status().alias("s")).collect()} == {"a": "kept", "b": "rejected", "c": "rejected"}
