@@ -70,17 +70,16 @@ def _licenses() -> str:
             f" CASE WHEN contains(rest, '{ids}') AND NOT list_contains(found, '{name}') THEN list_append(found, '{name}') ELSE found END AS found FROM {last})"
         )
         last = f"r{k}"
-    end = SENTENCE_END.replace("\\n", "\n").replace("\\t", "\t").replace("\\r", "\r").replace("\\f", "\f")
     folded = _FOLD.format("s")
     clean = f"regexp_replace(regexp_replace(regexp_replace({folded}, '[^a-z0-9.+]+', ' ', 'g'), '^[ .]+|[ .]+$', '', 'g'), '{REFERENCE}', 'under ')"
     return f"""
 WITH s AS (
   SELECT doc_id, CASE WHEN regexp_matches({_FOLD.format("coalesce(text, '')")}, '{ANCHORS}')
-         THEN list_transform(string_split_regex(text, '{end}'), s -> {clean}) ELSE [] END AS said FROM documents
+         THEN list_transform(string_split_regex(text, '{SENTENCE_END}'), lambda s: {clean}) ELSE [] END AS said FROM documents
 ), i AS (
-  SELECT doc_id, list_filter(list_transform(said, s -> CASE s {cases} END), x -> x IS NOT NULL) AS ids FROM s
+  SELECT doc_id, list_filter(list_transform(said, lambda s: CASE s {cases} END), lambda x: x IS NOT NULL) AS ids FROM s
 ), r0 AS (
-  SELECT doc_id, ids, coalesce(array_to_string(list_transform(ids, x -> '[' || x || ']'), ''), '') AS rest, CAST([] AS VARCHAR[]) AS found FROM i
+  SELECT doc_id, ids, coalesce(array_to_string(list_transform(ids, lambda x: '[' || x || ']'), ''), '') AS rest, CAST([] AS VARCHAR[]) AS found FROM i
 ), {", ".join(steps)}
 SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(found, ','), '') AS licenses FROM {last}
 """
