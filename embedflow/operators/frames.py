@@ -44,18 +44,34 @@ def _vectors(vs) -> list[np.ndarray]:
     return [v if isinstance(v, np.ndarray) and v.dtype == np.float32 else np.asarray(v, dtype=np.float32) for v in vs]
 
 
-def pack_binary(ids, vectors) -> bytes:
-    vecs = _vectors(vectors)
-    if not vecs:
-        return b""
+def _matrix(ids, vecs: list[np.ndarray]) -> np.ndarray:
+    """The vectors as rows of little-endian float32 bytes."""
     dim = len(vecs[0])
-    parts = [struct.pack(">II", len(vecs), dim)]
     for rid, v in zip(ids, vecs):
         if len(v) != dim:
             raise FrameError(f"ragged batch: record {rid!r} has {len(v)} dims, batch has {dim}")
-        ib = rid.encode("utf-8")
-        parts += [struct.pack(">I", len(ib)), ib, v.astype("<f4").tobytes()]
-    return b"".join(parts)
+    return np.stack(vecs).astype("<f4", copy=False).view(np.uint8).reshape(len(vecs), 4 * dim)
+
+
+def _field(values: list[bytes], size: str) -> np.ndarray | None:
+    """Values of one length as byte rows behind their length; None if the lengths differ."""
+    n, length = len(values), len(values[0])
+    if any(len(v) != length for v in values):
+        return None
+    head = np.frombuffer(struct.pack(size, length), np.uint8)
+    return np.concatenate([np.broadcast_to(head, (n, len(head))), np.frombuffer(b"".join(values), np.uint8).reshape(n, length)], axis=1)
+
+
+def pack_binary(ids, vectors) -> bytes:
+    vecs = _vectors(vectors)
+    if not vecs:
+        return b""
+    rows, names = _matrix(ids, vecs), [i.encode("utf-8") for i in ids]
+    head = struct.pack(">II", len(vecs), rows.shape[1] // 4)
+    named = _field(names, ">I")
+    if named is not None:  # records of one size are one array
+        return head + np.concatenate([named, rows], axis=1).tobytes()
+    return head + b"".join(x for name, row in zip(names, rows) for x in (struct.pack(">I", len(name)), name, row.tobytes()))
 
 
 def unpack_binary(data: bytes):
@@ -80,21 +96,24 @@ def pack_sealed(batch_id: int, ids, vectors, metas, namespaces=None, seed: str =
     vecs = _vectors(vectors)
     if not vecs:
         return b""
-    dim = len(vecs[0])
-    for rid, v in zip(ids, vecs):
-        if len(v) != dim:
-            raise FrameError(f"ragged batch: record {rid!r} has {len(v)} dims, batch has {dim}")
+    rows = _matrix(ids, vecs)
+    dim = rows.shape[1] // 4
     metas = [m or "{}" for m in metas]
     namespaces = [None] * len(vecs) if namespaces is None else list(namespaces)
     rds = list(row_digests) if row_digests is not None else row_digests_matrix(ids, vecs, metas, namespaces)
     digest = bytes.fromhex(batch_digest_from_rows(batch_id, rds, dim, seed))
-    parts = [MAGIC, struct.pack(">IIQ", len(vecs), dim, batch_id), digest]
-    for rid, v, m, ns in zip(ids, vecs, metas, namespaces):
-        ib, mb, nb = rid.encode("utf-8"), m.encode("utf-8"), (ns or "").encode("utf-8")
-        if len(nb) >= NO_NAMESPACE or len(ib) > 0xFFFF:
-            raise FrameError(f"id or namespace of record {rid[:40]!r} is too long for a frame")
-        parts += [v.astype("<f4").tobytes(), struct.pack(">H", len(ib)), ib, struct.pack(">I", len(mb)), mb]
-        parts += [struct.pack(">H", NO_NAMESPACE if ns is None else len(nb)), nb]
+    head = MAGIC + struct.pack(">IIQ", len(vecs), dim, batch_id) + digest
+    ib, mb, nb = ([(x or "").encode("utf-8") for x in column] for column in (ids, metas, namespaces))
+    if max(map(len, nb)) >= NO_NAMESPACE or max(map(len, ib)) > 0xFFFF:
+        raise FrameError("an id or namespace is too long for a frame")
+    if None not in namespaces:
+        fields = [_field(ib, ">H"), _field(mb, ">I"), _field(nb, ">H")]
+        if all(f is not None for f in fields):  # records of one size are one array
+            return head + np.concatenate([rows, *fields], axis=1).tobytes()
+    parts = [head]
+    for row, i, m, n, ns in zip(rows, ib, mb, nb, namespaces):
+        parts += [row.tobytes(), struct.pack(">H", len(i)), i, struct.pack(">I", len(m)), m]
+        parts += [struct.pack(">H", NO_NAMESPACE if ns is None else len(n)), n]
     return b"".join(parts)
 
 

@@ -16,10 +16,13 @@ from ..functions import vectors as V
 from ..operators import batching, frames, guards, progress
 from ..session import scratch_path
 from .common import source, table
+from . import sqlkit as S
 from .record_queries import W
 from .registry import query
+from .transport_queries import tampered
 
 JOB_BATCH = 16
+JOB_KEY = 10_000_000  # batches a job has at most; makes a frame's batch id from the job's label and its batch
 EPOCH0 = 1767225600  # 2026-01-01T00:00:00Z
 # Plans and their dimension-weighted-vector limits (-1 = unlimited).
 PLANS = [("free", 200_000_000), ("starter", 2_000_000_000), ("pro", 25_000_000_000), ("enterprise", -1)]
@@ -31,23 +34,27 @@ def _label(df):
 
 
 def ledger(spark, sf_dir) -> DataFrame:
-    """job_id, license_key, label, batch_id, n, raw_bytes, wire_bytes, last_id, updated_at_s (committed batches)."""
+    """job_id, license_key, label, batch_id, n, verified, raw_bytes, wire_bytes, last_id, updated_at_s (committed batches).
+
+    Every batch is sealed, some frames are damaged on the way (see ``transport_queries.tampered``), and what
+    the receiver decodes and verifies is counted.
+    """
     src = source(spark, sf_dir)
-    sized = src.select("namespace", "id", _label(src).alias("label"), (4 * F.size("vector")).alias("raw"), frames.sealed_record_bytes().alias("wire"))
-    b = batching.assign_batches(sized, JOB_BATCH, order=["id"], group="namespace")
-    g = b.groupBy("namespace", "label", "batch_id").agg(
-        F.count("*").alias("n"),
-        F.sum("raw").cast("bigint").alias("raw_bytes"),
-        (F.lit(frames.SEALED_HEADER) + F.sum("wire")).cast("bigint").alias("wire_bytes"),
-        F.max("id").alias("last_id"),
-    )
-    return g.select(
+    src = src.withColumn("label", _label(src).cast("bigint"))
+    b = batching.assign_batches(src, JOB_BATCH, order=["id"], group="namespace")
+    keyed = b.withColumn("batch_id", F.col("label") * JOB_KEY + F.col("batch_id"))
+    got = frames.receive(tampered(frames.seal_batches(keyed)))
+    last = keyed.groupBy("batch_id", "namespace").agg(F.max("id").alias("last_id"))
+    label = F.floor(F.col("batch_id") / JOB_KEY)
+    done = got.join(last, "batch_id").withColumn("label", label.cast("int")).withColumn("batch_id", F.col("batch_id") - label * JOB_KEY)
+    return done.select(
         F.concat(F.lit("job-"), "namespace").alias("job_id"),
         F.concat(F.lit("key-"), F.col("label").cast("string")).alias("license_key"),
         "label",
         "batch_id",
-        "n",
-        "raw_bytes",
+        F.col("received").alias("n"),
+        "verified",
+        (F.col("sent") * F.col("dim") * 4).cast("bigint").alias("raw_bytes"),
         "wire_bytes",
         "last_id",
         (F.lit(EPOCH0) + F.col("label") * 3600 + (F.col("batch_id") + 1) * 60).cast("bigint").alias("updated_at_s"),
@@ -88,12 +95,12 @@ def reports(spark, sf_dir) -> DataFrame:
     acc = accounts(spark, sf_dir).select("license_key", "org")
     r = led.groupBy("job_id", "license_key").agg(
         F.sum("n").cast("bigint").alias("transferred"),
-        F.sum("n").cast("bigint").alias("verified"),
+        F.sum("verified").cast("bigint").alias("verified"),
         F.sum("wire_bytes").cast("bigint").alias("wire_bytes"),
         F.sum("raw_bytes").cast("bigint").alias("raw_bytes"),
         F.max("updated_at_s").alias("completed_at_s"),
     )
-    return r.join(acc, "license_key").withColumn("failed", F.lit(0).cast("bigint")).withColumn(
+    return r.join(acc, "license_key").withColumn("failed", F.col("transferred") - F.col("verified")).withColumn(
         "verification_rate_pct", F.when(F.col("transferred") > 0, F.round(F.col("verified") / F.col("transferred") * 100, 4)).otherwise(0.0)
     ).withColumn("raw_over_wire", F.when(F.col("wire_bytes") > 0, F.round(F.col("raw_bytes") / F.col("wire_bytes"), 2)).otherwise(0.0))
 
@@ -102,19 +109,21 @@ def reports(spark, sf_dir) -> DataFrame:
 
 LEDGER_SQL = (
     f"{W}, jb AS (SELECT *, (row_number() OVER (PARTITION BY namespace ORDER BY id) - 1) // {JOB_BATCH} AS batch_id FROM src), "
-    "ledger AS (SELECT 'job-' || namespace AS job_id, 'key-' || label AS license_key, label, batch_id, count(*) AS n, "
+    f"jk AS (SELECT id, vector, meta_label, namespace, label * {JOB_KEY} + batch_id AS batch_id FROM jb), {S.batch_digest_ctes('jk')}, "
+    "ledger AS (SELECT 'job-' || namespace AS job_id, 'key-' || label AS license_key, label, jb.batch_id, count(*) AS n, "
+    "CAST(CASE WHEN substr(max(digest), 1, 1) < '4' THEN 0 ELSE count(*) END AS BIGINT) AS verified, "
     "CAST(sum(4 * len(vector)) AS BIGINT) AS raw_bytes, "
     "CAST(52 + sum(4 * len(vector) + 8 + strlen(id) + strlen('{\"label\":\"' || meta_label || '\"}') + strlen(namespace)) AS BIGINT) AS wire_bytes, "
-    f"max(id) AS last_id, CAST({EPOCH0} + label * 3600 + (batch_id + 1) * 60 AS BIGINT) AS updated_at_s "
-    "FROM jb GROUP BY namespace, label, batch_id), "
+    f"max(id) AS last_id, CAST({EPOCH0} + label * 3600 + (jb.batch_id + 1) * 60 AS BIGINT) AS updated_at_s "
+    f"FROM jb JOIN dg ON dg.batch_id = label * {JOB_KEY} + jb.batch_id GROUP BY namespace, label, jb.batch_id), "
     "accounts AS (SELECT DISTINCT 'key-' || label AS license_key, 'org-' || (label // 2) AS org, "
     "['free', 'starter', 'pro', 'enterprise'][label % 4 + 1] AS plan, label FROM src), "
     "plans AS (SELECT * FROM (VALUES ('free', 200000000), ('starter', 2000000000), ('pro', 25000000000), ('enterprise', -1)) t(plan, dwv_limit)), "
     "jobs AS (SELECT 'job-' || namespace AS job_id, 'key-' || label AS license_key, CAST(max(len(vector)) AS INTEGER) AS dim, "
     f"label % 10 < 8 AS completed, CAST({EPOCH0} + label * 3600 AS BIGINT) AS created_at_s FROM src GROUP BY namespace, label), "
-    "reports AS (SELECT r.*, a.org, 0 AS failed, CASE WHEN transferred > 0 THEN round(verified / transferred * 100, 4) ELSE 0.0 END "
+    "reports AS (SELECT r.*, a.org, transferred - verified AS failed, CASE WHEN transferred > 0 THEN round(verified / transferred * 100, 4) ELSE 0.0 END "
     "AS verification_rate_pct, CASE WHEN wire_bytes > 0 THEN round(raw_bytes / wire_bytes, 2) ELSE 0.0 END AS raw_over_wire FROM "
-    "(SELECT job_id, license_key, CAST(sum(n) AS BIGINT) AS transferred, CAST(sum(n) AS BIGINT) AS verified, "
+    "(SELECT job_id, license_key, CAST(sum(n) AS BIGINT) AS transferred, CAST(sum(verified) AS BIGINT) AS verified, "
     "CAST(sum(wire_bytes) AS BIGINT) AS wire_bytes, CAST(sum(raw_bytes) AS BIGINT) AS raw_bytes, max(updated_at_s) AS completed_at_s "
     "FROM ledger GROUP BY job_id, license_key) r JOIN accounts a USING (license_key)), "
     "prog AS (SELECT job_id, batch_id, last_id, updated_at_s, "
@@ -276,7 +285,7 @@ def reports_by_org(spark, sf_dir):
     "region_summary",
     f"{LEDGER_SQL} SELECT CASE WHEN label < 5 THEN 'east' ELSE 'west' END AS region, count(*) AS batches, "
     "round(avg(wire_bytes), 2) AS avg_wire_bytes, round(avg(raw_bytes), 2) AS avg_raw_bytes, "
-    "printf('%d/%d', count(*), count(*)) AS verified FROM ledger GROUP BY 1",
+    "printf('%d/%d', count(*) FILTER (WHERE verified = n), count(*)) AS verified FROM ledger GROUP BY 1",
 )
 def region_summary(spark, sf_dir):
     led = ledger(spark, sf_dir).withColumn("region", F.when(F.col("label") < 5, "east").otherwise("west"))
@@ -284,7 +293,7 @@ def region_summary(spark, sf_dir):
         F.count("*").alias("batches"),
         F.round(F.avg("wire_bytes"), 2).alias("avg_wire_bytes"),
         F.round(F.avg("raw_bytes"), 2).alias("avg_raw_bytes"),
-        F.count_if(F.col("n") > 0).alias("n_verified"),
+        F.count_if(F.col("verified") == F.col("n")).alias("n_verified"),
     )
     return g.select("region", "batches", "avg_wire_bytes", "avg_raw_bytes", F.format_string("%d/%d", "n_verified", "batches").alias("verified"))
 

@@ -68,7 +68,7 @@ def transfer_stats(spark, sf_dir, tamper: bool = False) -> DataFrame:
     """Seal every batch, (optionally damage some frames,) unseal, and count per batch."""
     fr = frames.seal_batches(batched_source(spark, sf_dir))
     if tamper:
-        fr = _tamper(fr)
+        fr = tampered(fr)
     # one narrow pass over the frames: what the sender put in the row, what the receiver decodes
     return frames.receive(fr).select(
         F.lit(JOB_ID).alias("job_id"),
@@ -82,7 +82,7 @@ def transfer_stats(spark, sf_dir, tamper: bool = False) -> DataFrame:
     )
 
 
-def _tamper(fr: DataFrame) -> DataFrame:
+def tampered(fr: DataFrame) -> DataFrame:
     """Damage the first vector of frames whose digest starts with 0-3 (a content-chosen quarter)."""
     pos = frames.SEALED_HEADER + 4  # high byte of element 0 (float32 little-endian)
     hit = F.substring("digest", 1, 1) < F.lit("4")

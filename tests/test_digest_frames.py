@@ -67,6 +67,18 @@ def test_sealed_round_trip_and_layout():
     assert sum(v.nbytes for v in vecs2) == 20 * 64 * 4
 
 
+@pytest.mark.parametrize("ids", [["a1", "b2", "c3"], ["a", "long id", "é"]])
+@pytest.mark.parametrize("spaces", [["n", "m", "o"], ["n", None, "longer"], [None] * 3])
+def test_records_of_one_size_and_of_many_read_back_alike(ids, spaces):
+    vecs = [np.arange(3, dtype=np.float32) + i for i in range(3)]
+    metas = ['{"k":"1"}', '{"k":"2"}', None]
+    bid, ids2, vecs2, metas2, spaces2, ok = frames.unpack_sealed(frames.pack_sealed(2, ids, vecs, metas, spaces))
+    assert ok and ids2 == ids and spaces2 == spaces and metas2 == ['{"k":"1"}', '{"k":"2"}', "{}"]
+    assert all(np.array_equal(a, b) for a, b in zip(vecs, vecs2))
+    ids3, vecs3 = frames.unpack_binary(frames.pack_binary(ids, vecs))
+    assert ids3 == ids and all(np.array_equal(a, b) for a, b in zip(vecs, vecs3))
+
+
 def test_empty_batch_is_empty_bytes():
     assert frames.pack_sealed(0, [], [], []) == b""
     assert frames.pack_binary([], []) == b""
