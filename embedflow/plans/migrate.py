@@ -8,7 +8,8 @@ Target layout under ``target_root``:
 
 Modes: ``full`` copies what the target doesn't hold yet (``resume``) or everything again; ``incremental``
 copies new ids and those whose row digest differs.  A later run's row takes the place of an earlier one's
-with the same id (``read_target``), so a copy is an upsert; runs that never committed aren't read.
+with the same id (``read_target``), so a copy is an upsert; runs that never committed aren't read.  A null
+id is an id like any other, and rows that share one are copied and replaced together.
 
 Batches are known from the rows themselves: by a hash of the id (no data shuffle; a retried or re-planned
 task finds the same ones), or by global id order.  Each row's digest, over vector bits, id, metadata and
@@ -124,8 +125,8 @@ def _current(stored: DataFrame, runs: list[int]) -> DataFrame:
     """The rows that no later run replaces; only ids and run numbers are aggregated."""
     if len(runs) < 2:
         return stored
-    last = stored.groupBy("id").agg(F.max("run").alias("run"))
-    return stored.join(last, ["id", "run"], "left_semi")
+    last = stored.groupBy(F.col("id").alias("last_id")).agg(F.max("run").alias("last_run"))
+    return stored.join(last, F.col("id").eqNullSafe(F.col("last_id")) & (F.col("run") == F.col("last_run")), "left_semi")
 
 
 def read_target(spark: SparkSession, target_root: str) -> DataFrame:
@@ -214,11 +215,14 @@ def migrate(
     todo = source.select("id", "vector", "metadata", "namespace")
     if runs and (spec.mode == "incremental" or spec.resume):
         have = _current(_stored(spark, target_root, runs), runs)
-        if spec.mode == "incremental":
-            known = have.select("id", F.col("row_digest").alias("rd"))
-            todo = with_row_digests(todo, todo.columns).join(known, ["id", "rd"], "left_anti").drop("rd")
+        known = have.select(F.col("id").alias("known_id"), F.col("row_digest").alias("known_rd"))
+        same_id = F.col("id").eqNullSafe(F.col("known_id"))
+        if spec.mode == "incremental":  # all rows of an id that has new ones: the run takes the place of its old ones
+            new = with_row_digests(todo, todo.columns).join(known, same_id & (F.col("rd") == F.col("known_rd")), "left_anti")
+            new_ids = new.select(F.col("id").alias("known_id")).distinct()
+            todo = todo.join(new_ids, same_id, "left_semi")
         else:
-            todo = todo.join(have.select("id"), "id", "left_anti")  # J5: what is still to copy
+            todo = todo.join(known, same_id, "left_anti")  # J5: what is still to copy
 
     if spec.ordered_batches:
         numbering: dict = {}

@@ -177,3 +177,18 @@ def test_shuffled_input_has_the_same_batches(spark):
     res = migrate(src.repartition(4), scratch_path(spark, "m"), JobSpec(batch_size=16, semantic_verify=False))
     i = res.integrity.first()
     assert i["transferred"] == i["verified"] == 50 and i["batches"] == 4  # global batches of 16
+
+
+def test_rows_with_null_ids_stay_and_are_copied_once(spark):
+    src, _ = make_records(spark, 12, 8, 0)
+    src = src.withColumn("id", F.when(F.col("id") >= "v0003", F.col("id")))
+    root, spec = scratch_path(spark, "m"), JobSpec(batch_size=4, semantic_verify=False)
+    assert migrate(src, root, spec).target().where("id is null").count() == 3
+    for mode in ("full", "incremental"):
+        res = migrate(src, root, JobSpec(mode=mode, batch_size=4, semantic_verify=False))
+        assert res.integrity.first()["transferred"] == 0 and res.cumulative.first()["transferred"] == 12
+        assert res.target().count() == 12 and res.target().where("id is null").count() == 3
+    changed = src.withColumn("namespace", F.when(F.col("metadata")["n"] == "0", F.lit("new")).otherwise(F.col("namespace")))
+    res = migrate(changed, root, JobSpec(mode="incremental", batch_size=4, semantic_verify=False))
+    assert res.integrity.first()["transferred"] == 3  # the changed row and those that share its id
+    assert sorted((r["metadata"]["n"], r["namespace"] or "") for r in res.target().where("id is null").collect()) == [("0", "new"), ("1", ""), ("2", "")]
