@@ -1,12 +1,15 @@
 """Licence scans by sentence rules.
 
 A text is cut into sentences, each is normalised, and normalised sentences that are known map to an
-identifier.  The sequence of a text's identifiers is then matched against licence rules in their order: a
+identifier.  A sentence may be wrapped over lines, with or without comment leaders: between two blank lines or
+stops, pieces that line breaks, colons or semicolons part are also read as one.  The sequence of a text's identifiers is then matched against licence rules in their order: a
 rule whose identifiers occur consecutively names its licence and uses them up.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +128,10 @@ RULES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Sentences end at line breaks and at a stop, question or exclamation mark before white space.
 SENTENCE_END = r"\n|[.!?][ \t\r\f\n]"
+#: Marks in a text: a sentence can't go on over STOP, but over CUT, where it may also begin or end.
+STOP, CUT = "\x01", "\x02"
+STOPS = r"[.!?][ \t\r\f\n]|\n[^A-Za-z0-9\n]*\n"
+CUTS = r"[\n:;]"
 #: How a text refers to a licence; all of it becomes "under ".
 REFERENCE = (
     "^((this|the) (work|project|file|software|program|document|article|text|page|content) is )?"
@@ -146,10 +153,29 @@ def _identifier(sentence: Column) -> Column:
     return F.when(place > 0, F.element_at(F.array(*[F.lit(i) for _, i in SENTENCES]), F.greatest(place, F.lit(1)).cast("int")))
 
 
+def _wrapped() -> str:
+    """A pattern for any known sentence between marks in a marked text; longer sentences first."""
+    gap = lambda words: words.replace(" ", f"[ {CUT}]+")
+    under = "(?:" + gap(REFERENCE.removeprefix("^")) + "|" + gap("under ") + ")"
+    known = [
+        (under if s.startswith("under ") else "") + gap(re.escape(s.removeprefix("under ")).replace("\\ ", " "))
+        for s, _ in sorted(SENTENCES, key=lambda x: -len(x[0]))
+    ]
+    return f"(?<=[{STOP}{CUT}])[ .]*({'|'.join(known)})(?=[ .]*[{STOP}{CUT}])"
+
+
+def marked(text: Column) -> Column:
+    """The text between two STOPs, in lower case, with its stops and cuts as marks and all else but letters,
+    digits, points and plus signs as spaces."""
+    plain = F.translate(text, UPPER + STOP + CUT, LOWER + "  ")
+    cut = F.regexp_replace(F.regexp_replace(plain, STOPS, STOP), CUTS, CUT)
+    return F.concat(F.lit(STOP), F.regexp_replace(cut, f"[^a-z0-9.+{STOP}{CUT}]+", " "), F.lit(STOP))
+
+
 def identifiers(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order (null or empty: none)."""
     some = F.translate(text, UPPER, LOWER).rlike(ANCHORS)
-    known = F.filter(F.transform(F.split(text, SENTENCE_END, -1), lambda s: _identifier(normalised(s))), lambda i: i.isNotNull())
+    known = F.transform(F.regexp_extract_all(marked(text), F.lit(_wrapped()), 1), lambda s: _identifier(normalised(s)))
     return F.when(F.coalesce(some, F.lit(False)), known).otherwise(F.array().cast("array<string>"))
 
 

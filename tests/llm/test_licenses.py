@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from embedflow.llm import licenses as lic
 from tests.llm.helpers import clashing, docs, odd
@@ -67,3 +68,46 @@ def test_odd_rows(spark):
     rows = lic.scan(df).collect()
     assert len(rows) == df.count() and all(list(r.licenses) == [] and list(r.sentence_ids) == [] for r in rows)
     assert lic.scan(docs(spark, [])).count() == 0
+
+
+GPL = """/*
+ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful.
+ */"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."
+
+
+def test_wrapped_sentences_are_found(spark):
+    wrap = lambda text, lead: "\n\n".join("\n".join(textwrap.wrap(p, 70, initial_indent=lead, subsequent_indent=lead)) for p in re.split(r"\n+", text))
+    cases = [(wrap(MIT, lead), ["MITgrant", "MITnotice"], ["MIT"]) for lead in ("", "# ", "// ", " * ")]
+    cases += [
+        (GPL, ["GPL3plus"], ["GPL-3.0-or-later"]),
+        (GPL.replace("version 3", "version 2").replace("\n", "\r\n"), ["GPL2plus"], ["GPL-2.0-or-later"]),
+        (BSD, ["BSDgrant", "BSDsource", "BSDbinary", "BSDendorse"], ["BSD-3-Clause"]),
+        (APACHE, ["Apache2ref", "ApacheComply"], ["Apache-2.0"]),
+        ("x\n# Licensed under the\n# Apache License,\n# Version 2.0\ny", ["Apache2ref"], ["Apache-2.0"]),
+        ("Licensed under the\n\nMIT License", [], []),
+        ("Licensed under the. MIT License", [], []),
+        ("this is not licensed under the\nMIT License", [], []),
+    ]
+    cases += [("a line\n" + wrap(sentence, "") + "\nanother line", [i], None) for sentence, i in lic.SENTENCES]
+    rows = {r.carry.doc_id: r for r in lic.scan(docs(spark, [t for t, _, _ in cases])).collect()}
+    for k, (text, ids, names) in enumerate(cases):
+        assert list(rows[k].sentence_ids) == ids, text
+        assert names is None or list(rows[k].licenses) == names, text
