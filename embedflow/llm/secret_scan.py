@@ -3,8 +3,9 @@
 Added spans come from candidate strings (runs of characters that keys are made of).  Over each candidate a
 window slides; the counts of its characters, and with them its Shannon entropy, change by one character
 in and one out per step.  A window whose entropy reaches the threshold of the candidate's character class
-is suspicious; suspicious windows of a candidate that overlap make one span.  Candidates on the allow-list
-add nothing.
+is suspicious; suspicious windows of a candidate that overlap make one span.  A candidate is looked at as
+a whole and then in pieces, cut at ever more separators: a key that something is attached to is judged by
+its own characters.  What is on the allow-list, candidate or piece, adds nothing as it stands; its pieces may.
 """
 
 from __future__ import annotations
@@ -38,7 +39,12 @@ CLASSES = (
     ("entropy_hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), 3.0),
     ("entropy_key", re.compile(r"(?=.*[0-9])[A-Z0-9]+|(?=.*[0-9])[a-z0-9]+"), 3.4),
     ("entropy_mixed", re.compile(r"(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z]).+"), 3.7),
+    ("entropy_mixed", re.compile(r"(?=.*[0-9])(?=.*[A-Za-z]).+"), 3.7),  # one case, digits and separators
+    ("entropy_mixed", re.compile(r"(?=.*[A-Z])(?=.*[a-z])[A-Za-z]+"), 4.0),
 )
+_UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+#: The pieces that candidates are cut into, coarse to fine.
+SEPARATORS = (re.compile(r"[^=]+"), re.compile(r"[^=_-]+"), re.compile(r"[^=_/-]+"))
 #: Candidates that are no secrets: UUIDs, ISO dates and times, one character or a short unit repeated, and the
 #: alphabets that documentation uses.
 ALLOWED = (
@@ -70,33 +76,51 @@ def entropies(s: str, window: int = WINDOW) -> Iterator[float]:
             yield math.log2(size) - total / size
 
 
-def _entropy_spans(text: str, window: int, allowed, classes) -> Iterator[tuple[int, int, str]]:
+def _suspicious(s: str, window: int, allowed, classes) -> Iterator[tuple[int, int, str]]:
+    if any(a.fullmatch(s) for a in allowed):
+        return
+    for kind, chars, least in classes:
+        if chars.fullmatch(s):
+            break
+    else:
+        return
+    begin = stop = None
+    for i, h in enumerate(entropies(s, window)):
+        if h >= least - 1e-9:
+            if begin is not None and i > stop:
+                yield begin, stop, kind
+                begin = None
+            begin = i if begin is None else begin
+            stop = min(i + window, len(s))
+    if begin is not None:
+        yield begin, stop, kind
+
+
+def _entropy_spans(text: str, window: int, allowed, classes, separators) -> Iterator[tuple[int, int, str]]:
     for m in CANDIDATE.finditer(text):
         s = m.group()
-        if any(a.fullmatch(s) for a in allowed):
-            continue
-        for kind, chars, least in classes:
-            if chars.fullmatch(s):
-                break
-        else:
-            continue
-        begin = stop = None
-        for i, h in enumerate(entropies(s, window)):
-            if h >= least - 1e-9:
-                if begin is not None and i > stop:
-                    yield m.start() + begin, m.start() + stop, kind
-                    begin = None
-                begin = i if begin is None else begin
-                stop = min(i + window, len(s))
-        if begin is not None:
-            yield m.start() + begin, m.start() + stop, kind
-
-
-def find_spans(text: str, window: int = WINDOW, allowed=ALLOWED, classes=CLASSES) -> list[tuple[int, int, str]]:
+        found = list(_suspicious(s, window, allowed, classes))
+        cut = _UUID.sub(lambda u: "=" * len(u.group()), s)  # no key is made of parts of UUIDs
+        seen = {(0, len(s))}
+        for pieces in separators:
+            for p in pieces.finditer(cut):
+                if len(p.group()) < window or p.span() in seen:
+                    continue
+                seen.add(p.span())
+                for a, b, kind in _suspicious(p.group(), window, allowed, classes):
+                    a, b = a + p.start(), b + p.start()
+                    if not any(x <= a and b <= y for x, y, _ in found):
+                        found.append((a, b, kind))
+        for a, b, kind in found:
+            yield m.start() + a, m.start() + b, kind
+
+
+def find_spans(text: str, window: int = WINDOW, allowed=ALLOWED, classes=CLASSES, separators=()) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` in code points, end exclusive, by start and then kind as listed in ``KINDS``.
 
     Base kinds are leftmost and non-overlapping each by itself.  An added span that lies inside a base span
-    says nothing new and is left out; base spans always stay.
+    says nothing new and is left out; base spans always stay.  Candidates are also looked at in the pieces
+    that ``separators`` make of them (``scan`` and ``redacted``: ``SEPARATORS``); none: as a whole only.
     """
     spans = []
     folded = text.lower()
@@ -106,7 +130,7 @@ def find_spans(text: str, window: int = WINDOW, allowed=ALLOWED, classes=CLASSES
         spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
     spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     base = sorted(spans)
-    for a, b, kind in _entropy_spans(text, window, allowed, classes):
+    for a, b, kind in _entropy_spans(text, window, allowed, classes, separators):
         if not any(x <= a and b <= y for x, y, _ in base):
             spans.append((a, b, kind))
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
@@ -124,7 +148,7 @@ def scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None, wi
 
     def make():
         def one(raw):
-            found = find_spans(raw.decode("utf-8", "replace"), window) if raw else []
+            found = find_spans(raw.decode("utf-8", "replace"), window, separators=SEPARATORS) if raw else []
             return ([{"kind": k, "start": a, "end": b} for a, b, k in found],)
 
         return one
@@ -155,7 +179,7 @@ def redacted(docs: DataFrame, text: str = "text", length: str | None = "n_chars"
                 return None, False
             s = raw.decode("utf-8", "replace")
             out, at = [], 0
-            for a, b, _ in (spans := find_spans(s)):
+            for a, b, _ in (spans := find_spans(s, separators=SEPARATORS)):
                 if a >= at:
                     out += [s[at:a], mask]
                 at = max(at, b)
