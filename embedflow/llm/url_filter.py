@@ -3,11 +3,14 @@
 Host edges come from pages' absolute links and from the name system: a host and its parent domain point at
 each other.  Trust starts from hosts in proportion to their pages that a rule allows and follows the edges;
 distrust starts from hosts in proportion to their pages that a rule blocks and follows the edges backwards.
-Both are personalised PageRanks.  A host is blocked if its share of distrust reaches the threshold.
+Both are personalised PageRanks, iterated until they settle, however far a host is from the seeds.  A host
+is blocked if its share of distrust reaches the threshold.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +20,13 @@ from .tables import written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-DAMPING, STEPS, CUT_EVERY = 0.85, 12, 4
+DAMPING, CUT_EVERY = 0.85, 4
+#: A score has settled when a step changes it by no more than this part of it.
+TOLERANCE = 1e-10
+#: Steps after which what is still on its way is below the tolerance, whatever the graph.  No limit: far hosts take more.
+STEPS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
+#: Rows of the host graph and its scores a task; a small graph takes few tasks a step.
+ROWS_A_TASK = 50_000
 #: Distrust, as a share of trust and distrust together, from which a host is blocked.
 THRESHOLD = 0.5
 LINK = r"(?i)href\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]+)"
@@ -60,11 +69,13 @@ def host_edges(pages: DataFrame, hosts: DataFrame, html: str = "html") -> DataFr
     return counted.unionByName(named).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """``(kind, host, score)`` of personalised PageRank for ``seeds(kind, host, mass)``.
 
     kind trust follows ``edges(src, dst, w)`` and distrust follows them backwards; both run in the same
-    joins.  A host without edges onward keeps nothing of what it would pass on.
+    joins.  A host without edges onward keeps nothing of what it would pass on.  Steps go on until one
+    reaches no further host and changes no score by more than ``tolerance`` of it; that is looked at every
+    ``CUT_EVERY`` steps.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     both = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "w").unionByName(
@@ -73,14 +84,24 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, step
     out = both.groupBy("kind", "host").agg(F.sum("w").alias("out"))
     moves = both.join(out, ["kind", "host"]).select("kind", "host", "to", (damping * F.col("w") / F.col("out")).alias("p")).checkpoint()
     start = seeds.select("kind", "host", "mass").checkpoint()
+    tasks = math.ceil((moves.count() + start.count() + 1) / ROWS_A_TASK)
+    moves, start = (x.coalesce(tasks).checkpoint() for x in (moves, start))
     base = start.select("kind", "host", ((1 - damping) * F.col("mass")).alias("part"))
-    score = start.withColumnRenamed("mass", "score")
-    for i in range(steps):
+
+    def step(score: DataFrame) -> DataFrame:
         moved = moves.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("p") * F.col("score")).alias("part"))
-        score = moved.unionByName(base).groupBy("kind", "host").agg(F.sum("part").alias("score"))
-        if (i + 1) % CUT_EVERY == 0 and i + 1 < steps:
-            score = score.checkpoint()
-    return score
+        return moved.unionByName(base).groupBy("kind", "host").agg(F.sum("part").alias("score")).coalesce(tasks)
+
+    score = start.withColumnRenamed("mass", "score")
+    while True:
+        for _ in range(CUT_EVERY - 1):
+            score = step(score)
+        last = score.checkpoint()
+        score = step(last).checkpoint()
+        old = F.coalesce("old", F.lit(0.0))
+        moving = score.join(last.withColumnRenamed("score", "old"), ["kind", "host"], "left").where(F.abs(F.col("score") - old) > tolerance * F.col("score"))
+        if moving.isEmpty():
+            return score
 
 
 def judged(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", rules=RULES, threshold: float = THRESHOLD) -> DataFrame:

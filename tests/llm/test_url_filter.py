@@ -114,3 +114,15 @@ def test_empty_and_unseeded(spark):
     assert u.judged(spark.createDataFrame([], PAGES)).count() == 0
     rows = u.judged(spark.createDataFrame([(1, "http://a.io/", None), (2, "http://b.a.io/", None)], PAGES)).collect()
     assert [(r.verdict, r.distrust) for r in rows] == [("allow", None)] * 2
+
+
+def test_hosts_far_from_every_seed(spark):
+    """Distrust reaches the end of a chain, and trust at its other end only takes over where it is nearer."""
+    far = [(0, "http://spam.net/", None)] + [(i, f"http://h{i}.io/", f"<a href='http://{'spam.net' if i == 1 else f'h{i - 1}.io'}/'>") for i in range(1, 41)]
+    rows = {r.id: r for r in u.judged(spark.createDataFrame(far, PAGES)).collect()}
+    assert [(rows[i].verdict, rows[i].distrust) for i in range(1, 41)] == [("block", 1.0)] * 40
+    both = [(i, f"http://h{i}.io/", f"<a href='http://h{i - 1}.io/'><a href='http://h{i + 1}.io/'>") for i in range(1, 21)]
+    both += [(0, "http://spam.net/", "<a href='http://h1.io/'>"), (21, "http://good.org/fr/", "<a href='http://h20.io/'>")]
+    both += [(22, "http://h0.io/", "<a href='http://spam.net/'>"), (23, "http://h21.io/", "<a href='http://good.org/'>")]
+    df = spark.createDataFrame(both, PAGES)
+    same([tuple(r) for r in u.judged(df).collect()], brute(both))
