@@ -83,8 +83,9 @@ def assign_batches(
         numbered = number_rows(df, order, n_ranges, stats)
     else:
         numbered = number_rows(df, [group] + order, n_ranges, stats)
-        starts = numbered.groupBy(group).agg(F.min("rn").alias("_start"))
-        numbered = numbered.join(starts, group).withColumn("rn", F.col("rn") - F.col("_start")).drop("_start")
+        starts = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("rn").alias("_start"))
+        numbered = numbered.join(starts, F.col(group).eqNullSafe(F.col("_group")))  # a null group is one, too
+        numbered = numbered.withColumn("rn", F.col("rn") - F.col("_start")).drop("_group", "_start")
     return (
         numbered.withColumn("batch_id", F.floor(F.col("rn") / F.lit(batch_size)).cast("bigint"))
         .withColumn("pos", (F.col("rn") % F.lit(batch_size)).cast("bigint"))

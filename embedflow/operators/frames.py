@@ -179,8 +179,12 @@ def _list_array(vecs: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.float32())).cast(pa.list_(pa.float32()))
 
 
-def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
-    """Rows with (batch_id, pos, id, vector, metadata) → one sealed frame per batch (applyInArrow)."""
+def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED, job: str | None = None) -> DataFrame:
+    """Rows with (batch_id, pos, id, vector, metadata) → one sealed frame per batch (applyInArrow).
+
+    With ``job``, a string column, batches are those of each job by itself and the frames carry it as ``job``,
+    so jobs may use the same batch ids.
+    """
 
     def pack(table: pa.Table) -> pa.Table:
         table = _sorted_group(table)
@@ -196,11 +200,13 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
                 "dim": pa.array([len(vecs[0]) if vecs else 0], pa.int32()),
                 "digest": pa.array([frame[20:SEALED_HEADER].hex()], pa.string()),
                 "frame": pa.array([frame], pa.binary()),
+                **{c: table.column(c).slice(0, 1) for c in by},
             }
         )
 
-    rows = batched.select("batch_id", "pos", "id", "vector", meta_json().alias("meta_json"), "namespace")
-    return rows.groupBy("batch_id").applyInArrow(pack, FRAME_SCHEMA)
+    by = [] if job is None else ["job"]
+    rows = batched.select("batch_id", "pos", "id", "vector", meta_json().alias("meta_json"), "namespace", *[F.col(job).alias(c) for c in by])
+    return rows.groupBy(*by, "batch_id").applyInArrow(pack, FRAME_SCHEMA + "".join(f", {c} string" for c in by))
 
 
 def _pack_splits(rows: DataFrame, batch_size: int, pack) -> DataFrame:
@@ -301,9 +307,11 @@ def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
 def receive(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     """One row per frame of ``seal_batches``: batch_id, dim, sent, received, verified, wire_bytes (a narrow map).
 
-    sent is the sender's count; a frame that can't be decoded has received nothing.
+    sent is the sender's count; a frame that can't be decoded has received nothing.  ``job`` is kept, if the
+    frames have it.
     """
-    schema = "batch_id bigint, dim int, sent bigint, received bigint, verified bigint, wire_bytes bigint"
+    by = [c for c in ("job",) if c in frames.columns]
+    schema = "batch_id bigint, dim int, sent bigint, received bigint, verified bigint, wire_bytes bigint" + "".join(f", {c} string" for c in by)
     names = [f.name for f in T._parse_datatype_string(schema).fields]
 
     def check(batches):
@@ -316,9 +324,10 @@ def receive(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
                     ids, ok = [], False
                 rows.append((bid, dim, count, len(ids), len(ids) if ok else 0, len(data)))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
+            told = [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*told, *(b.column(c) for c in by)], names=names)
 
-    return frames.select("batch_id", "count", "dim", "frame").mapInArrow(check, schema)
+    return frames.select("batch_id", "count", "dim", "frame", *by).mapInArrow(check, schema)
 
 
 def pack_binary_batches(batched: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from .registry import query
 from .transport_queries import tampered
 
 JOB_BATCH = 16
-JOB_KEY = 10_000_000  # batches a job has at most; makes a frame's batch id from the job's label and its batch
+JOB_KEY = 10_000_000  # a frame's number is label * JOB_KEY + batch; frames of different jobs may share one
 EPOCH0 = 1767225600  # 2026-01-01T00:00:00Z
 # Plans and their dimension-weighted-vector limits (-1 = unlimited).
 PLANS = [("free", 200_000_000), ("starter", 2_000_000_000), ("pro", 25_000_000_000), ("enterprise", -1)]
@@ -40,13 +40,18 @@ def ledger(spark, sf_dir) -> DataFrame:
     the receiver decodes and verifies is counted.
     """
     src = source(spark, sf_dir)
-    src = src.withColumn("label", _label(src).cast("bigint"))
+    return booked(src.withColumn("label", _label(src).cast("bigint")))
+
+
+def booked(src: DataFrame) -> DataFrame:
+    """The ledger of records with their ``label``; a batch is known by its namespace and frame number."""
     b = batching.assign_batches(src, JOB_BATCH, order=["id"], group="namespace")
-    keyed = b.withColumn("batch_id", F.col("label") * JOB_KEY + F.col("batch_id"))
-    got = frames.receive(tampered(frames.seal_batches(keyed)))
-    last = keyed.groupBy("batch_id", "namespace").agg(F.max("id").alias("last_id"))
-    label = F.floor(F.col("batch_id") / JOB_KEY)
-    done = got.join(last, "batch_id").withColumn("label", label.cast("int")).withColumn("batch_id", F.col("batch_id") - label * JOB_KEY)
+    first = F.coalesce("label", F.lit(0)) * JOB_KEY
+    keyed = b.withColumn("batch_id", first + F.col("batch_id"))
+    got = frames.receive(tampered(frames.seal_batches(keyed, job="namespace")))
+    last = keyed.groupBy("namespace", F.col("batch_id").alias("frame_id")).agg(F.max("id").alias("last_id"), F.max("label").cast("int").alias("label"))
+    done = got.join(last, F.col("job").eqNullSafe(F.col("namespace")) & (F.col("batch_id") == F.col("frame_id")))
+    done = done.withColumn("batch_id", F.col("batch_id") - first)
     return done.select(
         F.concat(F.lit("job-"), "namespace").alias("job_id"),
         F.concat(F.lit("key-"), F.col("label").cast("string")).alias("license_key"),

@@ -186,3 +186,21 @@ def test_sync_once_uses_high_water_mark(spark):
     n = sync.sync_once(spark, target, all_rows)
     assert n == 2
     assert {r["id"]: r["seq"] for r in target.current(spark).collect()} == {"a": 2, "c": 3}
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(f"i{k:02d}", None if k % 3 == 0 else "a") for k in range(30)], "id string, namespace string")
+    rows = batching.assign_batches(df, 4, group="namespace").collect()
+    assert sorted((r["batch_id"], r["pos"]) for r in rows if r["namespace"] is None) == [(k // 4, k % 4) for k in range(10)]
+    assert len(rows) == 30
+
+
+def test_jobs_with_more_batches_than_the_key_stay_apart(spark, monkeypatch):
+    from embedflow.plans import ledger_queries as q
+
+    src, _ = make_records(spark, 96, 8, 0)
+    label = (F.substring("id", 2, 4).cast("int") % 2).cast("bigint")
+    src = src.withColumn("label", label).withColumn("namespace", F.concat(F.lit("ns"), F.col("label").cast("string")))
+    monkeypatch.setattr(q, "JOB_KEY", 2)  # three batches a job: job 0's last number is job 1's first
+    rows = q.booked(src).collect()
+    assert sorted((r["job_id"], r["label"], r["batch_id"], r["raw_bytes"]) for r in rows) == [(f"job-ns{k}", k, n, 512) for k in (0, 1) for n in range(3)]
