@@ -192,3 +192,20 @@ def test_rows_with_null_ids_stay_and_are_copied_once(spark):
     res = migrate(changed, root, JobSpec(mode="incremental", batch_size=4, semantic_verify=False))
     assert res.integrity.first()["transferred"] == 3  # the changed row and those that share its id
     assert sorted((r["metadata"]["n"], r["namespace"] or "") for r in res.target().where("id is null").collect()) == [("0", "new"), ("1", ""), ("2", "")]
+
+
+def test_a_repeated_id_is_verified_without_collecting_its_rows(spark):
+    from embedflow.plans.migrate import verify_run
+
+    src, _ = make_records(spark, 1, 8, 0)
+    src = src.crossJoin(spark.range(3000).select(F.col("id").alias("k"))).withColumn("metadata", F.create_map(F.lit("n"), F.col("k").cast("string"))).drop("k")
+    root, spec = scratch_path(spark, "m"), JobSpec(batch_size=16, semantic_verify=False)
+    i = migrate(src, root, spec).integrity.first()
+    assert (i["transferred"], i["verified"], i["failed"], i["batches"]) == (3000, 3000, 0, 1)
+    rows = spark.read.parquet(root + "/data/run=1")
+    expected = rows.groupBy("batch_id").agg(F.count("*").alias("sent"))
+    plan = verify_run(spark, root, 1, expected, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "partial_sum" in plan
+    other = F.create_map(F.lit("n"), F.lit("x"))
+    rows.withColumn("metadata", F.when(F.col("metadata")["n"] == "2999", other).otherwise(F.col("metadata"))).write.parquet(root + "/data/run=2")
+    assert verify_run(spark, root, 2, expected, spec).first()["failed"] == 3000
