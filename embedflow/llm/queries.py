@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, classifier, decontam, licenses, quality, secret_scan, simhash, sql, token_totals, url_filter
+from . import bpe, chat, classifier, decontam, licenses, periodic, quality, secret_scan, simhash, sql, token_totals, url_filter
 from .tables import table, written
 
 QUERIES: dict = {}
@@ -116,3 +116,26 @@ def op10(spark, sf_dir):
         F.array_join("sentence_ids", ",").alias("sentence_ids"),
         F.array_join("licenses", ",").alias("licenses"),
     )
+
+
+#: Words of a text: what white space (space, tab to carriage return) divides.
+SPACES = r"[\x20\x09-\x0D]+"
+
+
+def with_planted_tails(docs):
+    """The contract's rows: in every tenth document, by the crc32 of its id, the words from some place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), SPACES, -1), lambda w: w != "")
+    made = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w")).withColumn("n", F.size("w"))
+    made = made.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    made = made.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    made = made.withColumn("rest", F.col("n") - F.col("a")).withColumn("unit", F.when(F.col("n") > 0, F.expr("slice(w, a + 1, p)")))
+    tail = F.expr("slice(flatten(array_repeat(unit, cast(ceil(rest / p) as int))), 1, rest)")
+    planted = F.array_join(F.concat(F.expr("slice(w, 1, a)"), tail), " ")
+    return made.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.digest(periodic.scan(with_planted_tails(docs)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,3 +60,43 @@ def map_text(
                 yield flush(len(raw))
 
     return src.mapInArrow(run, schema)
+
+
+def ragged_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions of the stretches ``[start, start + length)``, one after another."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def map_text_groups(
+    df: DataFrame,
+    value: str,
+    out: T.StructType,
+    make: Callable[[], Callable[[list[bytes | None]], list[pa.Array]]],
+    carry: Iterable[str],
+    group_bytes: int,
+) -> DataFrame:
+    """As :func:`map_text`, but ``make()`` returns a function of many texts at once, giving ``out``'s columns.
+
+    Consecutive rows of a batch go together until they have ``group_bytes``; a longer text goes alone.
+    """
+    src = df.select(held(carry).alias("carry"), F.col(f"`{value}`").alias("value"))
+    schema = T.StructType([src.schema["carry"], *out.fields])
+    names = ["carry", *out.fieldNames()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for batch in batches:
+            carried, raw = batch.column(0), batch.column(1).cast(pa.binary())
+            done, group, size = 0, [], 0
+            for i in range(len(raw)):
+                x = raw[i].as_py()
+                if group and size + len(x or b"") > group_bytes:
+                    yield pa.RecordBatch.from_arrays([carried.slice(done, len(group)), *fn(group)], names=names)
+                    done, group, size = i, [], 0
+                group.append(x)
+                size += len(x or b"")
+            if group:
+                yield pa.RecordBatch.from_arrays([carried.slice(done, len(group)), *fn(group)], names=names)
+
+    return src.mapInArrow(run, schema)
