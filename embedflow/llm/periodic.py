@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textmap import map_text_groups, ragged_index
+from .textmap import map_text_groups, ragged_index, split_words
 
 #: A run has so many words at least, and so many times its period.  The method needs four times.
 MIN_WORDS, REPEATS = 6, 4
@@ -33,8 +33,6 @@ MIN_WORDS, REPEATS = 6, 4
 FIRST = 4
 #: Bytes of text that are worked on together, in one task; a longer text is worked on alone.
 GROUP_BYTES = 4 << 20
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _EXCLUDED = np.uint64(1 << 63)
 
 
@@ -161,21 +159,6 @@ def find_runs(w: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int, int]]:
     return [r for r in found if r[1] - r[0] >= MIN_WORDS]
 
 
-def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(bytes, ends, counts)``: all words, each with one space behind it; where each ends; words of each text."""
-    buf = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    space = _SPACE[buf]
-    closes = space.copy()
-    closes[0] = False
-    closes[1:] &= ~space[:-1]
-    at = np.flatnonzero(closes)
-    limits = np.cumsum([len(x) + 1 for x in texts])
-    counts = np.diff(np.searchsorted(at, limits, "left"), prepend=0)
-    kept = buf[~space | closes]
-    kept[_SPACE[kept]] = 0x20
-    return kept, np.flatnonzero(kept == 0x20) + 1, counts
-
-
 def runs_of_texts(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], list[bytes]]:
     """``(words, runs, collapsed)`` of every text.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, classifier, decontam, licenses, periodic, quality, secret_scan, simhash, sql, token_totals, url_filter
+from . import bpe, chat, classifier, decontam, licenses, periodic, quality, secret_scan, simhash, sql, token_files, token_ids, token_totals, url_filter, vector_codes
 from .tables import table, written
 
 QUERIES: dict = {}
@@ -118,6 +118,27 @@ def op10(spark, sf_dir):
     )
 
 
+def word_tokenizer():
+    """The lower-casing word tokenizer's file, found through the installed package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op11_token_files")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = token_files.TokenFiles(spark, scratch_path(spark, "token-files"))
+    files.write(token_ids.tokenised(docs, word_tokenizer(), carry=["doc_id"]), F.col("carry.doc_id"))
+    return files.read().select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op12_vector_codes")
+def op12(spark, sf_dir):
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return codes.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 #: Words of a text: what white space (space, tab to carriage return) divides.
 SPACES = r"[\x20\x09-\x0D]+"
 
