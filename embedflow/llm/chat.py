@@ -2,8 +2,9 @@
 
 Every turn becomes one chunk ``<|im_start|>role\\nbody<|im_end|>\\n``.  A visitor goes over the turn's parts in
 order: text is escaped, an image, audio or document part leaves a placeholder such as ``<|image|>`` and an
-attachment record.  Escaping puts a backslash before the bar of ``<|`` and before every backslash, so no
-text or role can form a control string, and it can be undone exactly.
+attachment record.  Escaping puts a backslash before the bar of ``<|``, before every backslash, and before a
+bar that begins a part which isn't the first: the part before it may end with ``<``.  So no text, role or cut
+of a text into parts can form a control string, and it can be undone exactly.
 """
 
 from __future__ import annotations
@@ -41,10 +42,12 @@ def text_parts(text: Column) -> Column:
     return F.array(one)
 
 
-def _visit(part: Column) -> Column:
+def _visit(part: Column, place: Column) -> Column:
     """What a part leaves in the body: escaped text (null: nothing), or its type's placeholder."""
     known = part["type"].isin(*TOKENS_PER_UNIT)
-    return F.when(known, F.concat(F.lit("<|"), part["type"], F.lit("|>"))).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
+    text = escape(F.coalesce(part["text"], F.lit("")))
+    inside = F.when((place > 0) & text.startswith("|"), F.concat(F.lit("\\"), text)).otherwise(text)
+    return F.when(known, F.concat(F.lit("<|"), part["type"], F.lit("|>"))).otherwise(inside)
 
 
 def _attachment(part: Column) -> Column:

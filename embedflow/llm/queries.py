@@ -63,15 +63,13 @@ def op4(spark, sf_dir):
     t = token_totals
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     counts = written(t.counted(docs, {"words": t.WORDS, "pieces": t.PIECES, "long_words": t.LONG_WORDS}), "counts")
-    gone = t.copies(counts)
-    stays = counts.join(gone.select("doc_id"), "doc_id", "left_anti")
     store = t.TokenTotals(spark, scratch_path(spark, "token-totals"))
-    deleted = t.signed(gone, "words-1", "words", -1).unionByName(t.signed(gone, "pieces-1", "pieces", -1))
+    deleted = t.copies_removed(counts, "words-1", "words").unionByName(t.copies_removed(counts, "pieces-1", "pieces"))
     batches = [
         ("words", t.signed(counts, "words-1", "words", 1)),
         ("pieces", t.signed(counts, "pieces-1", "pieces", 1)),
         ("copies", deleted),
-        ("revision", t.revised(stays, "words-1", "words", "long_words")),
+        ("revision", t.revised(t.firsts(counts), "words-1", "words", "long_words")),
     ]
     for batch_id, changes in [*batches, *batches[2:]]:
         store.commit(batch_id, changes)

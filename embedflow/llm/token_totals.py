@@ -19,7 +19,8 @@ DELTA = "source string, lang string, tokenizer string, n_docs bigint, n_tokens b
 def signed(counts: DataFrame, tokenizer: str, n_tokens: str | Column, sign: int) -> DataFrame:
     """Changes ``(source, lang, tokenizer, n_docs, n_tokens)`` that add (1) or take away (-1) counted documents.
 
-    A null source, language or count is a key of its own, or zero tokens.
+    A null source, language or count is a key of its own, or zero tokens; repeated rows count each; an empty
+    table changes nothing; other columns are ignored.
     """
     n = F.coalesce((F.col(n_tokens) if isinstance(n_tokens, str) else n_tokens).cast("bigint"), F.lit(0))
     return counts.select(
@@ -28,11 +29,20 @@ def signed(counts: DataFrame, tokenizer: str, n_tokens: str | Column, sign: int)
 
 
 def revised(counts: DataFrame, tokenizer: str, old: str, new: str) -> DataFrame:
-    """Changes that put the ``new`` count of every document in place of the ``old`` one."""
+    """Changes that put the ``new`` count of every document in place of the ``old`` one.
+
+    Null counts are as in :func:`signed`; equal counts change nothing; repeated rows are revised each, and an
+    empty table changes nothing.
+    """
     changed = counts.where(~F.col(old).eqNullSafe(F.col(new)))
     return signed(changed, tokenizer, old, -1).unionByName(signed(changed, tokenizer, new, 1))
 
 
+def _escaped(name: str) -> str:
+    """A folder's name in which every ASCII character but letters, digits, - and _ is its code."""
+    return "".join(c if c.isalnum() or c in "-_" or ord(c) > 127 else f"%{ord(c):02X}" for c in name)
+
+
 class TokenTotals:
     """A totals table in a folder that driver and executors share; one writer at a time."""
 
@@ -55,14 +65,17 @@ class TokenTotals:
         """Apply a batch of changes; False, and nothing done, if a batch of that id is committed already.
 
         What an attempt that didn't get as far as the commit has left is overwritten.  A batch without rows
-        commits too.
+        commits too.  Any text but the empty one is a batch id.
         """
+        if not batch_id:
+            raise ValueError("a batch needs an id")
+        folder = f"batch_id={_escaped(batch_id)}"  # Spark decodes it as it reads the folder's name
         if not self.commits().where(F.col("batch_id") == batch_id).isEmpty():
             return False
         summed = changes.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        summed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/deltas/batch_id={batch_id}")
-        one = self.spark.range(1).select(F.lit(summed.sparkSession.read.parquet(f"{self.path}/deltas/batch_id={batch_id}").count()).cast("bigint").alias("n_keys"))
-        one.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch_id={batch_id}")
+        summed.write.mode("overwrite").parquet(f"{self.path}/deltas/{folder}")
+        one = self.spark.range(1).select(F.lit(summed.sparkSession.read.parquet(f"{self.path}/deltas/{folder}").count()).cast("bigint").alias("n_keys"))
+        one.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/{folder}")
         return True
 
     def totals(self) -> DataFrame:
@@ -77,16 +90,34 @@ WORDS, LONG_WORDS, PIECES = r"[^\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]{2,}", r"[^\
 
 
 def counted(docs: DataFrame, patterns: dict[str, str], text: str = "text") -> DataFrame:
-    """``id, source, lang, copy_of`` (the smallest id with the same text) and a count per pattern.
+    """``doc_id, source, lang``, the text's key ``h1, h2, h3`` and a count per pattern, a row per document.
 
-    Null text counts as empty.  Copies are found by two 64-bit hashes and the length.
+    Null text counts as empty; empty texts have no tokens; very long ones are counted as a whole.  Repeated
+    rows stay repeated, an empty table gives an empty one, and other columns are left out.  The key is two
+    64-bit hashes and the length: equal texts have it in common.
     """
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = [F.xxhash64(t).alias("h1"), F.xxhash64(F.lit(1), t).alias("h2"), F.char_length(t).alias("h3")]
     return docs.select("doc_id", "source", "lang", *key, *[F.regexp_count(t, F.lit(p)).cast("bigint").alias(n) for n, p in patterns.items()])
 
 
+def firsts(counts: DataFrame) -> DataFrame:
+    """One counted row per text: that of the smallest id (null ids last; ties: the smallest source, then language).
+
+    It is an aggregate that every task begins on its own rows, however many copies a text has.  An empty table
+    gives an empty one; all columns of ``counts`` are kept.
+    """
+    others = [c for c in counts.columns if c not in ("doc_id", "source", "lang")]
+    whole = F.struct(F.col("doc_id").isNull().alias("last"), *[F.col(f"`{c}`") for c in ("doc_id", "source", "lang", *others)])
+    least = counts.groupBy("h1", "h2", "h3").agg(F.min(whole).alias("r"))
+    return least.select(*[F.col(f"r.`{c}`").alias(c) for c in counts.columns])
+
+
 def copies(counts: DataFrame) -> DataFrame:
-    """The counted rows whose text stands under a smaller id too."""
-    first = counts.groupBy("h1", "h2", "h3").agg(F.min("doc_id").alias("first_id"))
-    return counts.join(first, ["h1", "h2", "h3"]).where("doc_id > first_id")
+    """The counted rows but for the first of every text; rows that repeat one are copies, too."""
+    return counts.exceptAll(firsts(counts))
+
+
+def copies_removed(counts: DataFrame, tokenizer: str, n_tokens: str) -> DataFrame:
+    """Changes that take away all copies: every row goes and the first of its text comes back."""
+    return signed(counts, tokenizer, n_tokens, -1).unionByName(signed(firsts(counts), tokenizer, n_tokens, 1))

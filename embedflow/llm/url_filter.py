@@ -10,23 +10,28 @@ is blocked if its share of distrust reaches the threshold.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .tables import written
+from ..session import scratch_path
+from .tables import join_totals, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-DAMPING, CUT_EVERY = 0.85, 4
-#: A score has settled when a step changes it by no more than this part of it.
+DAMPING, CUT_EVERY = 0.85, 16
+#: A score has settled when steps change it by no more than this part of it.
 TOLERANCE = 1e-10
+#: Mass that reached a host is passed on once it is more than this part of the host's score.
+PUSHED = TOLERANCE / 100
 #: Steps after which what is still on its way is below the tolerance, whatever the graph.  No limit: far hosts take more.
 STEPS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
-#: Rows of the host graph and its scores a task; a small graph takes few tasks a step.
+#: Rows of the host graph that one task takes; a graph of no more is kept in one task and its scores are broadcast.
 ROWS_A_TASK = 50_000
+#: Share of all edges from which a host's own edges are not dealt out by host.
+HUB_SHARE = 1e-3
 #: Distrust, as a share of trust and distrust together, from which a host is blocked.
 THRESHOLD = 0.5
 LINK = r"(?i)href\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]+)"
@@ -69,42 +74,88 @@ def host_edges(pages: DataFrame, hosts: DataFrame, html: str = "html") -> DataFr
     return counted.unionByName(named).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+NODE = ["kind", "host"]
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, pushed: float = PUSHED, small: int = ROWS_A_TASK) -> DataFrame:
     """``(kind, host, score)`` of personalised PageRank for ``seeds(kind, host, mass)``.
 
     kind trust follows ``edges(src, dst, w)`` and distrust follows them backwards; both run in the same
-    joins.  A host without edges onward keeps nothing of what it would pass on.  Steps go on until one
-    reaches no further host and changes no score by more than ``tolerance`` of it; that is looked at every
-    ``CUT_EVERY`` steps.
+    joins.  A host without edges onward keeps nothing of what it would pass on.  Hosts pass on what has
+    reached them since they last did, as long as that is more than ``pushed`` of their score; it ends when
+    nobody has that much, however far hosts are from the seeds.  A graph of up to ``small`` rows stays in one
+    task, without a shuffle; a larger one is dealt out by host once and only scores move.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
     both = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "w").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "w")
     )
-    out = both.groupBy("kind", "host").agg(F.sum("w").alias("out"))
-    moves = both.join(out, ["kind", "host"]).select("kind", "host", "to", (damping * F.col("w") / F.col("out")).alias("p")).checkpoint()
-    start = seeds.select("kind", "host", "mass").checkpoint()
-    tasks = math.ceil((moves.count() + start.count() + 1) / ROWS_A_TASK)
-    moves, start = (x.coalesce(tasks).checkpoint() for x in (moves, start))
-    base = start.select("kind", "host", ((1 - damping) * F.col("mass")).alias("part"))
-
-    def step(score: DataFrame) -> DataFrame:
-        moved = moves.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("p") * F.col("score")).alias("part"))
-        return moved.unionByName(base).groupBy("kind", "host").agg(F.sum("part").alias("score")).coalesce(tasks)
-
-    score = start.withColumnRenamed("mass", "score")
-    while True:
-        for _ in range(CUT_EVERY - 1):
-            score = step(score)
-        last = score.checkpoint()
-        score = step(last).checkpoint()
-        old = F.coalesce("old", F.lit(0.0))
-        moving = score.join(last.withColumnRenamed("score", "old"), ["kind", "host"], "left").where(F.abs(F.col("score") - old) > tolerance * F.col("score"))
-        if moving.isEmpty():
-            return score
-
-
-def judged(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
+    both = written(both, "edges")
+    out = written(both.groupBy(*NODE).agg(F.sum("w").alias("out"), F.count(F.lit(1)).alias("n")), "degrees")
+    moves = join_totals(both, out, NODE, "n").select(*NODE, "to", (damping * F.col("w") / F.col("out")).alias("p"))
+    base = (1 - damping) * F.col("mass")
+    start = written(seeds.select(*NODE, base.alias("score"), base.alias("pending")), "scores")
+    if both.count() + out.count() + start.count() <= small:
+        return _in_one_task(moves, start, pushed)
+    return _dealt_by_host(moves, start, out, pushed, small)
+
+
+def _pushes(pushed: float) -> Column:
+    return F.col("pending") > pushed * F.col("score")
+
+
+def _settles(state: DataFrame, pushed: float) -> bool:
+    return state.where(_pushes(pushed)).isEmpty()
+
+
+def _in_one_task(moves: DataFrame, state: DataFrame, pushed: float) -> DataFrame:
+    """Every host also moves to itself, so one join and one aggregate make a step; both stay in a single partition."""
+    spark = moves.sparkSession
+    hosts = moves.select("kind", F.col("to").alias("host")).unionByName(state.select(*NODE)).unionByName(moves.select(*NODE)).distinct()
+    itself = hosts.select(*NODE, F.col("host").alias("to"), F.lit(None).cast("double").alias("p"))
+    moves = written(moves.unionByName(itself).coalesce(1), "moves").coalesce(1)
+    while not _settles(state, pushed):
+        state = written(spark.sql(_steps(CUT_EVERY, pushed), moves=moves, state=state.coalesce(1)), "scores")
+    return state.select(*NODE, "score")
+
+
+def _steps(n: int, pushed: float) -> str:
+    """SQL of ``n`` steps at once, so that they are planned once; the hints keep a single partition single."""
+    go = f"s.pending > {pushed!r}D * s.score"
+    part = f"CASE WHEN {go} THEN m.p * s.pending ELSE 0D END"
+    score = f"CASE WHEN m.p IS NULL THEN s.score ELSE {part} END"
+    pending = f"CASE WHEN m.p IS NOT NULL THEN {part} WHEN {go} THEN 0D ELSE s.pending END"
+    said = ["s0 AS (SELECT kind, host, score, pending FROM {state})"]
+    for k in range(n):
+        said.append(
+            f"s{k + 1} AS (SELECT kind, host, sum(score) AS score, sum(pending) AS pending FROM (SELECT /*+ COALESCE(1), SHUFFLE_HASH(s) */ m.kind, m.to AS host, "
+            f"{score} AS score, {pending} AS pending FROM {{moves}} m JOIN s{k} s ON m.kind = s.kind AND m.host = s.host WHERE m.p IS NULL OR {go}) GROUP BY kind, host)"
+        )
+    return f"WITH {', '.join(said)} SELECT * FROM s{n}"
+
+
+def _dealt_by_host(moves: DataFrame, state: DataFrame, out: DataFrame, pushed: float, rows_a_task: int) -> DataFrame:
+    """Edges lie in buckets by host, sorted, so a step shuffles scores alone; hubs' edges lie apart and meet broadcast scores."""
+    spark = moves.sparkSession
+    every = out.agg(F.sum("n")).first()[0] or 0
+    hubs = F.broadcast(out.where(F.col("n") > HUB_SHARE * every).select(*NODE))  # 1 / HUB_SHARE rows at most
+    buckets = min(max(2, -(-every // max(rows_a_task, 1))), 10_000)
+    name = f"moves_{uuid.uuid4().hex}"
+    dealt = moves.join(hubs, NODE, "left_anti").repartition(buckets, *NODE)
+    dealt.write.bucketBy(buckets, *NODE).sortBy(*NODE).option("path", scratch_path(spark, "moves")).saveAsTable(name)
+    dealt, apart = spark.table(name), written(moves.join(hubs, NODE, "left_semi"), "hub-moves")
+    while not _settles(state, pushed):
+        go = _pushes(pushed)
+        active = state.where(go).select(*NODE, "pending")
+        met = dealt.join(active.hint("shuffle_merge"), NODE).unionByName(apart.join(F.broadcast(active.join(hubs, NODE, "left_semi")), NODE))
+        part = F.col("p") * F.col("pending")
+        got = met.select("kind", F.col("to").alias("host"), part.alias("score"), part.alias("pending"))
+        kept = state.select(*NODE, "score", F.when(go, 0.0).otherwise(F.col("pending")).alias("pending"))
+        state = written(kept.unionByName(got).groupBy(*NODE).agg(F.sum("score").alias("score"), F.sum("pending").alias("pending")), "scores")
+    spark.sql(f"DROP TABLE {name}")
+    return state.select(*NODE, "score")
+
+
+def judged(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", rules=RULES, threshold: float = THRESHOLD, damping: float = DAMPING, small: int = ROWS_A_TASK) -> DataFrame:
     """``id, host, path, rule, verdict, distrust`` of every page: the rule's verdict, else its host's.
 
     distrust is the host's share (null where neither score reaches it; such hosts are allowed).  Null urls
@@ -115,12 +166,13 @@ def judged(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: st
     named = pages.select(F.col(f"`{id_col}`").alias("id"), host.alias("host"), path.alias("path"))
     rule, kind = rule_for(F.col("host"), F.col("path"), rules)
     ruled = written(named.select("id", "host", "path", rule.alias("rule"), kind.alias("kind")), "pages")
-    hosts = ruled.groupBy("host").agg(F.count_if(F.col("kind") == "allow").alias("trust"), F.count_if(F.col("kind") == "block").alias("distrust")).checkpoint()
+    hosts = written(ruled.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == "allow").alias("trust"), F.count_if(F.col("kind") == "block").alias("distrust")), "hosts")
     mass = hosts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col("host"), F.col(k).alias("n")) for k in ("trust", "distrust")])).alias("s")).select("s.*").where("n > 0")
     total = mass.groupBy("kind").agg(F.sum("n").alias("total"))
     seeds = mass.join(F.broadcast(total), "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("mass"))  # two rows
     edges = host_edges(pages.select(host.alias("host"), F.col(f"`{html}`")), hosts, html)
-    score = propagate(edges, seeds).groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")])
+    score = propagate(edges, seeds, damping, small=small).groupBy("host").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust")])
     share = score.select("host", F.try_divide(F.col("distrust"), F.col("trust") + F.col("distrust")).alias("distrust"))
     own = F.when(F.col("distrust") >= threshold, F.lit("block")).otherwise(F.lit("allow"))
-    return ruled.join(share, "host", "left").select("id", "host", "path", "rule", F.coalesce("kind", own).alias("verdict"), "distrust")
+    shares = hosts.select("host", "n").join(share, "host", "left")
+    return join_totals(ruled, shares, ["host"], "n").select("id", "host", "path", "rule", F.coalesce("kind", own).alias("verdict"), "distrust")

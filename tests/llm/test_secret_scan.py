@@ -121,3 +121,32 @@ def test_odd_rows(spark):
     assert s.scan(df).count() == df.count()
     assert {r.spans for r in s.digest(s.scan(df)).collect()} == {""}
     assert s.scan(docs(spark, [])).count() == 0 and s.redacted(docs(spark, [])).count() == 0
+
+
+def test_long_lists_of_digests_take_linear_time():
+    """A checksum list of 200,000 lines, and one candidate of as many pieces, within seconds; the spans of all lines."""
+    import hashlib
+    import time
+
+    lines = [hashlib.md5(str(i).encode()).hexdigest() for i in range(200_000)]
+    began = time.process_time()
+    found = s.find_spans("\n".join(lines), separators=s.SEPARATORS)
+    assert found == [(33 * i, 33 * i + 32, "hex") for i in range(len(lines))]
+    few = s.find_spans("\n".join(lines[:300]), separators=s.SEPARATORS)
+    assert found[:300] == few
+    joined = "_".join(x.upper() for x in lines[:30_000])
+    spans = s.find_spans(joined, separators=s.SEPARATORS)
+    assert len(spans) >= 1 and spans[-1][1] >= len(joined) - 33
+    assert time.process_time() - began < 60
+
+
+def test_cover_equals_a_look_at_every_span():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(200):
+        spans = [(a, a + rng.randrange(1, 20), "k") for a in (rng.randrange(60) for _ in range(rng.randrange(12)))]
+        cover = s._Cover(spans)
+        for a in range(0, 60, 7):
+            for b in range(a + 1, 70, 5):
+                assert cover.holds(a, b) == any(x <= a and b <= y for x, y, _ in spans)

@@ -1,6 +1,8 @@
 import re
 from collections import defaultdict
 
+import pytest
+
 from embedflow.llm import url_filter as u
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import clashing
@@ -116,7 +118,7 @@ def test_empty_and_unseeded(spark):
     assert [(r.verdict, r.distrust) for r in rows] == [("allow", None)] * 2
 
 
-def test_hosts_far_from_every_seed(spark):
+def test_hosts_far_from_every_seed(spark, monkeypatch):
     """Distrust reaches the end of a chain, and trust at its other end only takes over where it is nearer."""
     far = [(0, "http://spam.net/", None)] + [(i, f"http://h{i}.io/", f"<a href='http://{'spam.net' if i == 1 else f'h{i - 1}.io'}/'>") for i in range(1, 41)]
     rows = {r.id: r for r in u.judged(spark.createDataFrame(far, PAGES)).collect()}
@@ -126,3 +128,36 @@ def test_hosts_far_from_every_seed(spark):
     both += [(22, "http://h0.io/", "<a href='http://spam.net/'>"), (23, "http://h21.io/", "<a href='http://good.org/'>")]
     df = spark.createDataFrame(both, PAGES)
     same([tuple(r) for r in u.judged(df).collect()], brute(both))
+    monkeypatch.setattr(u, "DAMPING", 0.3)  # fewer steps
+    same([tuple(r) for r in u.judged(df, damping=0.3, small=0).collect()], brute(both))
+
+
+@pytest.mark.parametrize("share", [0.05, 2.0])
+def test_a_graph_dealt_by_host_gives_the_same(spark, monkeypatch, share):
+    """The form for large graphs, with some hosts and with none of them a hub; a step's edges are read from their buckets as they lie."""
+    plans = []
+    real = u.written
+
+    def spy(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(u, "written", spy)
+    monkeypatch.setattr(u, "DAMPING", 0.3)
+    monkeypatch.setattr(u, "HUB_SHARE", share)
+    same([tuple(r) for r in u.judged(spark.createDataFrame(ODD, PAGES), damping=0.3, small=0).collect()], brute(ODD))
+    steps = [p for name, p in plans if name == "scores" and "Bucketed: true" in p]
+    assert len(steps) > 10
+    for plan in steps:
+        scan = plan[plan.index("SortMergeJoin") :].split("Bucketed: true")[0]
+        assert scan.count("Exchange hashpartitioning") <= 1  # the scores'
+
+
+def test_small_graphs_take_no_shuffle_a_step(spark, monkeypatch):
+    plans = []
+    real = u.written
+    monkeypatch.setattr(u, "written", lambda df, name: (plans.append((name, df._jdf.queryExecution().executedPlan().toString())), real(df, name))[1])
+    monkeypatch.setattr(u, "DAMPING", 0.3)
+    same([tuple(r) for r in u.judged(spark.createDataFrame(ODD, PAGES), damping=0.3).collect()], brute(ODD))
+    steps = [p for name, p in plans if name == "scores" and "Join" in p][1:]
+    assert steps and all("Exchange" not in p for p in steps)
