@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .batching import number_rows
+from .joins import null_safe_join
 
 
 def running_sum(df: DataFrame, group: str, order: str, values: list[str], chunk: int = 4096) -> DataFrame:
-    """Adds ``cum_<v>`` = sum of v over rows of the group with order <= this row's (order must be unique in a group)."""
+    """Adds ``cum_<v>`` = sum of v over rows of the group with order <= this row's (order must be unique in a group).
+
+    A null group is a group, and a null order comes first in it.
+    """
     c = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
     per_chunk = c.groupBy(group, "_chunk").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -27,7 +31,7 @@ def running_sum(df: DataFrame, group: str, order: str, values: list[str], chunk:
         group, "_chunk", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values]
     )
     inside = Window.partitionBy(group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = c.join(offsets, [group, "_chunk"])
+    out = null_safe_join(c, offsets, [group, "_chunk"])
     for v in values:
         out = out.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.sum(v).over(inside))
     return out.drop("_chunk", *[f"_o_{v}" for v in values])
@@ -45,7 +49,8 @@ def nearest_rank(df: DataFrame, group: str, value: str, percents: list[float], t
 
     Rows are numbered in (group, value, tie) order without a per-group sort;
     each group's target row numbers (start + k, one per percentile) are then
-    joined on (group, rn), so only the selected rows travel further.
+    joined on rn, so only the selected rows travel further.  A null group is a
+    group; null values come first in theirs.
     """
     order = [group, value] + ([tie] if tie else [])
     numbered = number_rows(df.select(*dict.fromkeys(order)), order)
@@ -65,5 +70,5 @@ def nearest_rank(df: DataFrame, group: str, value: str, percents: list[float], t
             )
         ).alias("t"),
     ).select(group, "n", "t.pct", F.col("t._rn").alias("rn"))
-    picked = targets.join(numbered.select(group, "rn", value), [group, "rn"])
+    picked = targets.join(numbered.select("rn", value), "rn")
     return picked.groupBy(group, "n").agg(*[F.max(F.when(F.col("pct") == f"p{p:g}", F.col(value))).alias(f"p{p:g}") for p in percents])

@@ -4,7 +4,8 @@ Plain Parquet has no MERGE, so an upsert is a rewrite: the new version is
 computed as a join on ``id`` (one shuffle of both sides by id, or none
 when both are bucketed by id) and written to a new folder; the caller
 switches to it.  Never overwrite the folder being read.  Tables in a
-format that supports it can use ``DataFrame.mergeInto`` instead.
+format that supports it can use ``DataFrame.mergeInto`` instead.  A null id
+is an id like any other, here as in ``migrate`` and ``reconcile``.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import stable_point_id
 from ..schema import CANONICAL_COLUMNS
+from .joins import null_safe_join
 
 
 def latest_per_id(df: DataFrame, order: list[str], id_col: str = "id") -> DataFrame:
@@ -49,7 +51,8 @@ def upsert_replace(
     """
     source = _unique_source(source, id_col, dedupe, order)
     cols = target.columns
-    return target.join(source.select(id_col), id_col, "left_anti").select(*cols).unionByName(source.select(*cols))
+    kept = null_safe_join(target, source.select(id_col), [id_col], "left_anti")
+    return kept.select(*cols).unionByName(source.select(*cols))
 
 
 def upsert_vector_only(
@@ -63,7 +66,7 @@ def upsert_vector_only(
     source = _unique_source(source, id_col, dedupe, order)
     t = target.select(id_col, *[F.col(c).alias(f"t_{c}") for c in target.columns if c != id_col], F.lit(True).alias("_t"))
     s = source.select(id_col, *[F.col(c).alias(f"s_{c}") for c in source.columns if c != id_col], F.lit(True).alias("_s"))
-    j = t.join(s, id_col, "full_outer")
+    j = null_safe_join(t, s, [id_col], "full_outer")
     out = [F.col(id_col)]
     for c in [c for c in target.columns if c != id_col]:
         if c == "vector":
