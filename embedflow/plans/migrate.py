@@ -4,6 +4,7 @@
 
 Target layout under ``target_root``:
     data/run=<n>/   canonical rows + ``batch_id`` and ``row_digest`` lineage, one folder per run
+    _expected/run=<n>/  per batch: the rows and digest sums of the source
     _batches/       append-only batch statistics (the job ledger); a run counts once it is here
 
 Modes: ``full`` copies what the target doesn't hold yet (``resume``) or everything again; ``incremental``
@@ -13,10 +14,11 @@ id is an id like any other, and rows that share one are copied and replaced toge
 
 Batches are known from the rows themselves: by a hash of the id (no data shuffle; a retried or re-planned
 task finds the same ones), or by global id order.  Each row's digest, over vector bits, id, metadata and
-namespace, is computed as it is written.  Verification re-reads the target once and compares, per expected
-batch, the sums of the stored source digests and the expected count with those of what is stored; a batch
-that is missing has failed.  All rows of a repeated id are one hash batch; sums are added up in every task,
-so no task holds a batch's rows.
+namespace, is computed as it is written.  The source's side of the proof is made from the source: one pass
+over it adds up, per batch, the rows and the keyed digests of what is to be copied.  Verification re-reads
+the target once, digests what it finds and compares the sums, so a row that is lost, repeated or altered on
+the way fails its batch, whatever else is right; a batch that is missing has failed.  All rows of a repeated
+id are one hash batch; sums are added up in every task, so no task holds a batch's rows.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ from ..operators import batching, frames, guards, knn
 from ..schema import CANONICAL
 
 DATA = "data"
+EXPECTED = "_expected"
 BATCHES = "_batches"
 STORED = T.StructType(
     [T.StructField(f.name, f.dataType) for f in CANONICAL.fields]
@@ -164,14 +167,25 @@ def _digest_sums(digest: str, seed: str, name: str) -> list[Column]:
     return [F.sum(F.when(F.col(digest).isNotNull(), p)).alias(f"{name}{i}") for i, p in enumerate(parts)]
 
 
+def source_batches(batched: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
+    """``batch_id, sent, src0..src3`` of source rows with a ``batch_id``: what the target must prove to hold."""
+    digested = with_row_digests(batched, ["batch_id"], out="rd")
+    return digested.groupBy("batch_id").agg(F.count("*").alias("sent"), *_digest_sums("rd", seed, "src"))
+
+
 def verify_run(spark: SparkSession, target_root: str, run: int, expected: DataFrame, spec: JobSpec) -> DataFrame:
-    """Statistics of every batch of ``expected(batch_id, sent)`` from one re-read of the run's folder."""
+    """Statistics of every batch of ``expected`` (:func:`source_batches`) from one re-read of the run's folder.
+
+    An ``expected`` that has counts alone is compared with the digests that were stored with the rows: that
+    proves no more than that the rows that are there are as they were written.
+    """
+    stored = [] if "src0" in expected.columns else _digest_sums("row_digest", spec.seed, "src")
     target = _stored(spark, target_root, [run])
     rows = target.withColumns({"d": F.size("vector"), "record_bytes": frames.sealed_record_bytes()})
     now = with_row_digests(rows, ["batch_id", "id", "d", "record_bytes", "row_digest"], out="rd_now")
     got = now.groupBy("batch_id").agg(
         F.count("*").alias("received"),
-        *_digest_sums("row_digest", spec.seed, "src"),
+        *stored,
         *_digest_sums("rd_now", spec.seed, "tgt"),
         (4 * F.sum("d")).cast("bigint").alias("raw_bytes"),
         (F.lit(frames.SEALED_HEADER) + F.sum("record_bytes")).cast("bigint").alias("wire_bytes"),
@@ -241,7 +255,9 @@ def migrate(
         n_todo = todo.count()
         batched = batching.hash_batches(todo, max(1, -(-n_todo // spec.batch_size)))
     batched = batched.withColumn("batch_id", F.concat_ws("-", F.lit(str(run)), F.col("batch_id").cast("string")))
-    expected = batched.groupBy("batch_id").agg(F.count("*").alias("sent"))
+    expected = source_batches(batched, spec.seed)  # a row per batch, kept beside the run: it is read again below
+    expected.write.mode("overwrite").parquet(os.path.join(target_root, EXPECTED, f"run={run}"))
+    expected = spark.read.schema(expected.schema).parquet(os.path.join(target_root, EXPECTED, f"run={run}"))
     rows = with_row_digests(batched, ["id", "vector", "metadata", "namespace", "batch_id"], out="row_digest")
     obs = Observation(f"migrate-{spec.job_id}-{run}")
     d = F.nullif(F.size("vector"), F.lit(0))

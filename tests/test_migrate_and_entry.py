@@ -209,3 +209,33 @@ def test_a_repeated_id_is_verified_without_collecting_its_rows(spark):
     other = F.create_map(F.lit("n"), F.lit("x"))
     rows.withColumn("metadata", F.when(F.col("metadata")["n"] == "2999", other).otherwise(F.col("metadata"))).write.parquet(root + "/data/run=2")
     assert verify_run(spark, root, 2, expected, spec).first()["failed"] == 3000
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_lost_repeated_and_altered_rows_fail_their_batch(spark, ordered):
+    """The proof comes from the source: a target whose stored digests all agree with its rows isn't enough."""
+    from embedflow.plans.migrate import read_target, verify_run
+
+    src, _ = make_records(spark, 24, 8, 0)
+    spec = JobSpec(batch_size=4, semantic_verify=False, ordered_batches=ordered)
+    root = scratch_path(spark, "m")
+    assert migrate(src, root, spec).integrity.first()["verified"] == 24
+    expected = spark.read.parquet(root + "/_expected/run=1")
+    rows = spark.read.parquet(root + "/data/run=1").cache()
+    batch, members = rows.groupBy("batch_id").agg(F.sort_array(F.collect_set("id")).alias("ids")).where("size(ids) > 1").orderBy("batch_id").first()
+    lost, twin = members[0], members[1]
+    other = rows.where(F.col("batch_id") != batch).first()["id"]
+    flipped = F.when(F.col("id") == lost, F.transform("vector", lambda x: -x)).otherwise(F.col("vector"))
+    cases = {
+        "lost and another one repeated": rows.where(F.col("id") != lost).unionByName(rows.where(F.col("id") == twin)),
+        "lost": rows.where(F.col("id") != lost),
+        "repeated": rows.unionByName(rows.where(F.col("id") == lost)),
+        "altered": rows.withColumn("vector", flipped),
+        "replaced by a row of another batch": rows.where(F.col("id") != lost).unionByName(rows.where(F.col("id") == other).withColumn("batch_id", F.lit(batch))),
+    }
+    for n, (what, target) in enumerate(cases.items(), 2):
+        target.drop("run").write.parquet(f"{root}/data/run={n}")
+        found = {r["batch_id"]: r for r in verify_run(spark, root, n, expected, spec).collect()}
+        assert {b for b, r in found.items() if r["failed"]} == {batch}, what
+        assert found[batch]["verified"] == 0 and sum(r["verified"] for r in found.values()) == 24 - len(members), what
+    assert read_target(spark, root).count() == 24
