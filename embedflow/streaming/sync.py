@@ -3,42 +3,91 @@
 Target layout (all under one root in shared storage):
 
     root/delta/<stream>-<epoch>/  the epoch's changes, one (latest) row per key
-    root/base/<commit>/           a compacted snapshot covering every commit <= n
-    root/_ledger/                 append-only Parquet: commit, stream, epoch, kind ('delta' | 'base'),
-                                  path, n_changes, hw_ts, hw_seq, committed_at
+    root/base/<id>/               a compacted snapshot covering every commit up to its ``upto``
+    root/_ledger/<commit>.json    one entry per commit: stream, epoch, kind ('delta' | 'base'), path,
+                                  n_changes, hw_ts, hw_seq, committed_at; a base's also has ``upto`` and the
+                                  epochs that are behind it
+    root/_ledger/_newest          the number of the last base: a hint that saves reading older entries
 
 * An epoch (``foreachBatch``) costs O(its changes): last change per key
   (max_by over (updated_at, seq), a partial aggregate), written to its own
-  folder, then one ledger row.  Epochs are numbered by each stream for
-  itself, so a stream's commits are known by (stream, epoch); commits are
-  numbered by the ledger.  A retried epoch rewrites its own folder and is
-  committed once, so retries are idempotent and no folder that readers use
-  is ever overwritten.  One writer commits to a target at a time.
+  folder, then one ledger entry.  Epochs are numbered by each stream for
+  itself, so a stream's commits are known by (stream, epoch).  A retried
+  epoch rewrites its own folder and is committed once, so retries are
+  idempotent and no folder that readers use is ever overwritten.
+* A commit's number is its entry's name, which is made whole and once: of two
+  writers (a load, streams, a compaction) that want the same number one gets
+  it and the other takes the next.  Every stream has one writer.
 * The current table is the last row per key over the newest base and the
-  deltas committed after it (one aggregation; hot keys combine map-side),
-  so late changes find their place whenever they arrive.  ``compact`` folds
-  the deltas into a new base; streams can compact every N epochs.
+  deltas numbered beyond its ``upto`` (one aggregation; hot keys combine
+  map-side), so late changes find their place whenever they arrive.
+  ``compact`` fixes ``upto`` before it reads and folds the deltas up to it,
+  so what is committed meanwhile stays a delta of the new base; streams can
+  compact every N epochs.
+* An operation reads the ledger once, in one job, from the newest base on:
+  what that takes does not grow with the epochs behind it.
 * High-water marks are (updated_at, seq) pairs.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import os
+import uuid
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..operators.progress import latest
 
-ROW_SCHEMA = "commit bigint, stream string, epoch bigint, kind string, path string, n_changes bigint, hw_ts timestamp, hw_seq bigint"
-LEDGER_SCHEMA = ROW_SCHEMA + ", committed_at timestamp"
+ENTRY = (
+    "commit bigint, stream string, epoch bigint, kind string, path string, n_changes bigint, hw_us bigint, hw_seq bigint, "
+    "committed_us bigint, upto bigint, epochs map<string,array<array<bigint>>>"
+)
+LEDGER_COLUMNS = ["commit", "stream", "epoch", "kind", "path", "n_changes", "hw_ts", "hw_seq", "committed_at"]
+#: High water of changes without a time: year 1.
+NO_TIME = -62_135_596_800_000_000
 #: Stream name of changes that are applied by hand.
 BATCH = "batch"
 
 
+def _add_epoch(spans: list[list[int]], epoch: int) -> list[list[int]]:
+    """``spans`` of epochs [first, last], ascending, with one more in."""
+    out: list[list[int]] = []
+    for a, b in sorted([*spans, [epoch, epoch]]):
+        if out and a <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
+@dataclass
+class State:
+    """What a ledger says: the last commit, what the current table consists of, committed epochs, high water."""
+
+    commit: int = -1
+    base: str | None = None
+    upto: int = -1
+    deltas: list[str] = field(default_factory=list)
+    epochs: dict[str, list[list[int]]] = field(default_factory=dict)
+    high_water: tuple[int, int] | None = None  # (microseconds, seq)
+
+    def has(self, stream: str, epoch: int) -> bool:
+        return any(a <= epoch <= b for a, b in self.epochs.get(stream, []))
+
+    def next_epoch(self, stream: str) -> int:
+        return max((b for _, b in self.epochs.get(stream, [])), default=-1) + 1
+
+    def paths(self) -> list[str]:
+        return ([self.base] if self.base else []) + sorted(self.deltas)
+
+
 @dataclass
 class SyncTarget:
     """A merge-on-read table at ``root`` keyed by ``key``; rows ordered by (ts_col, seq_col)."""
@@ -52,54 +101,64 @@ class SyncTarget:
     def ledger_path(self) -> str:
         return os.path.join(self.root, "_ledger")
 
-    def ledger(self, spark: SparkSession) -> DataFrame | None:
-        """The commits; None if there is no ledger yet (any other error is raised)."""
+    def entry_path(self, commit: int) -> str:
+        return os.path.join(self.ledger_path, f"{commit:020d}.json")
+
+    def _entries(self, spark: SparkSession, start: int = 0) -> DataFrame | None:
+        """Entries from commit ``start`` on, pruned by file name; None if there is no ledger (other errors are raised)."""
         try:
-            return spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
+            every = spark.read.schema(ENTRY).option("mode", "FAILFAST").json(self.ledger_path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
+        return every.where(F.col("_metadata.file_name") >= f"{start:020d}.json") if start else every
 
-    def committed(self, spark: SparkSession, stream: str, epoch: int, kind: str = "delta") -> bool:
-        led = self.ledger(spark)
-        same = (F.col("stream") == stream) & (F.col("epoch") == epoch) & (F.col("kind") == kind)
-        return led is not None and not led.where(same).isEmpty()
-
-    def last_commit(self, spark: SparkSession, kind: str | None = None) -> int:
-        """Number of the last commit (of a kind), -1 if there is none."""
-        led = self.ledger(spark)
-        if led is None:
-            return -1
-        row = led.where(F.lit(True) if kind is None else F.col("kind") == kind).agg(F.max("commit").alias("c")).first()
-        return -1 if row["c"] is None else int(row["c"])
+    def ledger(self, spark: SparkSession) -> DataFrame | None:
+        """The commits; None if there is no ledger yet."""
+        every = self._entries(spark)
+        if every is None:
+            return None
+        times = {"hw_ts": F.timestamp_micros("hw_us"), "committed_at": F.timestamp_micros("committed_us")}
+        return every.withColumns(times).select(*LEDGER_COLUMNS)
+
+    def state(self, spark: SparkSession) -> State:
+        """The ledger's state in one job: the newest base and what came after its ``upto``."""
+        hint = storage.read_text(spark, os.path.join(self.ledger_path, "_newest"))
+        start = json.loads(hint)["start"] if hint else 0
+        entries = self._entries(spark, start)
+        rows = [] if entries is None else sorted(entries.collect(), key=lambda r: r["commit"])  # commits since a compaction
+        out = State(commit=max((r["commit"] for r in rows), default=-1))
+        bases = [r for r in rows if r["kind"] == "base"]
+        if bases:
+            newest = max(bases, key=lambda r: (r["upto"], r["commit"]))
+            out.base, out.upto = newest["path"], newest["upto"]
+            out.epochs = {k: [list(x) for x in v] for k, v in (newest["epochs"] or {}).items()}
+            out.high_water = (newest["hw_us"], newest["hw_seq"])
+        for r in rows:
+            if r["kind"] == "delta" and r["commit"] > out.upto:
+                out.deltas.append(r["path"])
+                out.epochs[r["stream"]] = _add_epoch(out.epochs.get(r["stream"], []), r["epoch"])
+                out.high_water = max(out.high_water or (r["hw_us"], r["hw_seq"]), (r["hw_us"], r["hw_seq"]))
+        return out
+
+    def committed(self, spark: SparkSession, stream: str, epoch: int) -> bool:
+        return self.state(spark).has(stream, epoch)
+
+    def last_commit(self, spark: SparkSession) -> int:
+        """Number of the last commit, -1 if there is none."""
+        return self.state(spark).commit
 
     def next_epoch(self, spark: SparkSession, stream: str) -> int:
-        led = self.ledger(spark)
-        row = None if led is None else led.where(F.col("stream") == stream).agg(F.max("epoch").alias("e")).first()
-        return 0 if row is None or row["e"] is None else int(row["e"]) + 1
+        return self.state(spark).next_epoch(stream)
 
     def high_water(self, spark: SparkSession):
-        """(hw_ts, hw_seq, last commit) over all committed deltas, or None."""
-        led = self.ledger(spark)
-        if led is None:
-            return None
-        row = led.where(F.col("kind") == "delta").agg(
-            F.max(F.struct("hw_ts", "hw_seq")).alias("hw"), F.max("commit").alias("commit")
-        ).first()
-        return None if row["commit"] is None else (row["hw"]["hw_ts"], row["hw"]["hw_seq"], int(row["commit"]))
-
-    def _paths(self, spark: SparkSession) -> list[str]:
-        """The newest base and the deltas since: as many as there are commits between two compactions."""
-        led = self.ledger(spark)
-        if led is None:
-            return []
-        start = self.last_commit(spark, "base")
-        live = led.where((F.col("commit") > start) & (F.col("kind") == "delta") | (F.col("commit") == start) & (F.col("kind") == "base"))
-        return sorted(r["path"] for r in live.select("path").collect())
-
-    def current(self, spark: SparkSession, schema=None) -> DataFrame | None:
-        paths = self._paths(spark)
+        """(hw_ts, hw_seq) over all committed changes, or None."""
+        hw = self.state(spark).high_water
+        return None if hw is None else (dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=hw[0]), hw[1])
+
+    def current(self, spark: SparkSession, schema=None, state: State | None = None) -> DataFrame | None:
+        paths = (state or self.state(spark)).paths()
         if not paths:
             return None
         reader = spark.read if schema is None else spark.read.schema(schema)
@@ -111,38 +170,48 @@ def latest_per_key(changes: DataFrame, key: str, ts_col: str, seq_col: str) -> D
     return latest(changes, key, [ts_col, seq_col])
 
 
-def _commit(spark: SparkSession, target: SyncTarget, stream: str, epoch: int, kind: str, path: str, n: int, hw) -> None:
-    number = target.last_commit(spark) + 1
-    row = spark.createDataFrame([(number, stream, epoch, kind, path, n, hw[0], hw[1])], ROW_SCHEMA)
-    row.coalesce(1).withColumn("committed_at", F.current_timestamp()).write.mode("append").parquet(target.ledger_path)
+def _commit(spark: SparkSession, target: SyncTarget, after: int, entry: dict) -> int:
+    """Publish a ledger entry under the first free number beyond ``after``."""
+    number = after + 1
+    while True:
+        now = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
+        if storage.publish(spark, target.entry_path(number), json.dumps({"commit": number, "committed_us": now, **entry}) + "\n"):
+            return number
+        number += 1
 
 
-def apply_changes(spark: SparkSession, target: SyncTarget, batch: DataFrame, epoch: int, stream: str = BATCH) -> int:
+def apply_changes(spark: SparkSession, target: SyncTarget, batch: DataFrame, epoch: int, stream: str = BATCH, state: State | None = None) -> int:
     """Commit one epoch of a stream's changes (idempotent per stream and epoch). Returns keys changed."""
-    if target.committed(spark, stream, epoch):
+    state = state or target.state(spark)
+    if state.has(stream, epoch):
         return 0
     changes = latest_per_key(batch, target.key, target.ts_col, target.seq_col)
     path = os.path.join(target.root, "delta", f"{stream}-{epoch}")
     changes.write.mode("overwrite").parquet(path)
-    written = spark.read.parquet(path)
-    stats = written.agg(F.count("*").alias("n"), F.max(F.struct(target.ts_col, target.seq_col)).alias("hw")).first()
+    us = F.coalesce(F.unix_micros(F.col(target.ts_col).cast("timestamp")), F.lit(NO_TIME))
+    mark = F.struct(us, F.coalesce(F.col(target.seq_col).cast("bigint"), F.lit(0)))
+    stats = spark.read.schema(changes.schema).parquet(path).agg(F.count("*").alias("n"), F.max(mark).alias("hw")).first()
     n = int(stats["n"])
     if n == 0:
         return 0
-    _commit(spark, target, stream, epoch, "delta", path, n, (stats["hw"][0], stats["hw"][1]))
+    _commit(spark, target, state.commit, {"stream": stream, "epoch": epoch, "kind": "delta", "path": path, "n_changes": n, "hw_us": stats["hw"][0], "hw_seq": stats["hw"][1]})
     return n
 
 
 def compact(spark: SparkSession, target: SyncTarget) -> str | None:
-    """Fold the base and the deltas since into a new base (None if there are no deltas since)."""
-    hw = target.high_water(spark)
-    if hw is None or target.last_commit(spark, "base") > hw[2]:
+    """Fold the base and the deltas since into a new base (None if there are no deltas since).
+
+    The base covers the commits that were there when it began; later ones stay its deltas.
+    """
+    state = target.state(spark)
+    if not state.deltas:
         return None
-    cur = target.current(spark)
-    number = target.last_commit(spark) + 1
-    path = os.path.join(target.root, "base", str(number))
-    cur.write.mode("overwrite").parquet(path)
-    _commit(spark, target, "base", number, "base", path, spark.read.parquet(path).count(), (hw[0], hw[1]))
+    path = os.path.join(target.root, "base", f"{state.commit}-{uuid.uuid4().hex[:8]}")
+    target.current(spark, state=state).write.parquet(path)
+    us, seq = state.high_water
+    entry = {"stream": "base", "epoch": state.commit, "kind": "base", "path": path, "n_changes": spark.read.parquet(path).count(), "hw_us": us, "hw_seq": seq}
+    _commit(spark, target, state.commit, {**entry, "upto": state.commit, "epochs": state.epochs})
+    storage.replace(spark, os.path.join(target.ledger_path, "_newest"), json.dumps({"start": state.commit + 1}))
     return path
 
 
@@ -152,12 +221,13 @@ def sync_once(spark: SparkSession, target: SyncTarget, changes: DataFrame) -> in
     A change counts if its key is new or if it comes after the key's current row, so late changes of other
     keys than those that moved the high-water mark aren't lost.
     """
-    have = target.current(spark)
+    state = target.state(spark)
+    have = target.current(spark, state=state)
     if have is not None:
         seen = have.select(F.col(target.key).alias("_key"), F.struct(target.ts_col, target.seq_col).alias("_seen"))
         newer = F.struct(F.col(target.ts_col), F.col(target.seq_col)) > F.col("_seen")
         changes = changes.join(seen, F.col(target.key).eqNullSafe(F.col("_key")), "left").where(F.col("_seen").isNull() | newer).drop("_key", "_seen")
-    return apply_changes(spark, target, changes, target.next_epoch(spark, BATCH))
+    return apply_changes(spark, target, changes, state.next_epoch(BATCH), state=state)
 
 
 def start_sync_stream(

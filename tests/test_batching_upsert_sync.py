@@ -204,3 +204,104 @@ def test_jobs_with_more_batches_than_the_key_stay_apart(spark, monkeypatch):
     monkeypatch.setattr(q, "JOB_KEY", 2)  # three batches a job: job 0's last number is job 1's first
     rows = q.booked(src).collect()
     assert sorted((r["job_id"], r["label"], r["batch_id"], r["raw_bytes"]) for r in rows) == [(f"job-ns{k}", k, n, 512) for k in (0, 1) for n in range(3)]
+
+
+def test_null_groups_and_orders_keep_their_running_sums_and_ranks(spark):
+    from embedflow.operators import progress
+
+    rows = [(g, k, float(k)) for g in ("a", None) for k in range(10)]
+    df = spark.createDataFrame(rows, "g string, k bigint, v double")
+    got = progress.running_sum(df, "g", "k", ["v"], chunk=4).collect()
+    assert sorted((r["g"] or "", r["k"], r["cum_v"]) for r in got) == sorted((g or "", k, float(sum(range(k + 1)))) for g, k, _ in rows)
+    ranks = {r["g"]: (r["n"], r["p50"], r["p99"]) for r in progress.nearest_rank(df, "g", "v", [50, 99]).collect()}
+    assert ranks == {"a": (10, 5.0, 9.0), None: (10, 5.0, 9.0)}
+
+
+def test_null_ids_are_one_id_for_reconcile_and_upserts(spark):
+    a, _ = make_records(spark, 6, 4, 1)
+    a = a.withColumn("id", F.when(F.col("id") != "v0003", F.col("id")))
+    status = lambda s, t: {r["id"]: r["status"] for r in R.reconcile(s, t).collect()}
+    assert set(status(a, a).values()) == {"match"} and len(status(a, a)) == 6
+    moved = a.withColumn("vector", F.when(F.col("id").isNull(), F.transform("vector", lambda x: x + 1)).otherwise(F.col("vector")))
+    assert status(a, moved)[None] == "vector_differs"
+    assert status(a, a.where("id is not null"))[None] == "missing" and status(a.where("id is not null"), a)[None] == "extra"
+    twice = a.unionByName(a.where("id is null"))
+    assert status(twice, a)[None] == "duplicate" and R.one_row_per_id(twice).count() == 6
+    for upsert in (U.upsert_replace, U.upsert_vector_only):
+        out = upsert(a, moved)
+        assert out.count() == 6 and status(moved, out.select("id", "vector", "metadata"))[None] == "match"
+
+
+def test_a_commit_between_a_compaction_s_read_and_its_entry_is_kept(spark, monkeypatch):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    target = sync.SyncTarget(scratch_path(spark, "t-race"), "id", "updated_at", "seq")
+    for k in range(3):
+        sync.apply_changes(spark, target, _changes(spark, [(f"k{k}", k, t, float(k))]), k)
+    real, meanwhile = sync._commit, []
+
+    def slow(s, tgt, after, entry):
+        if entry["kind"] == "base" and not meanwhile:
+            meanwhile.append(1)
+            assert sync.apply_changes(s, tgt, _changes(s, [("late", 9, t, 9.0)]), 0, "other") == 1
+        return real(s, tgt, after, entry)
+
+    monkeypatch.setattr(sync, "_commit", slow)
+    assert sync.compact(spark, target) is not None
+    want = {"k0": 0.0, "k1": 1.0, "k2": 2.0, "late": 9.0}
+    assert {r["id"]: r["value"] for r in target.current(spark).collect()} == want
+    state = target.state(spark)
+    assert (state.commit, state.upto, len(state.deltas)) == (4, 2, 1) and state.has("other", 0) and state.has(sync.BATCH, 2)
+    assert sync.compact(spark, target) is not None and sync.compact(spark, target) is None
+    assert {r["id"]: r["value"] for r in target.current(spark).collect()} == want
+    assert sync.apply_changes(spark, target, _changes(spark, [("late", 10, t, 0.0)]), 0, "other") == 0  # behind a base, still known
+
+
+def test_writers_never_share_a_commit_number(spark):
+    """Two streams and two compactions that begin from the same state."""
+    import datetime as dt
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = dt.datetime(2024, 1, 1)
+    target = sync.SyncTarget(scratch_path(spark, "t-two"), "id", "updated_at", "seq")
+    sync.apply_changes(spark, target, _changes(spark, [("a", 0, t, 0.0)]), 0, "s0")
+
+    def stream(name):
+        for epoch in range(1, 4):
+            sync.apply_changes(spark, target, _changes(spark, [(f"{name}-{epoch}", epoch, t, 1.0)]), epoch, name)
+
+    with ThreadPoolExecutor(4) as pool:
+        for done in [pool.submit(stream, "s0"), pool.submit(stream, "s1"), pool.submit(sync.compact, spark, target), pool.submit(sync.compact, spark, target)]:
+            done.result()
+    commits = [r["commit"] for r in target.ledger(spark).collect()]
+    assert sorted(commits) == list(range(len(commits)))
+    assert {r["id"] for r in target.current(spark).collect()} == {"a", *(f"s{i}-{e}" for i in (0, 1) for e in range(1, 4))}
+
+
+def test_an_epoch_reads_the_ledger_from_the_last_base_on(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    target = sync.SyncTarget(scratch_path(spark, "t-prune"), "id", "updated_at", "seq")
+    for k in range(5):
+        sync.apply_changes(spark, target, _changes(spark, [("a", k, t, float(k))]), k)
+    sync.compact(spark, target)
+    entries = target._entries(spark, 5)
+    assert [r["kind"] for r in entries.collect()] == ["base"]
+    assert target.state(spark).epochs == {sync.BATCH: [[0, 4]]} and target.next_epoch(spark, sync.BATCH) == 5
+    assert target.high_water(spark) == (t, 4)
+
+
+def test_publish_is_once_and_whole(spark):
+    import os
+
+    from embedflow import storage
+
+    root = scratch_path(spark, "t-pub")
+    path = os.path.join(root, "sub", "x.json")
+    assert storage.read_text(spark, path) is None
+    assert storage.publish(spark, path, "one") and not storage.publish(spark, path, "two")
+    assert storage.read_text(spark, path) == "one" and os.listdir(os.path.dirname(path)) == ["x.json"]
+    storage.replace(spark, path, "three")
+    assert storage.read_text(spark, path) == "three"
