@@ -62,6 +62,18 @@ def make_probes(spark: SparkSession, n_probes: int, dim: int, seed: str = PROBE_
     )
 
 
+def data_probes(data: DataFrame, every: int, id_col: str = "id") -> DataFrame:
+    """probe_id BIGINT, probe ARRAY<DOUBLE>: the vectors whose whole-number id divides by ``every``.
+
+    Ids that are no number, null and empty vectors make no probe; of an id that stands several times, the
+    smallest vector does.
+    """
+    number = F.col(id_col).cast("string").try_cast("bigint")
+    picked = data.select(number.alias("probe_id"), F.col("vector").cast("array<double>").alias("probe"))
+    picked = picked.where((F.col("probe_id") % every == 0) & (F.size("probe") > 0))
+    return picked.groupBy("probe_id").agg(F.min("probe").alias("probe"))
+
+
 def _probe_blocks(probes: DataFrame):
     """(ids, matrix) of the probes, in blocks of at most MAX_PROBE_CELLS values.
 

@@ -27,13 +27,14 @@ BATCHED_SQL = (
 SINCE = "2024-01-15 00:00:00"
 
 
-def canon_out(df: DataFrame) -> DataFrame:
+def canon_out(df: DataFrame, *others: str) -> DataFrame:
     return df.select(
         "id",
         F.size("vector").alias("dim"),
         V.fingerprint("vector").alias("fp"),
         F.try_element_at("metadata", F.lit("label")).alias("meta_label"),
         "namespace",
+        *others,
     )
 
 
