@@ -7,7 +7,8 @@ state of the stream's own.  Of a key's rows in one trigger the latest is an ``in
 only the best so far is held, so a key may have any number of rows in a trigger.
 
 The state lives in the checkpoint, so it survives restarts; with ``ttl_ms`` it expires that long after a
-key's last change, and the key's next change is an insert again.
+key's last change, and the key's next change is an insert again.  A query with a TTL makes empty batches on
+its own to expire state, so ``processAllAvailable`` does not return on it; stop it instead.
 """
 
 from __future__ import annotations
