@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,8 @@ WORD_BUCKETS, SOURCE_BUCKETS, LANG_BUCKETS = 1 << 16, 1 << 12, 1 << 8
 ITERATIONS, TOLERANCE, REGULARISATION = 25, 1e-4, 1e-3
 #: Earlier steps that L-BFGS looks back on, and weights in a row of partial gradients.
 MEMORY, CHUNK = 6, 4096
+#: Rows that are unpacked at a time, and those that a task adds up at least before its partial gradient is shuffled.
+UNPACKED_ROWS, SUMMED_ROWS = 1024, 1 << 14
 #: Up to so many labels are broadcast (some 20 MB); more are joined by a shuffle.
 SMALL_LABELS = 1_000_000
 THRESHOLD = 0.5
@@ -121,7 +124,7 @@ class Model:
         if self.view == "text":
             bucket = np.frombuffer(b"".join(a.to_pylist()), "<u2").astype(np.int64)
             value = np.frombuffer(b"".join(b.to_pylist()), np.uint8) / _LOG_STEPS
-            row = np.repeat(np.arange(n), [len(x.as_py()) for x in b])
+            row = np.repeat(np.arange(n), pc.binary_length(b).to_numpy())
         else:
             bucket = np.column_stack([a.to_numpy(), b.to_numpy() + SOURCE_BUCKETS]).ravel().astype(np.int64)
             value, row = np.ones(2 * n), np.repeat(np.arange(n), 2)
@@ -147,6 +150,13 @@ class Model:
         return float(weight @ (np.logaddexp(0, odds) - y * odds)), gradient
 
 
+def _unpackable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few rows, since a row's entries take many times its packed size."""
+    for batch in batches:
+        for i in range(0, len(batch), UNPACKED_ROWS):
+            yield batch.slice(i, UNPACKED_ROWS)
+
+
 def _lesson(batch: pa.RecordBatch, teacher: Model | None, confidence: float) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
     """The rows to learn from, their labels and weights: labelled rows, and those of which the teacher is sure."""
     y = batch.column(batch.schema.get_field_index("label")).to_numpy(zero_copy_only=False).astype(float)
@@ -166,7 +176,7 @@ def _summed(data: DataFrame, student: Model, teacher: Model | None, confidence:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loss, total, gradient = 0.0, 0.0, np.zeros(chunks * CHUNK)
-        for batch in batches:
+        for batch in _unpackable(batches):
             rows, y, weight = _lesson(batch, teacher, confidence)
             if len(y):
                 more, slope = student.loss(rows, y, weight)
@@ -247,10 +257,9 @@ def _scored(data: DataFrame, models: dict[str, Model]) -> DataFrame:
     schema = T.StructType([src.schema["id"], src.schema["label"], src.schema["held"], *(T.StructField(v, T.DoubleType()) for v in VIEWS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch):
-                odds = [pa.array(models[v].odds(batch)) for v in VIEWS]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *odds], names=["id", "label", "held", *VIEWS])
+        for batch in _unpackable(batches):
+            odds = [pa.array(models[v].odds(batch)) for v in VIEWS]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *odds], names=["id", "label", "held", *VIEWS])
 
     return src.mapInArrow(run, schema)
 
@@ -299,7 +308,8 @@ def score(
     if len(seen) < 4:
         flat = F.lit(prior)
         return data.select("id", flat.alias("text_score"), flat.alias("metadata_score"), flat.alias("quality_score"))
-    learn, untaught = data.where("NOT held"), _untaught(data)
+    learn = data.coalesce(-(-data.count() // SUMMED_ROWS)).where("NOT held")
+    untaught = _untaught(data)
     models = {v: _taught(learn, untaught[v], None, confidence, iterations, tolerance) for v in VIEWS}
     for _ in range(rounds):
         models = {v: _taught(learn, models[v], models[teacher], confidence, iterations, tolerance) for v, teacher in zip(VIEWS, reversed(VIEWS))}
