@@ -17,6 +17,7 @@ need before numbering: all of them are written and shuffled once.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,8 @@ def number_rows(df: DataFrame, order: list[str], n_ranges: int | None = None, st
         run += r["count"]
     if stats is not None:
         stats.update(rows=run, ranges=n)
-    starts = spark.createDataFrame(first, "_pid int, _first bigint")
+    pids, firsts = zip(*first) if first else ((), ())  # an Arrow table: of a list, createDataFrame makes a job in Python workers
+    starts = spark.createDataFrame(pa.table({"_pid": pa.array(pids, pa.int32()), "_first": pa.array(firsts, pa.int64())}))
     numbered = pinned.join(F.broadcast(starts), "_pid")  # n_ranges rows
     return numbered.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_first") + F.col("_local")).alias("rn"))
 

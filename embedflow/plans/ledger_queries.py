@@ -9,6 +9,7 @@ Times are epoch seconds from a fixed start so results are reproducible.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,7 +80,8 @@ def accounts(spark, sf_dir) -> DataFrame:
 
 
 def plans(spark) -> DataFrame:
-    return spark.createDataFrame(PLANS, "plan string, dwv_limit bigint")
+    names, limits = zip(*PLANS)
+    return spark.createDataFrame(pa.table({"plan": pa.array(names), "dwv_limit": pa.array(limits, pa.int64())}))  # no Python workers
 
 
 def jobs(spark, sf_dir) -> DataFrame:
