@@ -19,6 +19,7 @@ big frames with ``spark.sql.execution.arrow.maxBytesPerBatch``.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -269,6 +270,11 @@ def pack_binary_splits(df: DataFrame, batch_size: int) -> DataFrame:
     return _pack_splits(rows, batch_size, lambda bid, ids, vecs, metas, spaces: pack_binary(ids, vecs))
 
 
+def _one_by_one(column: pa.Array) -> Iterator[bytes | None]:
+    """The frames of an Arrow column, each as it is asked for: a task has no second copy of all of them."""
+    return (frame.as_py() for frame in column)
+
+
 def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     """Sealed frames → batch_id, pos, id, vector, meta_json, namespace, verified (one verdict per frame)."""
     names = [f.name for f in ROWS_SCHEMA.fields]
@@ -276,7 +282,7 @@ def unseal_batches(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     def unpack(batches):
         for b in batches:
             bids, poss, ids, vecs, metas, spaces, oks = [], [], [], [], [], [], []
-            for data in b.column("frame").to_pylist():
+            for data in _one_by_one(b.column("frame")):
                 bid, fids, fvecs, fmetas, fspaces, ok = unpack_sealed(data, seed)
                 n = len(fids)
                 bids += [bid] * n
@@ -317,7 +323,8 @@ def receive(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     def check(batches):
         for b in batches:
             rows = []
-            for bid, count, dim, data in zip(*(b.column(c).to_pylist() for c in ("batch_id", "count", "dim", "frame"))):
+            heads = (b.column(c).to_pylist() for c in ("batch_id", "count", "dim"))
+            for bid, count, dim, data in zip(*heads, _one_by_one(b.column("frame"))):
                 try:
                     _, ids, _, _, _, ok = unpack_sealed(data, seed)
                 except FrameError:
