@@ -2,7 +2,7 @@
 
 from embedflow.operators import batching
 from embedflow.plans import ledger_queries
-from tests.conftest import make_records
+from tests.conftest import SF_SMALL, make_records
 
 
 def _plan(df):
@@ -17,3 +17,7 @@ def test_small_tables_make_no_python_job(spark):
     assert [r["rn"] for r in numbered.orderBy("id").collect()] == list(range(40))
     assert batching.number_rows(df.where("id < ''"), ["id"]).count() == 0
     assert [tuple(r) for r in ledger_queries.plans(spark).collect()] == ledger_queries.PLANS
+
+
+def test_latest_report_reads_no_list_through_python(spark):
+    assert "ExistingRDD" not in _plan(ledger_queries.latest_report(spark, SF_SMALL))
