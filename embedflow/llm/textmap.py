@@ -13,8 +13,7 @@ from pyspark.sql import types as T
 #: Rows and bytes after which a partial output batch is handed back to Spark.
 OUT_ROWS, OUT_BYTES = 2048, 4 << 20
 #: White space that divides words: space, tab to carriage return.
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_TO_SPACE = bytes(0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
 
 
 def held(columns: Iterable[str]):
@@ -73,16 +72,17 @@ def ragged_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(bytes, ends, counts)``: all words, each with one space behind it; where each ends; words of each text."""
-    buf = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    space = _SPACE[buf]
+    buf = np.frombuffer((b" ".join(texts) + b" ").translate(_TO_SPACE), np.uint8)
+    space = buf == 0x20
     closes = space.copy()
     closes[0] = False
     closes[1:] &= ~space[:-1]
     at = np.flatnonzero(closes)
     limits = np.cumsum([len(x) + 1 for x in texts])
     counts = np.diff(np.searchsorted(at, limits, "left"), prepend=0)
+    if len(at) == np.count_nonzero(space):
+        return buf, at + 1, counts
     kept = buf[~space | closes]
-    kept[_SPACE[kept]] = 0x20
     return kept, np.flatnonzero(kept == 0x20) + 1, counts
 
 

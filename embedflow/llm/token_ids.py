@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from .textmap import map_text_groups, ragged_index, split_words
 
-#: Bytes of text whose chunks share a dictionary, and words whose ids a worker remembers.
-GROUP_BYTES, REMEMBERED = 8 << 20, 250_000
+#: Bytes of text whose chunks share a dictionary, words whose ids a worker remembers, and words in a line for the library.
+GROUP_BYTES, REMEMBERED, LINE = 8 << 20, 750_000, 64
 #: The normaliser's steps and the pre-tokenizer's pattern with which chunks between spaces are independent.
 NORMALIZERS = {"NFC", "Lowercase", "Replace"}
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -63,34 +63,42 @@ class Encoder:
         if self.chunks:
             self.words = Tokenizer(self.full.model)
             self.words.pre_tokenizer = pre_tokenizers.Sequence(
-                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+                [pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
             )
             vocab = parsed["model"]["vocab"]
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for t, i in vocab.items() if t.endswith(END_OF_WORD)]] = True
             base = pre_tokenizers.ByteLevel.alphabet()
             self.chunks = all(c in vocab and c + END_OF_WORD in vocab for c in base)  # else unknown bytes leave no id
-        self.known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the remembered words: their numbers, and the ids of all of them, one after another."""
+        self.known: dict[str, int] = {}
+        self.ids, self.stop = np.zeros(0, "<u4"), np.zeros(1, np.int64)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         done = self.full.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in done]
 
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words of lower-case letters."""
+    def _letters(self, words: list[str]) -> np.ndarray:
+        """The remembered words' numbers of distinct words of lower-case letters; new ones are encoded."""
         got = list(map(self.known.get, words))
-        new = [w for w, ids in zip(words, got) if ids is None]
+        new = [w for w, k in zip(words, got) if k is None]
+        if self.known and len(self.known) + len(new) > REMEMBERED:
+            self.forget()
+            got, new = [None] * len(words), words
         if new:
-            lines = self.words.encode_batch_fast([" ".join(new[i : i + 512]) for i in range(0, len(new), 512)], add_special_tokens=False)
+            lines = self.words.encode_batch_fast([" ".join(new[i : i + LINE]) for i in range(0, len(new), LINE)], add_special_tokens=False)
             ids = np.concatenate([np.array(e.ids, "<u4") for e in lines])
             stop = np.flatnonzero(self.ends[ids]) + 1
-            data, cuts = ids.tobytes(), [0, *(4 * stop).tolist()]
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-            made = dict(zip(new, (data[a:b] for a, b in zip(cuts[:-1], cuts[1:])), strict=True))
-            self.known.update(made if len(made) <= REMEMBERED else {})
-            got = [made[w] if ids is None else ids for w, ids in zip(words, got)]
-        return got
+            first = len(self.known)
+            self.known.update(zip(new, range(first, first + len(stop)), strict=True))
+            self.stop = np.concatenate([self.stop, len(self.ids) + stop])
+            self.ids = np.concatenate([self.ids, ids])
+            more = iter(range(first, first + len(stop)))
+            got = [next(more) if k is None else k for k in got]
+        return np.array(got, np.int64)
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, counts)``: the ids of all texts, and how many each has.  None counts as empty."""
@@ -116,16 +124,23 @@ class Encoder:
         if odd:
             atoms += self._whole(odd)
         good = parts.filter(pa.array(plain))
-        for k, (name, make) in enumerate((("lead", self._whole), ("word", self._letters), ("trail", self._whole))):
-            text = good.field(name)
-            part = (pc.utf8_lower(text) if name == "word" else text).dictionary_encode()
+        for k, name in ((0, "lead"), (2, "trail")):
+            part = good.field(name).dictionary_encode()
             index[plain, k] = len(atoms) + part.indices.to_numpy().astype(np.int64)
             if len(part.dictionary):
-                atoms += make(part.dictionary.to_pylist())
-        size = np.fromiter(map(len, atoms), np.int64, len(atoms)) // 4
-        start = np.cumsum(size) - size
+                atoms += self._whole(part.dictionary.to_pylist())
+        part = pc.utf8_lower(good.field("word")).dictionary_encode()
+        numbers = self._letters(part.dictionary.to_numpy(zero_copy_only=False).tolist())
+        index[plain, 1] = len(atoms) + numbers[part.indices.to_numpy()]
+        # The atoms' ids, then the remembered words'.
+        stop = np.concatenate([np.cumsum(np.fromiter(map(len, atoms), np.int64, len(atoms))) // 4, self.stop[1:]])
+        stop[len(atoms) :] += stop[len(atoms) - 1]
+        size = np.diff(stop, prepend=0)
+        of_atoms = np.concatenate([np.frombuffer(b"".join(atoms), "<u4"), self.ids])
+        if len(self.known) > REMEMBERED or len(self.ids) > 16 * REMEMBERED:
+            self.forget()
         flat = index.ravel()
-        ids = np.frombuffer(b"".join(atoms), "<u4")[ragged_index(start[flat], size[flat])]  # of the distinct chunks
+        ids = of_atoms[ragged_index((stop - size)[flat], size[flat])]  # of the distinct chunks
         size = size[index].sum(axis=1)
         start = np.cumsum(size) - size
         at = every.indices.to_numpy().astype(np.int64)

@@ -43,6 +43,39 @@ def test_chunks_give_the_ids_of_the_whole_text():
         assert got == whole([x or "" for x in group])
 
 
+def test_known_words_are_not_encoded_again():
+    letters = "abcdefghijklmnopqrstuvwxyzéñ"
+    words = ["".join(letters[i // 28**k % 28] for k in range(4)) for i in range(300_000)]
+    texts = [" ".join(words[i : i + 1000]) + "\n" for i in range(0, len(words), 1000)]
+    with open(PATH, encoding="utf-8") as f:
+        encoder = token_ids.Encoder(f.read())
+    first = encoder.encode([x.encode() for x in texts])
+    new, encode = [], encoder.words.encode_batch_fast
+
+    class Counting:
+        def encode_batch_fast(self, lines, **options):
+            new.extend(lines)
+            return encode(lines, **options)
+
+    encoder.words = Counting()
+    again = encoder.encode([x.encode() for x in texts])
+    assert not new and (first[0] == again[0]).all() and (first[1] == again[1]).all()
+    cuts = np.cumsum(first[1])
+    assert [first[0][b - n : b].tolist() for b, n in zip(cuts[:20], first[1])] == whole(texts[:20])
+
+
+def test_words_are_forgotten_and_encoded_again(monkeypatch):
+    monkeypatch.setattr(token_ids, "REMEMBERED", 50)
+    rng = random.Random(5)
+    with open(PATH, encoding="utf-8") as f:
+        encoder = token_ids.Encoder(f.read())
+    for n in (5, 20, 20, 60, 200, 3, 20):
+        texts = [" ".join(rng.choice("abcdé") * rng.randrange(1, 9) + rng.choice("xyzñ") for _ in range(n)), hostile(rng)]
+        ids, counts = encoder.encode([x.encode() for x in texts])
+        assert [ids[: counts[0]].tolist(), ids[counts[0] :].tolist()] == whole(texts)
+        assert len(encoder.known) <= 50 and len(encoder.stop) == len(encoder.known) + 1 and encoder.stop[-1] == len(encoder.ids)
+
+
 def test_other_tokenizers_encode_whole_texts():
     import public_tokenizers
 
@@ -134,6 +167,18 @@ def test_files_round_trip(spark, tmp_path, monkeypatch):
         assert b"".join(p for _, p in pieces) == stream[4 * first : 4 * (first + count)]
 
 
+def test_ranges_are_found_without_python(spark, tmp_path, monkeypatch):
+    plans, blocks = [], token_files._blocks
+
+    def seen(spread, *more):
+        plans.append(spread._jdf.queryExecution().executedPlan().toString())
+        return blocks(spread, *more)
+
+    monkeypatch.setattr(token_files, "_blocks", seen)
+    token_files.TokenFiles(spark, str(tmp_path / "seen")).write(token_ids.tokenised(docs(spark, ["a b", "c"], [1, 0]), PATH), F.col("carry.doc_id"))
+    assert len(plans) == 1 and "rangepartitioning" in plans[0] and "MapInArrow" not in plans[0]
+
+
 def test_odd_rows(spark, tmp_path):
     rows = odd(spark)
     files = token_files.TokenFiles(spark, str(tmp_path / "odd"))
