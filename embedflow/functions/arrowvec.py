@@ -1,4 +1,8 @@
-"""Arrow helpers for Python stages: vector columns as numpy matrices without per-row objects."""
+"""Arrow helpers for Python stages: vector columns as numpy matrices without per-row objects.
+
+``numbers``, ``column`` and ``binary`` go by buffers: ``to_numpy`` and ``pa.array`` import pandas, which takes some 40 MB
+in every Python worker.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +11,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+def numbers(arr: pa.Array) -> np.ndarray:
+    """A numeric array as numpy; with nulls, as ``to_numpy`` gives it."""
+    return arr.to_numpy(zero_copy_only=False) if arr.null_count else np.from_dlpack(arr)
+
+
+def column(values: np.ndarray) -> pa.Array:
+    """Numbers as an Arrow array."""
+    return pa.Array.from_buffers(pa.from_numpy_dtype(values.dtype), len(values), [None, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def binary(values: list[bytes], kind: pa.DataType | None = None) -> pa.Array:
+    """Bytes as a binary array, or as a string array."""
+    offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.Array.from_buffers(kind or pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(values))])
+
+
 def list_lengths(arr: pa.Array) -> np.ndarray:
     """Lengths of a list<...> array (-1 for NULL rows)."""
-    lens = pc.list_value_length(arr).to_numpy(zero_copy_only=False)
+    lens = numbers(pc.list_value_length(arr))
     return np.where(np.isnan(lens.astype(float)), -1, lens).astype(np.int64) if arr.null_count else lens.astype(np.int64)
 
 

@@ -95,11 +95,11 @@ def flat_floats(arr) -> tuple[np.ndarray, np.ndarray]:
     """A list array's values as one float32 array, and the offsets of its rows (sliced or with nulls as well)."""
     import pyarrow as pa
 
-    from .arrowvec import list_lengths
+    from .arrowvec import list_lengths, numbers
 
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
-    flat = arr.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+    flat = numbers(arr.flatten()).astype(np.float32, copy=False)
     return flat, np.r_[0, np.cumsum(np.maximum(list_lengths(arr), 0))]
 
 

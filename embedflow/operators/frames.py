@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrowvec import binary, column
 from ..functions.digest import DIGEST_SEED, batch_digest_from_rows, flat_floats, meta_json, row_digests_matrix, row_messages_digest
 
 # Sealed-frame magic and header sizes.
@@ -196,11 +197,11 @@ def seal_batches(batched: DataFrame, seed: str = DIGEST_SEED, job: str | None =
         frame = pack_sealed(bid, ids, vecs, metas, spaces, seed, rds)
         return pa.table(
             {
-                "batch_id": pa.array([bid], pa.int64()),
-                "count": pa.array([len(ids)], pa.int32()),
-                "dim": pa.array([len(vecs[0]) if vecs else 0], pa.int32()),
-                "digest": pa.array([frame[20:SEALED_HEADER].hex()], pa.string()),
-                "frame": pa.array([frame], pa.binary()),
+                "batch_id": column(np.array([bid], np.int64)),
+                "count": column(np.array([len(ids)], np.int32)),
+                "dim": column(np.array([len(vecs[0]) if vecs else 0], np.int32)),
+                "digest": binary([frame[20:SEALED_HEADER].hex().encode()], pa.string()),
+                "frame": binary([frame]),
                 **{c: table.column(c).slice(0, 1) for c in by},
             }
         )
@@ -323,15 +324,14 @@ def receive(frames: DataFrame, seed: str = DIGEST_SEED) -> DataFrame:
     def check(batches):
         for b in batches:
             rows = []
-            heads = (b.column(c).to_pylist() for c in ("batch_id", "count", "dim"))
-            for bid, count, dim, data in zip(*heads, _one_by_one(b.column("frame"))):
+            for data in _one_by_one(b.column("frame")):
                 try:
                     _, ids, _, _, _, ok = unpack_sealed(data, seed)
                 except FrameError:
                     ids, ok = [], False
-                rows.append((bid, dim, count, len(ids), len(ids) if ok else 0, len(data)))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            told = [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)]
+                rows.append((len(ids), len(ids) if ok else 0, len(data)))
+            heads = [b.column(c).cast(t) for c, t in (("batch_id", pa.int64()), ("dim", pa.int32()), ("count", pa.int64()))]
+            told = [*heads, *map(column, np.array(rows, np.int64).reshape(-1, 3).T)]
             yield pa.RecordBatch.from_arrays([*told, *(b.column(c) for c in by)], names=names)
 
     return frames.select("batch_id", "count", "dim", "frame", *by).mapInArrow(check, schema)
