@@ -45,13 +45,17 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text's very bytes."""
+    """Token ids of every document, and whether they decode to its text's very bytes.
+
+    The ids are written and read again before they are decoded: an encoding and a decoding task are then
+    not up at once, so an executor has one Python worker a core and not two.
+    """
     ship_package(spark)
     vocab = vocabulary(spark)
     known = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
     kept = ["doc_id", "lang", "source", "n_chars", "text_sha256"]
     encoded = bpe.encode(known, vocab, carry=kept)
-    named = encoded.withColumn("packed", F.col("ids"))
+    named = written(encoded, "token-ids").withColumn("packed", F.col("ids"))
     decoded = bpe.decode(named, vocab, "ids", carry=[*kept, "packed", "n_tokens", "ids_sha256"])
     round_trip = (F.sha2("bytes", 256) == F.col("text_sha256")).alias("round_trip")
     return decoded.select("doc_id", "lang", "source", "n_chars", F.col("packed").alias("ids"), "n_tokens", "ids_sha256", round_trip)

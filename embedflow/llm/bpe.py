@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 
 from .textmap import map_text
 
-#: Pre-tokens whose ids a task remembers before it starts anew.
-MEMO = 500_000
+#: Pre-tokens in a generation of those whose ids a worker remembers; it holds the last two.
+MEMO = 1 << 17
 #: Pre-tokens of one text handled at a time.
 CHUNK = 1 << 16
 #: Characters beyond which a text is split piecemeal.
@@ -117,6 +117,7 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.hash, self.ranks, self.pattern = PerfectHash(ranks), ranks, pattern
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.tokens: dict[int, bytes] = {i: t for t, i in ranks.items()}
 
     def merge(self, piece: bytes) -> list[int]:
@@ -153,11 +154,17 @@ class Vocabulary:
         return ids
 
     def packed(self, piece: str) -> bytes:
-        """:meth:`merge`, packed, and remembered if the piece is short."""
-        ids = self.merge(piece.encode("utf-8", "replace"))
-        out = struct.pack(f"<{len(ids)}I", *ids)
+        """:meth:`merge`, packed, and remembered if the piece is short.
+
+        A full generation becomes the older one, so pieces that come again and again are never forgotten.
+        """
+        out = self.older.get(piece)
+        if out is None:
+            ids = self.merge(piece.encode("utf-8", "replace"))
+            out = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             if len(self.memo) >= MEMO:
+                self.older = self.memo.copy()
                 self.memo.clear()
             self.memo[piece] = out
         return out

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrowvec import built
+
 #: Rows and bytes after which a partial output batch is handed back to Spark.
 OUT_ROWS, OUT_BYTES = 2048, 4 << 20
 #: White space that divides words: space, tab to carriage return.
@@ -32,7 +34,7 @@ def map_text(
     """``struct carry`` (the named columns, untouched) plus ``out``, one row per input row.
 
     ``make()`` runs once per task and returns ``fn(raw) -> tuple`` of ``out``'s values; raw is the value's
-    bytes (UTF-8 for text) or None.  Carried columns travel inside one struct, so none of their names can
+    bytes (UTF-8 for text) or None.  A worker needs no pandas for it.  Carried columns travel inside one struct, so none of their names can
     clash with ``out``'s.
     """
     src = df.select(held(carry).alias("carry"), F.col(f"`{value}`").alias("value"))
@@ -49,7 +51,7 @@ def map_text(
             done, rows, size = 0, [], 0
 
             def flush(upto):
-                cols = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)]
+                cols = [built([r[i] for r in rows], t) for i, t in enumerate(types)]
                 return pa.RecordBatch.from_arrays([carried.slice(done, upto - done), *cols], names=names)
 
             for i in range(len(raw)):

@@ -93,3 +93,19 @@ def test_memo_limit_keeps_results(vocab, library, monkeypatch):
     for word in ["zzqx", "qqzzy", "xxzzw", "zzqx"]:
         assert list(struct.unpack(f"<{len(own.packed(word)) // 4}I", own.packed(word))) == library.encode_ordinary(word)
     assert len(own.memo) <= 2
+
+
+def test_memo_keeps_what_comes_again(vocab, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 3)
+    own = bpe.Vocabulary(vocab.ranks, vocab.pattern)
+    merged = []
+    monkeypatch.setattr(own, "merge", lambda piece: merged.append(piece) or vocab.merge(piece))
+    for i in range(60):
+        for piece in ("often", f"once{i}"):
+            own.memo.get(piece) or own.packed(piece)
+        assert len(own.memo) <= 3 and len(own.older) <= 3
+    assert merged.count(b"often") == 1 and len(merged) == 61
+
+
+def test_memo_is_bounded():
+    assert 2 * bpe.MEMO <= 300_000
